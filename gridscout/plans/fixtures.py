@@ -6,6 +6,8 @@ the same pages. Every row of the tables named is used.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 NL = "chr(10)"
@@ -16,18 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables})
-
-
-def _both(sql: str, *tables: str) -> tuple[str, str]:
-    """(DuckDB text, Spark text): Spark takes the tables as {name} parameters."""
-    spark_sql = sql
-    for t in tables:
-        spark_sql = spark_sql.replace(f"FROM {t} ", f"FROM {{{t}}} {t} ").replace(
-            f"JOIN {t} ", f"JOIN {{{t}}} {t} "
-        )
-    return sql, spark_sql
+def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """The SQL text over the Parquet files of `sf_dir`."""
+    return spark.sql(
+        re.sub(r"\b(FROM|JOIN) (customer|nation|documents|labels)\b", rf"\1 parquet.`{sf_dir}/\2.parquet` \2", sql)
+    )
 
 
 def _labelled(label: str, value: str) -> str:
@@ -55,8 +50,7 @@ SECTION = f"""CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat(
   {_percent('race win percentage', f'{K} % 100')}, {_percent('podium percentage', f'{K} % 95')}) END"""
 
 # (k, filename, content): a crawled page per customer; overdrawn accounts are team pages.
-PAGES_SQL, _PAGES = _both(
-    f"""SELECT {K} AS k,
+PAGES_SQL = f"""SELECT {K} AS k,
   concat('file:/crawl/com_', CASE WHEN c_acctbal < 0 THEN 'teams' ELSE 'drivers' END, '_', {K}, '.html') AS filename,
   concat('<html><head><title>Driver: ', c_name, ' | Driver Database</title></head><body>', {NL},
     '<script>var page={{"stats":', {STATS_JSON}, ',"careerOverview":[]}};</script>', {NL},
@@ -66,18 +60,14 @@ PAGES_SQL, _PAGES = _both(
     '<div><div>series</div>', {NL}, '</div>', {NL}, '<div class="badge big">', c_mktsegment, '</div>', {NL}, '</div>', {NL},
     {SECTION}, '<div>driverdb score</div>', {NL}, '<div>1,', 100 + {K} % 900, '</div>', {NL},
     '<p>', c_name, ' has a balance of ', CAST(round(c_acctbal) AS bigint), ' and drives for ', n_name, '.</p></body></html>') AS content
-FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "customer",
-    "nation",
-)
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 # (id, title, is_redirect, target, text): persons, series and teams, some behind a redirect.
 _PERSON_TEXT = f"""concat('{{{{Infobox', {NL}, '| team = [[', n_name, '|x]]', {NL}, '| teams = ', n_name, ', Other', {NL},
   '| car_number = ', {K} % 99, {NL}, '| championships = ', {K} % 5, {NL}, '}}}}', {NL}, {BOLD}, c_name, {BOLD},
   CASE WHEN {K} % 2 = 0 THEN ' is a Racing Driver.' ELSE ' is a cook.' END, {NL}, 'More.')"""
 _MOVED = f"{K} % 10 = 4"
-WIKI_SQL, _WIKI = _both(
-    f"""SELECT {K} * 10 + 1 AS id, c_name AS title, {_MOVED} AS is_redirect,
+WIKI_SQL = f"""SELECT {K} * 10 + 1 AS id, c_name AS title, {_MOVED} AS is_redirect,
     CASE WHEN {_MOVED} THEN concat(c_name, ' (racer)') END AS target,
     CASE WHEN {_MOVED} THEN '#REDIRECT' ELSE {_PERSON_TEXT} END AS text
   FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -93,49 +83,32 @@ SELECT n_nationkey * 10 + 4, n_name, n_regionkey = 0, CASE WHEN n_regionkey = 0
   FROM nation
 UNION ALL
 SELECT n_nationkey * 10 + 5, concat('Team ', n_name), false, NULL, concat('See also.', {NL}, {BOLD}, 'Team ', n_name, {BOLD}, ' races.', {NL}, 'End.')
-  FROM nation""",
-    "customer",
-    "nation",
-)
+  FROM nation"""
 
 # (doc_id, xml): a dump record per document.
-XML_SQL, _XML = _both(
-    """SELECT doc_id, concat('<page><title>Doc ', doc_id, '</title><id>', doc_id,
+XML_SQL = """SELECT doc_id, concat('<page><title>Doc ', doc_id, '</title><id>', doc_id,
   '</id><revision><id>1</id><text bytes="', n_chars, '">',
   replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</text></revision></page>') AS xml
-FROM documents """,
-    "documents",
-)
+FROM documents """
 
 # (id, title, is_redirect, target, text): documents as pages; chains of several lengths, and cycles.
 _STEP = """CASE WHEN doc_id % 50 = 7 THEN 1 WHEN doc_id % 50 = 8 THEN -1
   WHEN doc_id % 40 BETWEEN 20 AND 26 THEN 1 WHEN doc_id % 5 = 0 THEN 1 WHEN doc_id % 15 = 6 THEN 1 END"""
-REDIRECT_SQL, _REDIRECTS = _both(
-    f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, step IS NOT NULL AS is_redirect,
+REDIRECT_SQL = f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, step IS NOT NULL AS is_redirect,
   CASE WHEN step IS NOT NULL THEN concat('Doc ', doc_id + step) END AS target, text
-FROM (SELECT doc_id, text, {_STEP} AS step FROM documents ) d""",
-    "documents",
-)
+FROM (SELECT doc_id, text, {_STEP} AS step FROM documents ) d"""
 
 # (doc_id, lang, source, n_chars, quality, toxic, text)
-DOCS_SQL, _DOCS = _both(
-    """SELECT documents.doc_id, lang, source, n_chars, quality, toxic, text
-FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id""",
-    "documents",
-    "labels",
-)
+DOCS_SQL = """SELECT documents.doc_id, lang, source, n_chars, quality, toxic, text
+FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id"""
 
 # (query_id, q): a request per language and source of the documents.
-DOC_REQUESTS_SQL, _DOC_REQUESTS = _both(
-    """SELECT concat(lang, '-', source) AS query_id,
+DOC_REQUESTS_SQL = """SELECT concat(lang, '-', source) AS query_id,
   concat('the inion de letre @lang=', lang, ' @source=', source, '_src1 ^n_chars=500 $n_chars=', 2 * min(n_chars) + 3000) AS q
-FROM documents GROUP BY lang, source""",
-    "documents",
-)
+FROM documents GROUP BY lang, source"""
 
 # (query_id, q): a request per nation against the enriched profiles, in all shapes.
-PROFILE_REQUESTS_SQL, _PROFILE_REQUESTS = _both(
-    """SELECT n_nationkey AS query_id, CASE n_nationkey % 7
+PROFILE_REQUESTS_SQL = """SELECT n_nationkey AS query_id, CASE n_nationkey % 7
   WHEN 0 THEN concat('racing driver ', n_name, ' driver')
   WHEN 1 THEN concat('more drives @nationality=', n_name)
   WHEN 2 THEN concat('^wins=', n_nationkey % 5, ' $wins=5 ^age=18')
@@ -143,46 +116,41 @@ PROFILE_REQUESTS_SQL, _PROFILE_REQUESTS = _both(
   WHEN 4 THEN concat('racing @nofield=x ', n_name)
   WHEN 5 THEN concat('^nofield=1 racing ^wins=-3 ', n_name)
   ELSE '' END AS q
-FROM nation """,
-    "nation",
-)
+FROM nation """
 
 # (query_id, q): a request per document, to be taken apart.
-TEXT_REQUESTS_SQL, _TEXT_REQUESTS = _both(
-    """SELECT doc_id AS query_id, concat(' ', source, ' word @lang=', lang, ' ^n_chars=', n_chars, '.5 and $n_chars=',
+TEXT_REQUESTS_SQL = """SELECT doc_id AS query_id, concat(' ', source, ' word @lang=', lang, ' ^n_chars=', n_chars, '.5 and $n_chars=',
   n_chars * 2, ' @source=', source, '_', lang, CASE WHEN doc_id % 3 = 0 THEN ' ^x=-4 $y=abc' ELSE '' END) AS q
-FROM documents """,
-    "documents",
-)
+FROM documents """
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _PAGES, "customer", "nation")
+    return run(spark, sf_dir, PAGES_SQL)
 
 
 def wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _WIKI, "customer", "nation")
+    return run(spark, sf_dir, WIKI_SQL)
 
 
 def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _XML, "documents")
+    return run(spark, sf_dir, XML_SQL)
 
 
 def redirect_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _REDIRECTS, "documents")
+    return run(spark, sf_dir, REDIRECT_SQL)
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _DOCS, "documents", "labels")
+    return run(spark, sf_dir, DOCS_SQL)
 
 
 def document_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _DOC_REQUESTS, "documents")
+    return run(spark, sf_dir, DOC_REQUESTS_SQL)
 
 
 def profile_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _PROFILE_REQUESTS, "nation")
+    return run(spark, sf_dir, PROFILE_REQUESTS_SQL)
 
 
 def text_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, _TEXT_REQUESTS, "documents")
+    return run(spark, sf_dir, TEXT_REQUESTS_SQL)
