@@ -130,7 +130,9 @@ DOCUMENTS_SELECT = f"""SELECT e.filename, {listed(number(c) if c in NUMBER_TYPES
 
 # ---- index and search
 
-TOKENS = f"regexp_extract_all(lower(%s), '[\\p{{L}}\\p{{N}}_]{{1,{MAX_TERM}}}')"
+# Runs are found whole and cut after that: RE2 is slow at long counted repeats of letter classes.
+TOKENS = f"""flatten(list_transform(regexp_extract_all(lower(%s), '[\\p{{L}}\\p{{N}}_]+'),
+  lambda t: CASE WHEN length(t) <= {MAX_TERM} THEN [t] ELSE regexp_extract_all(t, '.{{1,{MAX_TERM}}}') END))"""
 
 
 def with_index(texts: str) -> str:

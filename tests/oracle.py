@@ -35,14 +35,16 @@ def rows_of(columns, rows) -> list[tuple]:
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def differences(spark, con, sf_dir: str, name: str, query, sql: str) -> tuple[list[str], int]:
+def differences(spark, con, sf_dir: str, name: str, query, sql: str) -> tuple[list[str], int, float]:
+    start = time.time()
     df = query(spark, sf_dir)
     ours = df.collect()
+    spark_seconds = time.time() - start
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
     theirs = cursor.fetchall()
     if sorted(df.columns) != sorted(columns):
-        return [f"columns {sorted(df.columns)} != {sorted(columns)}"], len(ours)
+        return [f"columns {sorted(df.columns)} != {sorted(columns)}"], len(ours), spark_seconds
     a, b = rows_of(df.columns, ours), rows_of(columns, theirs)
     found = [f"rows {len(a)} != {len(b)}"] if len(a) != len(b) else []
     count_a, count_b = Counter(a), Counter(b)
@@ -50,7 +52,7 @@ def differences(spark, con, sf_dir: str, name: str, query, sql: str) -> tuple[li
     if only_a or only_b:
         found.append(f"{len(only_a)} only in Spark, {len(only_b)} only in DuckDB")
         found += [f"  spark  {x}"[:600] for x in only_a[:2]] + [f"  duckdb {x}"[:600] for x in only_b[:2]]
-    return found, len(ours)
+    return found, len(ours), spark_seconds
 
 
 if __name__ == "__main__":
@@ -75,11 +77,11 @@ if __name__ == "__main__":
             continue
         start = time.time()
         try:
-            found, n = differences(spark, con, sf_dir, name, query, oracles[name])
+            found, n, spent = differences(spark, con, sf_dir, name, query, oracles[name])
         except Exception as e:  # a failing query must not hide the others
-            found, n = [f"{type(e).__name__}: {str(e)[:1500]}"], -1
+            found, n, spent = [f"{type(e).__name__}: {str(e)[:1500]}"], -1, 0.0
         bad += bool(found)
-        print(f"{'ok ' if not found else 'BAD'} {name:28} {n:8} rows {time.time() - start:6.1f}s", flush=True)
+        print(f"{'ok ' if not found else 'BAD'} {name:28} {n:8} rows {spent:6.1f}s Spark {time.time() - start - spent:6.1f}s DuckDB", flush=True)
         for line in found:
             print("    " + line, flush=True)
     print(f"{bad} bad")
