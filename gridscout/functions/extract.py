@@ -78,15 +78,16 @@ def section_percentage(section: Column, label: str) -> Column:
     return capture(section, rf"{label}</div>\n?[ \t]*<div>([0-9.]*)(?:<!-- -->)*%")
 
 
-def embedded_json(page: Column, pattern: str = JSON_PATTERN, skip_mark: str = JSON_SKIP_MARK) -> Column:
-    """The embedded JSON object as map<string,string>.
+def embedded_text(page: Column, pattern: str = JSON_PATTERN, skip_mark: str = JSON_SKIP_MARK) -> Column:
+    """The embedded JSON text, "" where there is none, null where the page holds `skip_mark`."""
+    text = F.trim(capture(page, "(?d)" + pattern))  # (?d): only \n ends a line
+    return F.when(~page.contains(skip_mark), text)
 
-    Null where the page holds `skip_mark`, has no such object, or the object is malformed.
-    """
-    raw = F.trim(capture(page, "(?d)" + pattern))  # (?d): only \n ends a line
-    whole = raw.startswith("{") & raw.endswith("}") & ~page.contains(skip_mark)
-    options = {"allowSingleQuotes": "false"}
-    return F.when(whole, F.from_json(raw, "map<string,string>", options))
+
+def json_object(text: Column) -> Column:
+    """A JSON object as map<string,string>; null for anything else, also for text after it."""
+    parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
+    return F.when(text.startswith("{") & text.endswith("}"), parsed)
 
 
 def json_or(parsed: Column, key: str, other: Column, literal_missing: bool = False) -> Column:

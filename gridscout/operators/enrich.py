@@ -26,6 +26,7 @@ def article_info(
     one_per_title: bool = True,
     distinct_rows: bool = False,
     hot_rows: int = HOT_ROWS,
+    n_titles: int | None = None,
 ) -> DataFrame:
     """(title, *extracts) of the articles whose title is in the one-column table `keys`.
 
@@ -35,7 +36,7 @@ def article_info(
     equal (title, text) rows.
     """
     wanted = titles.join(keys.toDF("title"), "title", "left_semi")
-    found = article_texts(wanted, pages, "inner", hot_rows)
+    found = article_texts(wanted, pages, "inner", hot_rows, n_titles)
     if predicate is not None:
         found = found.where(predicate)
     values = [e.alias(name) for name, e in extracts.items()]
@@ -48,10 +49,17 @@ def article_info(
 
 
 def add_info(
-    profiles: DataFrame, info: DataFrame, key: str, spread_by: list[str], hot_rows: int = HOT_ROWS
+    profiles: DataFrame,
+    info: DataFrame,
+    key: str,
+    spread_by: list[str],
+    hot_rows: int = HOT_ROWS,
+    n_profiles: int | None = None,
 ) -> DataFrame:
-    """`profiles` left-joined to `info` on key = title; text not found reads ""."""
-    joined = join_unique(profiles, info.withColumnRenamed("title", key), [key], spread_by, "left", hot_rows)
+    """`profiles`, at most `n_profiles` where that is known, left-joined to `info` on key = title;
+    text not found reads ""."""
+    info_by_key = info.withColumnRenamed("title", key)
+    joined = join_unique(profiles, info_by_key, [key], spread_by, "left", hot_rows, n_profiles)
     added = [c for c in info.columns if c != "title"]
     return joined.select(*profiles.columns, *added).fillna("", subset=added)
 
@@ -80,7 +88,8 @@ def enrich_profiles(
     written tables. The result of the person step is staged, as the team step reads it twice.
     """
     profiles = profiles.fillna("")
-    options = {"one_per_title": one_per_title, "hot_rows": hot_rows}
+    n_profiles = profiles.count() if one_per_title else None
+    options = {"one_per_title": one_per_title, "hot_rows": hot_rows, "n_titles": titles.count()}
 
     def info(keys: DataFrame, extracts: dict[str, Column], **more) -> DataFrame:
         return article_info(titles, pages, keys, extracts, **options, **more)
@@ -94,11 +103,13 @@ def enrich_profiles(
         predicate=F.col("text").rlike(X.PERSON_MARK),
         distinct_rows=True,
     )
-    with_series = add_info(profiles, series, "series", ["filename"], hot_rows)
-    with_person = stage(add_info(with_series, persons, "name", ["filename"], hot_rows))
+    with_series = add_info(profiles, series, "series", ["filename"], hot_rows, n_profiles)
+    with_person = stage(
+        add_info(with_series, persons, "name", ["filename"], hot_rows, n_profiles)
+    )
     teams = info(
         distinct_keys(with_person, "current_team"),
         {"team_description": X.lead_line(F.col("text"))},
     )
-    full = add_info(with_person, teams, "current_team", ["filename"], hot_rows)
+    full = add_info(with_person, teams, "current_team", ["filename"], hot_rows, n_profiles)
     return full.select(*ENRICHED_COLUMNS)

@@ -129,9 +129,11 @@ def write_index(
     _write_by_bucket(
         stored.withColumn("bucket", bucket_of("doc_id", buckets)), "bucket", ["doc_id"], f"{path}/docs"
     )
-    spark.createDataFrame([(token_pattern, buckets, numbers)], "token_pattern string, buckets int, numbers array<string>").coalesce(
-        1
-    ).write.mode("overwrite").parquet(f"{path}/meta")
+    spark.range(1).select(
+        F.lit(token_pattern).alias("token_pattern"),
+        F.lit(buckets).alias("buckets"),
+        F.array(*[F.lit(c) for c in numbers]).cast("array<string>").alias("numbers"),
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:

@@ -34,13 +34,18 @@ def join_unique(
     spread_by: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Join `left` to `right`, which has about one row per key `on`.
 
     A key held by many left rows is cut into parts by a hash of `spread_by`, a column set that
     tells the rows of one key apart; the right row of such a key is repeated once per part, in
     total no more than left rows / hot_rows times. The hash repeats exactly when a task is rerun.
+
+    `left_rows`, where known, bounds the rows of `left`: with fewer than `hot_rows` no key is hot.
     """
+    if left_rows is not None and left_rows < hot_rows:
+        return left.join(right, on, how)
     hot = hot_keys(left, on, hot_rows)
 
     def marked(df: DataFrame) -> DataFrame:

@@ -33,11 +33,18 @@ def page_attributes(pages: DataFrame, content: str = "content") -> DataFrame:
     return cut.withColumns({c: found[c] for c in order}).drop("_section")
 
 
+def with_json(pages: DataFrame, content: str = "content") -> DataFrame:
+    """`pages` with `_json`, the embedded object as a map. The text is cut out in a step of its own,
+    so that it is looked for once."""
+    cut = pages.withColumn("_text", X.embedded_text(F.col(content)))
+    return cut.withColumn("_json", X.json_object(F.col("_text"))).drop("_text")
+
+
 def override_from_json(
     pages: DataFrame, content: str = "content", literal_missing: bool = False
 ) -> DataFrame:
     """Attributes replaced by those of the page's embedded JSON object, where it has one."""
-    parsed = pages.withColumn("_json", X.embedded_json(F.col(content)))
+    parsed = with_json(pages, content)
     return parsed.withColumns(
         {
             c: X.json_or(F.col("_json"), key, F.col(c), literal_missing)

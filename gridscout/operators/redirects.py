@@ -35,13 +35,14 @@ def follow_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     that closes none leaves only edges in or leading into a cycle. Closed edges are staged once.
     """
     edges = stage(edges)
+    n_edges = edges.count()
     again = (
         edges.select("target")
         .distinct()
         .join(edges.select(F.col("source").alias("target")), "target", "left_semi")
         .withColumn("again", F.lit(True))
     )
-    first = join_unique(edges, again, ["target"], ["source"], "left", hot_rows)
+    first = join_unique(edges, again, ["target"], ["source"], "left", hot_rows, n_edges)
     state = stage(
         first.select("id", "source", "target", F.col("again").isNull().alias("closed"))
     )
@@ -54,7 +55,13 @@ def follow_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.col("closed").alias("next_closed"),
         )
         step = join_unique(
-            open_edges.select("id", "source", "target"), known, ["target"], ["source"], "inner", hot_rows
+            open_edges.select("id", "source", "target"),
+            known,
+            ["target"],
+            ["source"],
+            "inner",
+            hot_rows,
+            n_open,
         )
         state = stage(
             step.select(
@@ -82,6 +89,7 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     articles = real_articles(pages).select("id", "title")
     ends = follow_edges(unique_edges(redirect_edges(pages)), hot_rows)
+    n_ends = ends.count()
     wanted = ends.where(~F.col("is_cycle")).select(F.col("target").alias("title")).distinct()
     goals = (
         articles.join(wanted, "title", "left_semi")
@@ -89,7 +97,7 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         .agg(F.min("id").alias("article_id"))
         .withColumn("is_cycle", F.lit(False))
     )
-    resolved = join_unique(ends, goals, ["target", "is_cycle"], ["source"], "left", hot_rows)
+    resolved = join_unique(ends, goals, ["target", "is_cycle"], ["source"], "left", hot_rows, n_ends)
     same = articles.select(
         "id",
         "title",
@@ -109,11 +117,15 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def article_texts(
-    titles: DataFrame, pages: DataFrame, how: str = "left", hot_rows: int = HOT_ROWS
+    titles: DataFrame,
+    pages: DataFrame,
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    n_titles: int | None = None,
 ) -> DataFrame:
-    """`titles` with the text of their article."""
+    """`titles`, at most `n_titles` where that is known, with the text of their article."""
     texts = real_articles(pages).select(F.col("id").alias("article_id"), "text")
-    return join_unique(titles, texts, ["article_id"], ["id", "title"], how, hot_rows)
+    return join_unique(titles, texts, ["article_id"], ["id", "title"], how, hot_rows, n_titles)
 
 
 def step_or_source(edges: DataFrame) -> DataFrame:

@@ -189,7 +189,7 @@ hits AS (SELECT query_id, doc_id, coalesce(t.s, 0) + coalesce(r.nr, 0) AS score
 
 
 def ranked(k: int) -> str:
-    return f"""best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 8) DESC, doc_id) AS rank
+    return f"""best AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 8) DESC, doc_id) AS INTEGER) AS rank
   FROM hits QUALIFY rank <= {k})"""
 
 
@@ -280,9 +280,9 @@ ORACLES = {
     "enriched_tsv": f"""WITH RECURSIVE {WITH_INFO} SELECT {listed(
         "'' AS hometown" if c == "hometown" else f"CASE WHEN {c} = '' THEN '0' ELSE {c} END AS {c}" if c in NUMBER_TYPES else c
         for c in ENRICHED_COLUMNS)} FROM enriched""",
-    "index_postings": f"{WITH_DOC_INDEX} SELECT term, field, doc_id, tf, dl AS length FROM tf JOIN dl USING (doc_id, field)",
+    "index_postings": f"{WITH_DOC_INDEX} SELECT term, field, doc_id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS length FROM tf JOIN dl USING (doc_id, field)",
     "index_term_stats": f"{WITH_DOC_INDEX} SELECT term, field, df FROM dfs",
-    "index_doc_stats": f"{WITH_DOC_INDEX} SELECT doc_id, field, dl AS length FROM dl",
+    "index_doc_stats": f"{WITH_DOC_INDEX} SELECT doc_id, field, CAST(dl AS INTEGER) AS length FROM dl",
     "index_field_stats": f"{WITH_DOC_INDEX} SELECT field, n AS n_docs, round(avgdl, 6) AS mean_length FROM fs",
     "index_count": f"WITH {WITH_PROFILES} SELECT count(*) AS n_documents FROM prof",
     "index_documents": f"WITH RECURSIVE {WITH_INFO} {DOCUMENTS_SELECT}",

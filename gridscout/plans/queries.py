@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridscout.functions import extract as X
 from gridscout.functions.text import clean_wiki, display, path_of_uri, strip_tags
-from gridscout.functions.typed import is_bad, to_double, to_int
+from gridscout.functions.typed import to_int
 from gridscout.operators import enrich as E
 from gridscout.operators import index as I
 from gridscout.operators import profiles as P
@@ -91,9 +91,10 @@ def profile_score(spark, sf_dir):
 
 
 def profile_json_stats(spark, sf_dir):
-    parsed = fx.pages(spark, sf_dir).select("filename", X.embedded_json(F.col("content")).alias("j"))
-    return parsed.where(F.col("j").isNotNull()).select(
-        "filename", *[F.try_element_at("j", F.lit(key)).alias(c) for c, key in X.JSON_KEYS.items()]
+    parsed = P.with_json(fx.pages(spark, sf_dir))
+    return parsed.where(F.col("_json").isNotNull()).select(
+        "filename",
+        *[F.try_element_at("_json", F.lit(key)).alias(c) for c, key in X.JSON_KEYS.items()],
     )
 
 
