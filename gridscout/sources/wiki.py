@@ -8,12 +8,22 @@ from pyspark.sql.types import StructType
 
 from gridscout.schemas import WIKI_SCHEMA
 
-RECORD = r"<page>[\s\S]*?</page>"
+START, END = "<page>", "</page>"
+RECORD = rf"{START}[\s\S]*?{END}"
 
 
 def read_wiki_xml(spark: SparkSession, path: str, schema: StructType = WIKI_SCHEMA) -> DataFrame:
-    """Dump file(s) as nested rows. The source keeps a page that spans two input splits whole."""
-    return spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    """Dump file(s) as nested rows.
+
+    The XML source reads a file with records over several lines in one task. So the file is read as
+    text "lines" that end where the next page starts: the text source splits a file among tasks and
+    still gives each line whole. A page that is not closed before the next one, or before the end
+    of the file, is left out.
+    """
+    chunks = spark.read.option("lineSep", START).text(path)
+    closed = chunks.where(F.instr("value", F.lit(END)) > 0)
+    record = F.concat(F.lit(START), F.substring_index("value", END, 1), F.lit(END))
+    return closed.select(F.from_xml(record, schema).alias("page")).select("page.*")
 
 
 def pages_from_xml_column(df: DataFrame, column: str, schema: StructType = WIKI_SCHEMA, keep=()) -> DataFrame:
