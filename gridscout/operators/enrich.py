@@ -35,7 +35,8 @@ def article_info(
     that meets the predicate wins, unless `one_per_title` is off; `distinct_rows` then drops
     equal (title, text) rows.
     """
-    wanted = titles.join(keys.toDF("title"), "title", "left_semi")
+    names = keys.toDF("title")
+    wanted = join_unique(titles, names, ["title"], ["id"], "left_semi", hot_rows, n_titles)
     found = article_texts(wanted, pages, "inner", hot_rows, n_titles)
     if predicate is not None:
         found = found.where(predicate)

@@ -92,7 +92,7 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     n_ends = ends.count()
     wanted = ends.where(~F.col("is_cycle")).select(F.col("target").alias("title")).distinct()
     goals = (
-        articles.join(wanted, "title", "left_semi")
+        join_unique(articles, wanted, ["title"], ["id"], "left_semi", hot_rows)
         .groupBy(F.col("title").alias("target"))
         .agg(F.min("id").alias("article_id"))
         .withColumn("is_cycle", F.lit(False))
@@ -131,8 +131,8 @@ def article_texts(
 def step_or_source(edges: DataFrame) -> DataFrame:
     """(source, target) after one step, duplicates kept: the target's own target where it is a
     redirect, else the *source*."""
-    steps = edges.select(F.col("source").alias("via"), F.col("target").alias("next"))
-    return edges.join(steps, edges["target"] == steps["via"], "left").select(
+    steps = edges.select(F.col("source").alias("target"), F.col("target").alias("next"))
+    return join_unique(edges, steps, ["target"], ["source"]).select(
         "source",
         F.when(F.col("next").isNotNull(), F.col("next")).otherwise(F.col("source")).alias("target"),
     )
@@ -162,7 +162,8 @@ def one_pass_titles(pages: DataFrame) -> DataFrame:
     same = unchanged_count(edges, after).first()
     ends = edges if same.n_same == same.n_before else after
     articles = real_articles(pages).select("title", "text")
-    resolved = ends.join(articles, ends["target"] == articles["title"], "left").select(
+    texts = articles.withColumnRenamed("title", "target")
+    resolved = join_unique(ends, texts, ["target"], ["source"]).select(
         F.col("source").alias("title"), F.col("target").alias("article_title"), "text"
     )
     return articles.select("title", F.col("title").alias("article_title"), "text").unionByName(resolved)

@@ -16,6 +16,7 @@ from gridscout.operators import profiles as P
 from gridscout.operators import redirects as R
 from gridscout.operators import search as S
 from gridscout.operators.requests import parse_requests
+from gridscout.pipeline import write_profile_index
 from gridscout.plans import fixtures as fx
 from gridscout.schemas import (
     DOUBLE_COLUMNS,
@@ -24,7 +25,6 @@ from gridscout.schemas import (
     INT_COLUMNS,
     PROFILE_COLUMNS,
     PROFILE_SCHEMA,
-    TEXT_FIELDS,
     WEIGHTS,
 )
 from gridscout.sources.tables import (
@@ -46,7 +46,6 @@ PAGE_REQUEST = "the attion de onaiaux the"
 TEXT_REQUEST = "the estion letre eau inion"
 MUST_REQUEST = "estion letre @lang=en @source=src1_src7_src9"
 RANGE_REQUEST = "the estion ^n_chars=800 $n_chars=4000 ^quality=1"
-STORED_COLUMNS = [c for c in ENRICHED_COLUMNS if c != "filename"]
 
 
 def _shared(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -308,15 +307,7 @@ def _page_index(spark, sf_dir) -> I.Index:
 def _profile_index(spark, sf_dir) -> I.Index:
     path = _shared(spark, sf_dir, "profile-index")
     if not path_exists(spark, f"{path}/meta/_SUCCESS"):
-        docs = P.profile_documents(_enriched(spark, sf_dir), fx.pages(spark, sf_dir))
-        I.write_index(
-            docs,
-            path,
-            "filename",
-            {field: column for field, (column, _) in TEXT_FIELDS.items()},
-            INT_COLUMNS + DOUBLE_COLUMNS,
-            STORED_COLUMNS,
-        )
+        write_profile_index(_enriched(spark, sf_dir), fx.pages(spark, sf_dir), path)
     return I.read_index(spark, path)
 
 

@@ -123,8 +123,9 @@ ARTICLES = [
     (6, "Red Racing", "'''Red''' races.\nx"),
     (7, "Bob", "'''Bob''' is a baker.\n"),
     (8, "Cy", None),
+    (11, "Eve", "team = Green\n'''Eve''' racing driver\n"),
 ]
-EDGES = [(9, "Red", "Red Racing"), (10, "Dee", "Ann")]
+EDGES = [(9, "Red", "Red Racing"), (10, "Dee", "Eve")]
 
 
 @pytest.mark.parametrize("hot_rows", [1, 10**6])
@@ -137,7 +138,7 @@ def test_enrichment(spark, hot_rows):
     ann = rows[0]
     assert (ann.current_team, ann.all_teams, ann.car_number, ann.championships) == ("Red", "Red, Blue", "5", "")
     assert (ann.bio, ann.team_description) == ("'''Ann''' is a RACING driver.", "'''Red''' races.")
-    assert [r.current_team for r in rows] == ["Red", "", "", "", "Red", "Red"]
+    assert [r.current_team for r in rows] == ["Red", "", "", "", "Green", "Red"]
     assert rows[1].bio == "" and rows[2].bio == ""
 
 
