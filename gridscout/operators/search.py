@@ -26,6 +26,10 @@ CLAUSES_PER_WORD = 60  # clause marks held by one long
 NUMBER_CLASSES = 64  # number classes on either side of 0
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def request_table(spark: SparkSession, text: str) -> DataFrame:
     return spark.range(1).select(F.col("id").alias("query_id"), F.lit(text).alias("q"))
 
@@ -55,8 +59,12 @@ def clause_terms(parsed: DataFrame, weights: Mapping[str, float], buckets: int)
     Clause 0 is the free text, on every weighted field; a repeated term counts each time. Clauses
     1, 2, ... are the must values, on their own field with weight 1.
     """
-    boosts = F.array(
-        *[F.struct(F.lit(f).alias("field"), F.lit(float(w)).alias("boost")) for f, w in weights.items()]
+    boosts = F.expr(
+        "array("
+        + ", ".join(
+            f"named_struct('field', {_quoted(f)}, 'boost', {float(w)}D)" for f, w in weights.items()
+        )
+        + ")"
     )
     free = (
         parsed.select("query_id", "n_clauses", F.explode("terms").alias("term"))
@@ -157,8 +165,9 @@ def _clause_matches(scores: DataFrame, last_clause: int) -> DataFrame:
 
 
 def _numbers(index: Index) -> Column:
-    pairs = [x for c in index.number_columns for x in (F.lit(c), F.col(c).cast("double"))]
-    return F.create_map(*pairs) if pairs else F.expr("cast(map() as map<string,double>)")
+    """map<string,double> of the number columns of a document."""
+    pairs = ", ".join(f"{_quoted(c)}, cast(`{c}` as double)" for c in index.number_columns)
+    return F.expr(f"cast(map({pairs}) as map<string,double>)")
 
 
 def in_ranges(numbers: Column, ranges: Column, positive_percentages: bool) -> Column:
@@ -202,14 +211,10 @@ def _range_only_matches(
         first["field"].alias("field"),
         F.explode(_classes(first)).alias("number_class"),
     )
-    melted = F.array(
-        *[
-            F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value"))
-            for c in index.number_columns
-        ]
-    )
-    docs = index.docs.select("doc_id", _numbers(index).alias("numbers"), F.inline(melted)).select(
-        "doc_id", "numbers", "field", number_class(F.col("value")).alias("number_class")
+    docs = (
+        index.docs.select("doc_id", _numbers(index).alias("numbers"))
+        .select("doc_id", "numbers", F.explode("numbers").alias("field", "value"))
+        .select("doc_id", "numbers", "field", number_class(F.col("value")).alias("number_class"))
     )
     on = ["field", "number_class"]
     if small:

@@ -23,9 +23,8 @@ def work_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="gridscout-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridscout-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
