@@ -107,13 +107,17 @@ def write_index(
     stored_columns: Iterable[str] = (),
     token_pattern: str = TOKEN_SIMPLE,
     buckets: int = BUCKETS,
+    values: DataFrame | None = None,
 ) -> None:
     """Build the index of `docs` anew at `path`.
 
     Text is split once, into the per-document table `terms`, and all else is derived from that.
-    `buckets` should make a folder of postings about as big as a search may read.
+    Numbers and stored columns are taken from `values`, a table with the same ids, where that is
+    cheaper to compute than `docs`. `buckets` should make a folder of postings about as big as a
+    search may read.
     """
     spark = docs.sparkSession
+    values = docs if values is None else values
     numbers = list(number_columns)
     kept = numbers + [c for c in stored_columns if c not in numbers]
     field_terms(docs, id_column, text_fields, token_pattern).write.mode("overwrite").parquet(f"{path}/terms")
@@ -125,7 +129,7 @@ def write_index(
     )
     _write_by_bucket(df_counts, "bucket", ["term", "field"], f"{path}/term_stats")
     field_stats(terms).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
-    stored = docs.select(F.col(id_column).alias("doc_id"), *[c for c in kept if c != "doc_id"])
+    stored = values.select(F.col(id_column).alias("doc_id"), *[c for c in kept if c != "doc_id"])
     _write_by_bucket(
         stored.withColumn("bucket", bucket_of("doc_id", buckets)), "bucket", ["doc_id"], f"{path}/docs"
     )

@@ -77,9 +77,13 @@ def typed_profiles(enriched: DataFrame) -> DataFrame:
     )
 
 
+def profile_values(enriched: DataFrame) -> DataFrame:
+    """Typed enriched rows without null texts."""
+    texts = [c for c in ENRICHED_COLUMNS if c not in INT_COLUMNS + DOUBLE_COLUMNS and c != "filename"]
+    return typed_profiles(enriched.fillna("", subset=texts))
+
+
 def profile_documents(enriched: DataFrame, pages: DataFrame) -> DataFrame:
     """Search documents: typed enriched rows with `content`, the tag-free text of their page."""
     bodies = pages.select("filename", strip_tags(F.col("content")).alias("content"))
-    texts = [c for c in ENRICHED_COLUMNS if c not in INT_COLUMNS + DOUBLE_COLUMNS and c != "filename"]
-    filled = enriched.fillna("", subset=texts)
-    return typed_profiles(filled).join(bodies, "filename", "left")
+    return profile_values(enriched).join(bodies, "filename", "left")

@@ -11,7 +11,7 @@ from gridscout.functions.extract import PATH_MARK
 from gridscout.functions.tokens import TOKEN_SIMPLE
 from gridscout.operators.enrich import enrich_profiles
 from gridscout.operators.index import BUCKETS, read_index, write_index
-from gridscout.operators.profiles import extract_profiles, profile_documents
+from gridscout.operators.profiles import extract_profiles, profile_documents, profile_values
 from gridscout.operators.redirects import title_map
 from gridscout.operators.search import search, search_one
 from gridscout.schemas import (
@@ -57,6 +57,7 @@ def write_profile_index(
         [c for c in ENRICHED_COLUMNS if c != "filename"],
         token_pattern,
         buckets,
+        profile_values(enriched),
     )
 
 

@@ -254,6 +254,8 @@ ORACLES = {
       {listed(number(c) for c in NUMBER_TYPES if c in PROFILE_COLUMNS)}, {bad_columns(PROFILE_COLUMNS)} FROM prof""",
     "wiki_from_xml": f"""SELECT doc_id, concat('Doc ', doc_id) AS title, doc_id AS page_id, {TRIMMED} AS text,
       n_chars AS n_bytes FROM documents""",
+    "wiki_dump_file": f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, false AS is_redirect,
+      CAST(NULL AS VARCHAR) AS target, {TRIMMED} AS text FROM documents""",
     "articles_project": f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, concat('Doc ', doc_id) AS article_title,
       false AS is_redirect, CAST(NULL AS VARCHAR) AS target, {TRIMMED} AS text FROM documents""",
     "wiki_lead_line": f"""WITH d AS (SELECT doc_id, concat('Intro', chr(10), {fx.BOLD}, source, {fx.BOLD}, ' ', text) AS text FROM documents)

@@ -35,7 +35,7 @@ from gridscout.sources.tables import (
     work_dir,
     write_tsv,
 )
-from gridscout.sources.wiki import pages_from_xml_column, wiki_pages
+from gridscout.sources.wiki import pages_from_xml_column, read_wiki_xml, wiki_pages
 
 # Weights and requests of the searches over pages and documents.
 PAGE_FIELDS = {"title": "title", "body": "body"}
@@ -150,6 +150,13 @@ def articles_project(spark, sf_dir):
     )
 
 
+def wiki_dump_file(spark, sf_dir):
+    """The same records written as a dump and read back from its files."""
+    path = _shared(spark, sf_dir, "dump")
+    fx.xml_records(spark, sf_dir).select("xml").write.mode("overwrite").text(path)
+    return wiki_pages(read_wiki_xml(spark, path))
+
+
 def wiki_lead_line(spark, sf_dir):
     marked = F.concat(F.lit("Intro\n'''"), F.col("source"), F.lit("''' "), F.col("text"))
     return fx.table(spark, sf_dir, "documents").select(
@@ -445,6 +452,7 @@ QUERIES = {
     "tsv_roundtrip": tsv_roundtrip,
     "typed_defaults": typed_defaults,
     "wiki_from_xml": wiki_from_xml,
+    "wiki_dump_file": wiki_dump_file,
     "articles_project": articles_project,
     "wiki_lead_line": wiki_lead_line,
     "wiki_infobox": wiki_infobox,
