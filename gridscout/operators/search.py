@@ -93,7 +93,7 @@ class Facts:
     """Sizes by which the joins are chosen."""
 
     n_requests: int
-    any_range: bool
+    n_ranges: int
     any_range_only: bool
     n_rows: int
     last_clause: int
@@ -104,7 +104,7 @@ def _facts(parsed: DataFrame, clauses: DataFrame) -> Facts:
     ranged = F.size("ranges") > 0
     of_requests = parsed.agg(
         F.count(F.lit(1)).alias("n"),
-        F.bool_or(ranged).alias("any_range"),
+        F.sum(F.size("ranges")).alias("n_ranges"),
         F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("any_range_only"),
     ).first()
     of_clauses = clauses.agg(
@@ -114,7 +114,7 @@ def _facts(parsed: DataFrame, clauses: DataFrame) -> Facts:
     ).first()
     return Facts(
         of_requests.n,
-        bool(of_requests.any_range),
+        of_requests.n_ranges or 0,
         bool(of_requests.any_range_only),
         of_clauses.n,
         of_clauses.last_clause or 0,
@@ -248,11 +248,11 @@ def _matches(
     facts = _facts(parsed, clauses)
     found = _clause_matches(_term_scores(index, clauses, facts, exact_length), facts.last_clause)
     score = S.from_units(F.col("units"))
-    if not facts.any_range:
+    if not facts.n_ranges:
         return found.select("query_id", "doc_id", score.alias("score")), facts.n_requests
     ranged = parsed.where(F.col("n_clauses") > 0).select("query_id", "ranges")
-    small = facts.n_requests <= BROADCAST_ROWS
-    if small:
+    n_rows = facts.n_requests + facts.n_ranges
+    if n_rows <= BROADCAST_ROWS:
         with_ranges = found.join(F.broadcast(ranged), "query_id")
     else:
         with_ranges = join_unique(found, ranged, ["query_id"], ["doc_id"], "inner")
@@ -263,6 +263,7 @@ def _matches(
         .select("query_id", "doc_id", (score + F.size("ranges")).alias("score"))
     )
     if facts.any_range_only and index.number_columns:
+        small = n_rows * (2 * NUMBER_CLASSES + 1) <= BROADCAST_ROWS
         only = _range_only_matches(index, parsed, small, positive_percentages)
         kept = kept.unionByName(
             only.select("query_id", "doc_id", F.col("n_ranges").cast("double").alias("score"))
@@ -275,6 +276,9 @@ def matches(
 ) -> DataFrame:
     """(query_id, doc_id, score) of every matching document of every request (query_id, q).
 
+    `query_id` tells the requests apart. The requests are read several times: a table that is
+    costly to compute should be written first.
+
     Options: `exact_length` off uses field lengths as kept in one byte; `word_bounds` reads bounds
     as whole words; `positive_percentages` lets an upper bound on a percentage leave out values
     that are not above 0.
