@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridscout.functions.extract import PATH_MARK
-from gridscout.functions.tokens import TOKEN_SIMPLE
+from gridscout.functions.tokens import TOKEN_WORDBREAK
 from gridscout.operators.enrich import enrich_profiles
 from gridscout.operators.index import BUCKETS, read_index, write_index
 from gridscout.operators.profiles import extract_profiles, profile_documents, profile_values
@@ -44,7 +44,7 @@ def write_profile_index(
     enriched: DataFrame,
     pages: DataFrame,
     path: str,
-    token_pattern: str = TOKEN_SIMPLE,
+    token_pattern: str = TOKEN_WORDBREAK,
     buckets: int = BUCKETS,
 ) -> None:
     """Index of enriched profiles and the text of their (filename, content) pages, built anew."""

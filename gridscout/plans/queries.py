@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridscout.functions import extract as X
 from gridscout.functions.text import clean_wiki, display, path_of_uri, strip_tags
+from gridscout.functions.tokens import TOKEN_SIMPLE
 from gridscout.functions.typed import to_int
 from gridscout.operators import enrich as E
 from gridscout.operators import index as I
@@ -314,7 +315,7 @@ def _page_index(spark, sf_dir) -> I.Index:
 def _profile_index(spark, sf_dir) -> I.Index:
     path = _shared(spark, sf_dir, "profile-index")
     if not path_exists(spark, f"{path}/meta/_SUCCESS"):
-        write_profile_index(_enriched(spark, sf_dir), fx.pages(spark, sf_dir), path)
+        write_profile_index(_enriched(spark, sf_dir), fx.pages(spark, sf_dir), path, TOKEN_SIMPLE)
     return I.read_index(spark, path)
 
 

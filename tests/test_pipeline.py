@@ -23,7 +23,7 @@ x</text></revision></page></mediawiki>"""
 def test_files_to_hits(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
-    people = [("Ann Lee", 3, "gravel gravel"), ("Bob Fox", 0, "gravel"), ("Cy Day", 9, "ice")]
+    people = [("Ann Lee", 3, "gravel gravel"), ("Bob Fox", 0, "gravel"), ("Cy Day", 9, "ice don't")]
     for i, (name, wins, body) in enumerate(people):
         (pages / f"com_drivers_{i}.html").write_text(PAGE.format(name=name, wins=wins, body=body))
     (pages / "com_teams_1.html").write_text(PAGE.format(name="No", wins=1, body="gravel"))
@@ -48,6 +48,7 @@ def test_files_to_hits(spark, tmp_path):
     assert names("@current_team=red_blue") == ["Ann Lee"]
     assert sorted(names("^wins=1")) == ["Ann Lee", "Cy Day"]
     assert names("@wins=3") == [] and names("") == []
+    assert names("don't") == ["Cy Day"] and names("don") == []
 
 
 def test_extraction_runs_on_a_stream(spark, tmp_path):
