@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,17 +13,12 @@ TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"'}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: `spark.checkpoint.dir` of the session.
-
-    Only a local-mode session without that setting gets a folder of its own.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder for staged tables: `spark.checkpoint.dir` of the session, or where that is
+    unset a folder in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridscout-"))
-    return spark.sparkContext.getCheckpointDir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/gridscout-work"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -41,6 +35,11 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
