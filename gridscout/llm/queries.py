@@ -21,7 +21,7 @@ QUERIES = {
 ORACLES = {
     "op1_substring_dedup": r"""
 WITH texts AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts)
 ), later AS (
