@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscout.sources.tables import remove, stage
+from gridscout.sources.tables import remove, stage, work_dir
 
-__all__ = ["documents", "drop_stage", "held_out", "partitions", "remove", "stage", "table", "text_size", "unique_texts"]
+__all__ = ["documents", "drop_stage", "held_out", "partitions", "remove", "stage", "table", "text_size", "unique_texts", "work_folder"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,7 @@ def unique_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Only ids are counted for this; texts are shuffled only where an id repeats.
     """
+    more = tuple(c for c in dict.fromkeys(more) if c not in (id_col, text_col))
     rows = docs.select(F.col(id_col), F.col(text_col), *more).where(F.col(id_col).isNotNull())
     repeated = rows.groupBy(id_col).count().where("count > 1").select(id_col)
     if repeated.isEmpty():
@@ -52,3 +55,8 @@ def drop_stage(*staged: DataFrame) -> None:
     for df in staged:
         for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
             remove(df.sparkSession, path)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
