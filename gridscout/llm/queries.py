@@ -1,12 +1,28 @@
-"""The registered queries of the operators, and DuckDB SQL for those it can express."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscout.llm.common import documents
+from gridscout.llm.common import documents, table, work_folder
+from gridscout.llm.decontamination import decontaminate
+from gridscout.llm.fingerprints import fingerprints
+from gridscout.llm.language_id import identify
+from gridscout.llm.licenses import scan_licenses
+from gridscout.llm.lm_scoring import lm_scores
+from gridscout.llm.near_dedup import near_duplicates
+from gridscout.llm.packing import pack
+from gridscout.llm.quality import quality_scores
 from gridscout.llm.substring_dedup import substring_dedup
+from gridscout.llm.warc import read_warc, write_warc
+
+
+def tokenizer() -> str:
+    """The vocabulary file; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,26 +30,59 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    "op1_substring_dedup": op1_substring_dedup,
-}
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(documents(spark, sf_dir))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.array_join("langs", ",").alias("langs"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir)).withColumnRenamed("edited", "edited_sha256")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(documents(spark, sf_dir))
+    return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
 
-ORACLES = {
-    "op1_substring_dedup": r"""
-WITH texts AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
-), windows AS (
-  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts)
-), later AS (
-  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1
-), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
-), word AS (
-  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts
-), kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
-)
-SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
-FROM texts LEFT JOIN kept USING (doc_id)
-""",
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer())
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_warc(write_warc(table(spark, sf_dir, "pages"), work_folder(spark, "warc")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid")
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_language_id,
+        op3_fingerprints,
+        op4_license_scan,
+        op5_near_dedup,
+        op6_best_fit_packing,
+        op7_decontamination,
+        op8_quality_classifier,
+        op9_warc,
+        op10_lm_scoring,
+    )
 }
