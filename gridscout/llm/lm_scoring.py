@@ -41,6 +41,7 @@ def lm_scores(
     rest: int = 2,
     smoothing: float = SMOOTHING,
     base: float = BASE,
+    bits_per_byte: float = 0.5,
     filter_bits: int = MOST_FILTER_BITS,
     most_words: int = MOST_WORDS,
     group_bytes: int = GROUP_BYTES,
@@ -56,7 +57,8 @@ def lm_scores(
     A null, empty or blank text is the end token alone. Without training documents N and V are 0 and
     every token is unknown: base_score is 0. Several rows of one id count as one, see
     `unique_texts`; rows without an id are left out. An empty table gives an empty table. Words are
-    told apart by 64-bit hash. Other columns of `docs` play no part, whatever they are called.
+    told apart by 64-bit hash. The filter has about `bits_per_byte` bits per byte of text, rounded up to a
+    power of two. Other columns of `docs` play no part, whatever they are called.
     """
     rows = unique_texts(docs, id_col, text_col).select(
         F.col(id_col).cast("long").alias("_id"), held_out(id_col, modulus, rest).alias("_held"), F.col(text_col).alias("_text")
@@ -64,7 +66,7 @@ def lm_scores(
     spark = rows.sparkSession
     size = text_size(rows, "_text")
     cell_bits = min((size // group_bytes).bit_length(), 20)
-    bits = max(cell_bits + 6, min((size // 2).bit_length(), filter_bits.bit_length() - 1, 48), 10)
+    bits = max(cell_bits + 6, min(int(size * bits_per_byte).bit_length(), filter_bits.bit_length() - 1, 48), 10)
     segment = bits - cell_bits
     counts = rows.where(~F.col("_held")).select("_text").mapInArrow(_count(cell_bits), "cell int, pairs boolean, hashes binary, counts binary")
     model = stage(
