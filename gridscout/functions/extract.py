@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Where the attributes of a profile page stand. Group 1 is the value.
 PATH_MARK = "com_drivers"
 NAME_PATTERN = r"<title>Driver: (.*) \| Driver Database</title>"
-SERIES_PATTERN = r"</div>\n*?\s*?</div>\n*?\s*?<div class=\"[\w ]*?\">([\w -]+)</div>\n*\s*</div>"
+SERIES_PATTERN = r"</div>\s*</div>\s*<div class=\"[\w ]*?\">([\w -]+)</div>\s*</div>"
 SCORE_PATTERN = r"driverdb score</div>\n?[ \t]*<div>([0-9,]*)"
 SECTION_HEADING = ">Driver Stats</h2>"
 JSON_PATTERN = r'"stats":(.*?),"careerOverview"'
@@ -56,8 +58,16 @@ def capture(text: Column, pattern: str) -> Column:
     return F.regexp_extract(text, pattern, 1)
 
 
+def quoted(label: str) -> str:
+    """A pattern for the label itself."""
+    return re.escape(label).replace(r"\ ", " ")
+
+
+# The patterns around a label below are fixed values too.
+
+
 def labelled_value(page: Column, label: str) -> Column:
-    return capture(page, rf"<div>{label}</div>\n*?\s*?<div>([^<]*)</div>")
+    return capture(page, rf"<div>{quoted(label)}</div>\s*<div>([^<]*)</div>")
 
 
 def section_from(page: Column, heading: str) -> Column:
@@ -71,11 +81,11 @@ def section_from(page: Column, heading: str) -> Column:
 
 
 def section_count(section: Column, label: str) -> Column:
-    return capture(section, rf"{label}</div>\n?[ \t]*<div>([0-9]*)</div>")
+    return capture(section, rf"{quoted(label)}</div>\n?[ \t]*<div>([0-9]*)</div>")
 
 
 def section_percentage(section: Column, label: str) -> Column:
-    return capture(section, rf"{label}</div>\n?[ \t]*<div>([0-9.]*)(?:<!-- -->)*%")
+    return capture(section, rf"{quoted(label)}</div>\n?[ \t]*<div>([0-9.]*)(?:<!-- -->)*%")
 
 
 def embedded_text(page: Column, pattern: str = JSON_PATTERN, skip_mark: str = JSON_SKIP_MARK) -> Column:

@@ -28,13 +28,3 @@ def to_units(score: Column) -> Column:
 
 def from_units(units: Column) -> Column:
     return units / F.lit(float(SCALE))
-
-
-def stored_length(length: Column) -> Column:
-    """The length as read back from one byte: exact below 40, else its four leading bits.
-
-    The byte counts 24 values one by one and then keeps the four highest bits of the rest.
-    """
-    rest = length - 24
-    step = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(rest)) - 4, F.lit(0)))
-    return F.when(length < 40, length).otherwise((24 + F.floor(rest / step) * step).cast("int"))

@@ -16,12 +16,20 @@ _SINGLE = r"\p{IsHan}\p{IsHiragana}"
 _RUN = rf"[\p{{L}}\p{{M}}\p{{N}}_&&[^{_SINGLE}]]{{1,{MAX_TERM}}}+"
 TOKEN_WORDBREAK = (
     rf"[{_SINGLE}]\p{{M}}*|{_RUN}"
-    rf"(?:(?:(?<=[\p{{L}}\p{{M}}])['’.:·](?=\p{{L}})|(?<=\p{{N}})[.,;'’](?=\p{{N}})){_RUN})*"
+    rf"(?:(?:(?<=[\p{{L}}\p{{M}}])['’.:·](?=\p{{L}})|(?<=\p{{N}})[.,;'’](?=\p{{N}})){_RUN})*+"  # possessive: no recursion
 )
 
 
 def tokens(text: Column, pattern: str = TOKEN_SIMPLE) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    """The terms of a text in order; what is longer than MAX_TERM is cut into pieces."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    if pattern == TOKEN_SIMPLE:  # gives no longer ones
+        return found
+    too_long = lambda t: F.length(t) > MAX_TERM
+    cut = lambda t: F.when(too_long(t), F.regexp_extract_all(t, F.lit(f"(?s).{{1,{MAX_TERM}}}"), F.lit(0))).otherwise(F.array(t))
+    return F.flatten(
+        F.transform(F.array(found), lambda s: F.when(F.exists(s, too_long), F.flatten(F.transform(s, cut))).otherwise(s))
+    )
 
 
 def term_counts(terms: Column) -> Column:

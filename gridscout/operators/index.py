@@ -1,9 +1,13 @@
-"""Search index as four Parquet tables.
+"""Search index as Parquet tables.
 
-docs         doc_id, number columns, stored columns          in folders by hash of doc_id
+docs         doc_id, number columns, stored columns          in folders by hash of doc_id, sorted
 postings     term, field, doc_id, tf, length                 in folders by hash of term, sorted
 term_stats   term, field, df                                 in folders by hash of term, sorted
+numbers      field, number_class, value, doc_id              sorted by field and value
 field_stats  field, n_docs, mean_length                      one row per field
+
+Files hold narrow key ranges, so that a literal key or bound reads few of them. Every build writes a version
+of its own below `path`; the newest complete one is read.
 """
 
 from __future__ import annotations
@@ -15,8 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridscout.functions.tokens import TOKEN_SIMPLE, term_counts, tokens
+from gridscout.sources.tables import folders, path_exists, remove
 
 BUCKETS = 16
+BUCKET_ROWS = 20_000_000
+NUMBER_CLASSES = 64  # number classes on either side of 0
 
 
 @dataclass(frozen=True)
@@ -25,6 +32,7 @@ class Index:
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    numbers: DataFrame | None
     token_pattern: str
     buckets: int
     number_columns: tuple[str, ...]
@@ -90,12 +98,30 @@ def term_stats(rows: DataFrame) -> DataFrame:
     return rows.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _write_by_bucket(df: DataFrame, bucket: str, order: list[str], path: str) -> None:
-    """One folder per bucket, files sorted. The rebalance hint lets adaptive execution give a big
-    bucket, such as that of a very frequent term, to several writing tasks."""
-    df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order).write.partitionBy(bucket).mode(
-        "overwrite"
-    ).parquet(path)
+def number_class(value: Column) -> Column:
+    """A small whole number that never falls as `value` grows; null for NaN."""
+    size = F.floor(F.least(F.log2(F.abs(value) + 1) + 1, F.lit(float(NUMBER_CLASSES))))
+    return (
+        F.when(F.isnan(value) | value.isNull(), F.lit(None))
+        .when(value == 0, F.lit(0))
+        .otherwise(F.signum(value) * size)
+        .cast("int")
+    )
+
+
+def _number_rows(values: DataFrame, id_column: str, numbers: list[str]) -> DataFrame:
+    """(field, number_class, value, doc_id) of the numbers that documents have."""
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in numbers])
+    rows = values.select(F.col(id_column).alias("doc_id"), F.inline(cells))
+    return rows.select("field", number_class(F.col("value")).alias("number_class"), "value", "doc_id").where("number_class IS NOT NULL")
+
+
+def _write_sorted(df: DataFrame, order: list[str], path: str, bucket: str | None = None) -> None:
+    """Files with narrow ranges of `order`, in a folder per bucket. The order tells all rows apart, so that
+    a very frequent first key is spread over several files and tasks."""
+    keys = ([bucket] if bucket else []) + order
+    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write
+    (writer.partitionBy(bucket) if bucket else writer).parquet(path)
 
 
 def write_index(
@@ -106,45 +132,63 @@ def write_index(
     number_columns: Iterable[str] = (),
     stored_columns: Iterable[str] = (),
     token_pattern: str = TOKEN_SIMPLE,
-    buckets: int = BUCKETS,
-    values: DataFrame | None = None,
+    buckets: int | None = None,
+    more_terms: DataFrame | None = None,
 ) -> None:
-    """Build the index of `docs` anew at `path`.
+    """Build a new version of the index of `docs` at `path`.
 
     Text is split once, into the per-document table `terms`, and all else is derived from that.
-    Numbers and stored columns are taken from `values`, a table with the same ids, where that is
-    cheaper to compute than `docs`. `buckets` should make a folder of postings about as big as a
-    search may read.
+    `more_terms`: `field_terms` of further fields, of other tables with the same ids. Without
+    `buckets` there is one for each BUCKET_ROWS postings, and at least BUCKETS. The version counts when
+    its last table, `meta`, is complete. The version before it stays, for searches that still run.
     """
     spark = docs.sparkSession
-    values = docs if values is None else values
     numbers = list(number_columns)
     kept = numbers + [c for c in stored_columns if c not in numbers]
-    field_terms(docs, id_column, text_fields, token_pattern).write.mode("overwrite").parquet(f"{path}/terms")
-    terms = spark.read.parquet(f"{path}/terms")
+    old = _versions(spark, path)
+    version = f"{path}/v{max(old, default=0) + 1:09d}"
+    remove(spark, version)  # of a build that failed
+    found = field_terms(docs, id_column, text_fields, token_pattern)
+    (found if more_terms is None else found.unionByName(more_terms)).write.parquet(f"{version}/terms")
+    terms = spark.read.parquet(f"{version}/terms")
+    if buckets is None:
+        buckets = max(BUCKETS, -(-(terms.agg(F.sum(F.size("terms"))).first()[0] or 0) // BUCKET_ROWS))
     by_term = postings(terms).withColumn("bucket", bucket_of("term", buckets))
-    _write_by_bucket(by_term, "bucket", ["term", "field", "doc_id"], f"{path}/postings")
-    df_counts = term_stats(spark.read.parquet(f"{path}/postings")).withColumn(
-        "bucket", bucket_of("term", buckets)
-    )
-    _write_by_bucket(df_counts, "bucket", ["term", "field"], f"{path}/term_stats")
-    field_stats(terms).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
-    stored = values.select(F.col(id_column).alias("doc_id"), *[c for c in kept if c != "doc_id"])
-    _write_by_bucket(
-        stored.withColumn("bucket", bucket_of("doc_id", buckets)), "bucket", ["doc_id"], f"{path}/docs"
-    )
+    _write_sorted(by_term, ["term", "field", "doc_id"], f"{version}/postings", "bucket")
+    df_counts = term_stats(spark.read.parquet(f"{version}/postings")).withColumn("bucket", bucket_of("term", buckets))
+    _write_sorted(df_counts, ["term", "field"], f"{version}/term_stats", "bucket")
+    field_stats(terms).repartition(1).write.parquet(f"{version}/field_stats")
+    if numbers:
+        _write_sorted(_number_rows(docs, id_column, numbers), ["field", "value", "doc_id"], f"{version}/numbers")
+    stored = docs.select(F.col(id_column).alias("doc_id"), *[c for c in kept if c != "doc_id"])
+    _write_sorted(stored.withColumn("bucket", bucket_of("doc_id", buckets)), ["doc_id"], f"{version}/docs", "bucket")
+    remove(spark, f"{version}/terms")
     spark.range(1).select(
         F.lit(token_pattern).alias("token_pattern"),
         F.lit(buckets).alias("buckets"),
         F.array(*[F.lit(c) for c in numbers]).cast("array<string>").alias("numbers"),
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    ).repartition(1).write.parquet(f"{version}/meta")
+    for n in sorted(old)[:-1]:
+        remove(spark, f"{path}/v{n:09d}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions at `path`."""
+    names = [x for x in folders(spark, path) if x[:1] == "v" and x[1:].isdigit()]
+    return sorted(int(x[1:]) for x in names if path_exists(spark, f"{path}/{x}/meta/_SUCCESS"))
+
+
+def index_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_versions(spark, path))
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    meta = spark.read.parquet(f"{path}/meta").first()
-    tables = {t: spark.read.parquet(f"{path}/{t}") for t in ["docs", "postings", "term_stats", "field_stats"]}
+    version = f"{path}/v{_versions(spark, path)[-1]:09d}"
+    meta = spark.read.parquet(f"{version}/meta").first()
+    tables = {t: spark.read.parquet(f"{version}/{t}") for t in ["docs", "postings", "term_stats", "field_stats"]}
     return Index(
         **tables,
+        numbers=spark.read.parquet(f"{version}/numbers") if meta.numbers else None,
         token_pattern=meta.token_pattern,
         buckets=meta.buckets,
         number_columns=tuple(meta.numbers),

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows of one key that one task may hold
-HOT_KEYS = 1_000  # bound of the broadcast list of hot keys
 
 
-def hot_keys(left: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """(h0, h1, ..., salts): the most frequent keys with at least `hot_rows` rows.
+def hot_keys(left: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(h0, h1, ..., salts): the keys with at least `hot_rows` rows.
 
-    At most `limit` rows, so it may be broadcast. A key beyond the list holds less than
-    1 / limit of all rows and stays in one part.
+    These can never be more than rows / hot_rows, 100,000 short rows at 10^11, so they may be broadcast.
     """
     counts = left.groupBy(*[F.col(c).alias(f"h{i}") for i, c in enumerate(on)]).agg(
         F.count(F.lit(1)).alias("_n")
@@ -21,8 +19,6 @@ def hot_keys(left: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, limit: in
     names = [f"h{i}" for i in range(len(on))]
     return (
         counts.where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *names)
-        .limit(limit)
         .select(*names, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
 

@@ -83,7 +83,11 @@ def profile_values(enriched: DataFrame) -> DataFrame:
     return typed_profiles(enriched.fillna("", subset=texts))
 
 
+def page_texts(pages: DataFrame) -> DataFrame:
+    """(filename, content): the tag-free text of each page."""
+    return pages.select("filename", strip_tags(F.col("content")).alias("content"))
+
+
 def profile_documents(enriched: DataFrame, pages: DataFrame) -> DataFrame:
     """Search documents: typed enriched rows with `content`, the tag-free text of their page."""
-    bodies = pages.select("filename", strip_tags(F.col("content")).alias("content"))
-    return profile_values(enriched).join(bodies, "filename", "left")
+    return profile_values(enriched).join(page_texts(pages), "filename", "left")

@@ -9,21 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridscout.functions import scoring as S
 from gridscout.functions.tokens import tokens
-from gridscout.operators.index import Index, bucket_of
+from gridscout.operators.index import NUMBER_CLASSES, Index, bucket_of, number_class
 from gridscout.operators.joins import join_unique
 from gridscout.operators.requests import parse_requests
 
 BROADCAST_ROWS = 100_000  # clause rows, requests or hits that may be sent to every executor
-SLICES = 64  # parts of a term's postings when there are more clause rows than that
-CLAUSES_PER_WORD = 60  # clause marks held by one long
-NUMBER_CLASSES = 64  # number classes on either side of 0
+BROADCAST_BYTES = 32 << 20  # and their bytes
+PUSHED_KEYS = 1_000  # terms or document ids that are pushed to the scans as literals
+SLICE_DF = 1_000_000  # postings of one term that one task may join when there are many clauses
+PARTS = 64  # parts of a request's hits that are cut to k first
+MOST_WEIGHT = 1e6  # keeps sums of scores within a long
 
 
 def _quoted(text: str) -> str:
@@ -94,10 +95,20 @@ class Facts:
 
     n_requests: int
     n_ranges: int
+    range_bytes: int
     any_range_only: bool
     n_rows: int
-    last_clause: int
+    n_bytes: int
     buckets: list[int]  # at most index.buckets numbers
+    terms: list[str] | None  # where these are few
+
+    def small(self, rows: int, size: int) -> bool:
+        return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def _bytes(*columns: str) -> Column:
+    """Bytes of the columns of all rows, as text."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*columns)))), F.lit(0))
 
 
 def _facts(parsed: DataFrame, clauses: DataFrame) -> Facts:
@@ -105,29 +116,35 @@ def _facts(parsed: DataFrame, clauses: DataFrame) -> Facts:
     of_requests = parsed.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.size("ranges")).alias("n_ranges"),
+        _bytes("query_id", "ranges").alias("bytes"),
         F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("any_range_only"),
     ).first()
     of_clauses = clauses.agg(
         F.count(F.lit(1)).alias("n"),
-        F.max("clause").alias("last_clause"),
+        _bytes("query_id", "term", "field").alias("bytes"),
         F.collect_set("bucket").alias("buckets"),
     ).first()
+    few = of_clauses.n <= PUSHED_KEYS and of_clauses.bytes <= BROADCAST_BYTES
     return Facts(
         of_requests.n,
         of_requests.n_ranges or 0,
+        of_requests.bytes,
         bool(of_requests.any_range_only),
         of_clauses.n,
-        of_clauses.last_clause or 0,
+        of_clauses.bytes,
         sorted(of_clauses.buckets),
+        sorted(r.term for r in clauses.select("term").distinct().collect()) if few else None,
     )
 
 
-def _term_scores(index: Index, clauses: DataFrame, facts: Facts, exact_length: bool) -> DataFrame:
+def _term_scores(index: Index, clauses: DataFrame, facts: Facts) -> DataFrame:
     """(query_id, n_clauses, doc_id, clause, units): one row per matching posting."""
     looked_up = ["query_id", "n_clauses", "clause", "bucket", "term", "field"]
     where = F.col("bucket").isin(facts.buckets) if facts.buckets else F.lit(False)
+    if facts.terms:
+        where = where & F.col("term").isin(facts.terms)
     stats, rows = index.term_stats.where(where), index.postings.where(where)
-    small = facts.n_rows <= BROADCAST_ROWS
+    small = facts.small(facts.n_rows, facts.n_bytes)
     on = ["bucket", "term", "field"]
     if small:
         found = stats.join(F.broadcast(clauses), on)
@@ -136,32 +153,32 @@ def _term_scores(index: Index, clauses: DataFrame, facts: Facts, exact_length: b
     weighted = found.join(F.broadcast(index.field_stats), "field").select(
         *looked_up,
         "mean_length",
+        F.ceil(F.col("df") / SLICE_DF).cast("int").alias("slices"),
         (F.col("boost") * S.idf(F.col("n_docs"), F.col("df"))).alias("weight"),
     )
     if small:  # at most one row per row of `clauses`
-        hits = rows.join(F.broadcast(weighted), on)
+        hits = rows.join(F.broadcast(weighted.drop("slices")), on)
     else:
-        slices = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
-        hits = rows.withColumn("slice", bucket_of("doc_id", SLICES)).join(
-            weighted.withColumn("slice", slices), [*on, "slice"]
-        )
-    length = F.col("length") if exact_length else S.stored_length(F.col("length"))
-    score = F.col("weight") * S.saturation(F.col("tf"), length, F.col("mean_length"))
+        # only frequent terms are cut; there are at most postings / SLICE_DF of them
+        frequent = stats.where(F.col("df") > SLICE_DF).select(*on, F.ceil(F.col("df") / SLICE_DF).cast("int").alias("_of"))
+        part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_of")).cast("int"), F.lit(0))
+        parted = rows.join(F.broadcast(frequent), on, "left").withColumn("slice", part).drop("_of")
+        slices = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+        hits = parted.join(weighted.withColumn("slice", slices).drop("slices"), [*on, "slice"])
+    score = F.col("weight") * S.saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
     return hits.select("query_id", "n_clauses", "doc_id", "clause", S.to_units(score).alias("units"))
 
 
-def _clause_matches(scores: DataFrame, last_clause: int) -> DataFrame:
-    """(query_id, doc_id, units) of the documents that match every clause of the request."""
-    words = range(last_clause // CLAUSES_PER_WORD + 1)
-    mark = lambda w: F.when(
-        F.floor(F.col("clause") / CLAUSES_PER_WORD) == w,
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("clause") % CLAUSES_PER_WORD),
-    ).otherwise(F.lit(0).cast("long"))
-    summed = scores.groupBy("query_id", "n_clauses", "doc_id").agg(
-        F.sum("units").alias("units"), *[F.bit_or(mark(w)).alias(f"marks{w}") for w in words]
-    )
-    matched = reduce(Column.__add__, [F.bit_count(f"marks{w}") for w in words])
-    return summed.where(matched == F.col("n_clauses")).select("query_id", "doc_id", "units")
+def _clause_matches(scores: DataFrame) -> DataFrame:
+    """(query_id, doc_id, units) of the documents that match every clause of the request.
+
+    Postings of one document lie by term, so there is little to add up before the shuffle; one
+    partitioning serves both groupings.
+    """
+    keys = ["query_id", "n_clauses", "doc_id"]
+    by_clause = scores.repartition(*keys).groupBy(*keys, "clause").agg(F.sum("units").alias("units"))
+    summed = by_clause.groupBy(*keys).agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("matched"))
+    return summed.where(F.col("matched") == F.col("n_clauses")).select("query_id", "doc_id", "units")
 
 
 def _numbers(index: Index) -> Column:
@@ -185,86 +202,98 @@ def in_ranges(numbers: Column, ranges: Column, positive_percentages: bool) -> Co
     return F.forall(ranges, holds)
 
 
-def number_class(value: Column) -> Column:
-    """A small whole number that never falls as `value` grows; null for NaN."""
-    size = F.floor(F.least(F.log2(F.abs(value) + 1) + 1, F.lit(float(NUMBER_CLASSES))))
-    return (
-        F.when(F.isnan(value) | value.isNull(), F.lit(None))
-        .when(value == 0, F.lit(0))
-        .otherwise(F.signum(value) * size)
-        .cast("int")
+def _narrowest(parsed: DataFrame) -> DataFrame:
+    """(query_id, ranges, field, low, high) of the requests made of ranges only: their ranges of one
+    field are intersected, and the field is the one over the fewest number classes. A request with a
+    bound that is no number, or with an empty intersection, matches nothing and is left out."""
+    only = parsed.where((F.col("n_clauses") == 0) & (F.size("ranges") > 0))
+    bad = F.exists("ranges", lambda r: r["low"].isNull() | r["high"].isNull())
+    each = only.where(~bad).select("query_id", "ranges", F.explode("ranges").alias("r"))
+    by_field = each.groupBy("query_id", F.col("r.field").alias("field")).agg(
+        F.max("r.low").alias("low"), F.min("r.high").alias("high"), F.first("ranges").alias("ranges")
     )
+    span = number_class(F.col("high")) - number_class(F.col("low"))
+    best = F.min_by(F.struct("ranges", "field", "low", "high"), F.struct(span, F.col("field"))).alias("x")
+    return by_field.groupBy("query_id").agg(best).select("query_id", "x.*").where("low <= high")
 
 
-def _range_only_matches(
-    index: Index, parsed: DataFrame, small: bool, positive_percentages: bool
-) -> DataFrame:
+def _range_only_matches(index: Index, parsed: DataFrame, facts: Facts, positive_percentages: bool) -> DataFrame:
     """(query_id, doc_id, n_ranges) for requests made of ranges only.
 
-    The request's first range is looked up by number class, an equi-join; the others are tested on
-    what it finds.
+    The request's narrowest field is looked up by number class, an equi-join, and by its bounds; the
+    other ranges are tested on what that finds.
     """
-    first = F.get("ranges", F.lit(0))
-    wanted = parsed.where((F.col("n_clauses") == 0) & (F.size("ranges") > 0)).select(
-        "query_id",
-        "ranges",
-        first["field"].alias("field"),
-        F.explode(_classes(first)).alias("number_class"),
-    )
-    docs = (
-        index.docs.select("doc_id", _numbers(index).alias("numbers"))
-        .select("doc_id", "numbers", F.explode("numbers").alias("field", "value"))
-        .select("doc_id", "numbers", "field", number_class(F.col("value")).alias("number_class"))
-    )
-    on = ["field", "number_class"]
-    if small:
-        pairs = docs.join(F.broadcast(wanted), on)
-    else:
-        pairs = docs.withColumn("slice", bucket_of("doc_id", SLICES)).join(
-            wanted.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))),
-            [*on, "slice"],
-        )
-    return pairs.where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages)).select(
+    narrowest = _narrowest(parsed)
+    rows = index.numbers
+    if facts.n_requests == 1:  # literal bounds reach the scan
+        bound = narrowest.select("field", "low", "high").first()
+        if bound is None:
+            rows = rows.where(F.lit(False))
+        else:
+            rows = rows.where((F.col("field") == bound.field) & F.col("value").between(bound.low, bound.high))
+    low, high = number_class(F.col("low")), number_class(F.col("high"))
+    wanted = narrowest.withColumn("number_class", F.explode(F.sequence(low, high)))
+    copies = 2 * NUMBER_CLASSES + 1
+    if facts.small(facts.n_requests * copies, facts.range_bytes * copies):
+        wanted = F.broadcast(wanted)
+    pairs = rows.join(wanted, ["field", "number_class"]).where(F.col("value").between(F.col("low"), F.col("high")))
+    numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
+    found = pairs.select("query_id", "doc_id", "ranges").join(numbers, "doc_id")
+    return found.where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages)).select(
         "query_id", "doc_id", F.size("ranges").alias("n_ranges")
     )
 
 
-def _classes(r: Column) -> Column:
-    low, high = number_class(r["low"]), number_class(r["high"])
-    return F.when(low <= high, F.sequence(F.least(low, high), high))
+def _within_literal_ranges(index: Index, hits: DataFrame, ranges: list, positive_percentages: bool) -> DataFrame:
+    """`hits` of a single request whose documents are in all ranges: the bounds reach the scan of `numbers`."""
+    for field in dict.fromkeys(r["field"] for r in ranges):
+        own = [r for r in ranges if r["field"] == field]
+        if any(r["low"] is None or r["high"] is None for r in own) or index.numbers is None:
+            return hits.where(F.lit(False))
+        value = F.col("value")
+        inside = (F.col("field") == field) & value.between(max(r["low"] for r in own), min(r["high"] for r in own))
+        if positive_percentages and "percentage" in field and any(r["low"] == float("-inf") for r in own):
+            inside = inside & (value > 0)
+        hits = hits.join(index.numbers.where(inside).select("doc_id"), "doc_id", "left_semi")
+    return hits
 
 
 def _matches(
     index: Index,
     requests: DataFrame,
     weights: Mapping[str, float],
-    exact_length: bool = True,
     word_bounds: bool = False,
     positive_percentages: bool = False,
 ) -> tuple[DataFrame, int]:
     """`matches` and the number of requests."""
+    if any(not 0 <= w <= MOST_WEIGHT for w in weights.values()):
+        raise ValueError(f"weights must be from 0 to {MOST_WEIGHT:g}")
     parsed = _parsed(index, requests, word_bounds)
     clauses = clause_terms(parsed, weights, index.buckets)
     facts = _facts(parsed, clauses)
-    found = _clause_matches(_term_scores(index, clauses, facts, exact_length), facts.last_clause)
+    found = _clause_matches(_term_scores(index, clauses, facts))
     score = S.from_units(F.col("units"))
     if not facts.n_ranges:
         return found.select("query_id", "doc_id", score.alias("score")), facts.n_requests
     ranged = parsed.where(F.col("n_clauses") > 0).select("query_id", "ranges")
-    n_rows = facts.n_requests + facts.n_ranges
-    if n_rows <= BROADCAST_ROWS:
-        with_ranges = found.join(F.broadcast(ranged), "query_id")
+    if facts.n_requests == 1:
+        ranges = parsed.select("ranges").first().ranges
+        kept = _within_literal_ranges(index, found, ranges, positive_percentages).select(
+            "query_id", "doc_id", (score + len(ranges)).alias("score")
+        )
     else:
-        with_ranges = join_unique(found, ranged, ["query_id"], ["doc_id"], "inner")
-    numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
-    kept = (
-        with_ranges.join(numbers, "doc_id")
-        .where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages))
-        .select("query_id", "doc_id", (score + F.size("ranges")).alias("score"))
-    )
-    if facts.any_range_only and index.number_columns:
-        small = n_rows * (2 * NUMBER_CLASSES + 1) <= BROADCAST_ROWS
-        only = _range_only_matches(index, parsed, small, positive_percentages)
+        if facts.small(facts.n_requests, facts.range_bytes):
+            with_ranges = found.join(F.broadcast(ranged), "query_id")
+        else:
+            with_ranges = join_unique(found, ranged, ["query_id"], ["doc_id"], "inner")
+        numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
+        kept = (
+            with_ranges.join(numbers, "doc_id")
+            .where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages))
+            .select("query_id", "doc_id", (score + F.size("ranges")).alias("score"))
+        )
+    if facts.any_range_only and index.numbers is not None:
+        only = _range_only_matches(index, parsed, facts, positive_percentages)
         kept = kept.unionByName(
             only.select("query_id", "doc_id", F.col("n_ranges").cast("double").alias("score"))
         )
@@ -279,14 +308,13 @@ def matches(
     `query_id` tells the requests apart. The requests are read several times: a table that is
     costly to compute should be written first.
 
-    Options: `exact_length` off uses field lengths as kept in one byte; `word_bounds` reads bounds
-    as whole words; `positive_percentages` lets an upper bound on a percentage leave out values
-    that are not above 0.
+    Options: `word_bounds` reads bounds as whole words; `positive_percentages` lets an upper bound
+    on a percentage leave out values that are not above 0.
     """
     return _matches(index, requests, weights, **options)[0]
 
 
-def top_k(hits: DataFrame, k: int = 10, parts: int = SLICES) -> DataFrame:
+def top_k(hits: DataFrame, k: int = 10, parts: int = PARTS) -> DataFrame:
     """The k best hits per query with their rank; equal scores by doc_id.
 
     Cut to k per part of a query first, so that a query which matches a third of all documents
@@ -320,11 +348,16 @@ def search_one(
     best = hits.orderBy(F.desc("score"), "doc_id").limit(k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return with_stored(index, ranked, k)
+    if k > PUSHED_KEYS:
+        return with_stored(index, ranked, k)
+    rows = ranked.collect()  # at most k, whose ids reach the scan of the stored columns
+    ranked = index.docs.sparkSession.createDataFrame(rows, ranked.schema)
+    return with_stored(index, ranked, k, [r.doc_id for r in rows])
 
 
-def with_stored(index: Index, best: DataFrame, n_hits: int) -> DataFrame:
-    """Hits with the stored columns of their documents; `n_hits` bounds the rows of `best`.
+def with_stored(index: Index, best: DataFrame, n_hits: int, ids: list | None = None) -> DataFrame:
+    """Hits with the stored columns of their documents; `n_hits` bounds the rows of `best`, `ids` are its
+    documents where they are known.
 
     Both sides have the bucket of the doc_id, so a short list of hits prunes the folders of `docs`
     that are read.
@@ -333,9 +366,8 @@ def with_stored(index: Index, best: DataFrame, n_hits: int) -> DataFrame:
     if n_hits <= BROADCAST_ROWS:
         hits = F.broadcast(hits)
     stored = [c for c in index.docs.columns if c not in ("doc_id", "bucket")]
-    return index.docs.join(hits, ["bucket", "doc_id"]).select(
-        "query_id", "rank", "score", "doc_id", *stored
-    )
+    docs = index.docs if ids is None else index.docs.where(F.col("doc_id").isin(ids))
+    return docs.join(hits, ["bucket", "doc_id"]).select("query_id", "rank", "score", "doc_id", *stored)
 
 
 def total_hits(hits: DataFrame, requests: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ All tables are kept below one folder `out`: profiles, wiki, titles, enriched and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridscout.functions.extract import PATH_MARK
 from gridscout.functions.tokens import TOKEN_WORDBREAK
 from gridscout.operators.enrich import enrich_profiles
-from gridscout.operators.index import BUCKETS, read_index, write_index
-from gridscout.operators.profiles import extract_profiles, profile_documents, profile_values
+from gridscout.operators.index import field_terms, read_index, write_index
+from gridscout.operators.profiles import extract_profiles, page_texts, profile_values
 from gridscout.operators.redirects import title_map
 from gridscout.operators.search import search, search_one
 from gridscout.schemas import (
@@ -45,19 +46,25 @@ def write_profile_index(
     pages: DataFrame,
     path: str,
     token_pattern: str = TOKEN_WORDBREAK,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
-    """Index of enriched profiles and the text of their (filename, content) pages, built anew."""
+    """Index of enriched profiles and the text of their (filename, content) pages, built anew.
+
+    Page texts become counted terms before they meet the profiles, so that no text is shuffled.
+    """
+    columns = {field: column for field, (column, _) in TEXT_FIELDS.items()}
+    of_pages = {field: column for field, column in columns.items() if column == "content"}
+    ids = enriched.select(F.col("filename").alias("doc_id"))
     write_index(
-        profile_documents(enriched, pages),
+        profile_values(enriched),
         path,
         "filename",
-        {field: column for field, (column, _) in TEXT_FIELDS.items()},
+        {field: column for field, column in columns.items() if field not in of_pages},
         INT_COLUMNS + DOUBLE_COLUMNS,
-        [c for c in ENRICHED_COLUMNS if c != "filename"],
+        [c for c in ENRICHED_COLUMNS if c != "filename"] + ["bad_columns"],
         token_pattern,
         buckets,
-        profile_values(enriched),
+        field_terms(page_texts(pages), "filename", of_pages, token_pattern).join(ids, "doc_id", "left_semi"),
     )
 
 

@@ -34,6 +34,7 @@ def _percent(label: str, value: str) -> str:
 
 
 K = "c_custkey"
+NL_OR_BLANK = f"CASE WHEN {K} % 3 = 0 THEN 10 ELSE 32 END"
 COUNTRY = "replace(n_name, '_', ' ')"
 STATS_JSON = f"""CASE
   WHEN c_mktsegment <> 'BUILDING' THEN '{{}}'
@@ -49,14 +50,18 @@ SECTION = f"""CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat(
   {_labelled('pole positions', f'{K} % 6')}, {_labelled('fastest laps', f'{K} % 8')},
   {_percent('race win percentage', f'{K} % 100')}, {_percent('podium percentage', f'{K} % 95')}) END"""
 
+# Texts that a table file must not lose: line ends, tabs, quotes, backslashes, outer blanks.
+HOMETOWN = f"""concat(CASE {K} % 8 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN chr(34) ELSE 'Port' END, chr({NL_OR_BLANK}), {COUNTRY},
+  CASE {K} % 7 WHEN 0 THEN chr(92) WHEN 1 THEN concat(chr(92), 'n') WHEN 2 THEN concat(chr(9), 'x ') WHEN 3 THEN concat(chr(13), 'y') WHEN 4 THEN chr(34) ELSE '' END)"""
+
 # (k, filename, content): a crawled page per customer; overdrawn accounts are team pages.
 PAGES_SQL = f"""SELECT {K} AS k,
   concat('file:/crawl/com_', CASE WHEN c_acctbal < 0 THEN 'teams' ELSE 'drivers' END, '_', {K}, '.html') AS filename,
   concat('<html><head><title>Driver: ', c_name, ' | Driver Database</title></head><body>', {NL},
     '<script>var page={{"stats":', {STATS_JSON}, ',"careerOverview":[]}};</script>', {NL},
-    {_labelled('nationality', COUNTRY)}, {_labelled('age', f'{K} % 60')},
+    {_labelled('nationality', f"concat(CASE WHEN {K} % 5 = 2 THEN '  ' ELSE '' END, {COUNTRY}, CASE WHEN {K} % 5 < 2 THEN ' ' ELSE '' END)")}, {_labelled('age', f'{K} % 60')},
     {_labelled('birthday', f"concat(1 + {K} % 28, ' May ', 1950 + {K} % 50)")},
-    {_labelled('hometown', f"concat('Port ', {COUNTRY})")},
+    {_labelled('hometown', HOMETOWN)},
     '<div><div>series</div>', {NL}, '</div>', {NL}, '<div class="badge big">', c_mktsegment, '</div>', {NL}, '</div>', {NL},
     {SECTION}, '<div>driverdb score</div>', {NL}, '<div>1,', 100 + {K} % 900, '</div>', {NL},
     '<p>', c_name, ' has a balance of ', CAST(round(c_acctbal) AS bigint), ' and drives for ', n_name, '.</p></body></html>') AS content
@@ -85,10 +90,14 @@ UNION ALL
 SELECT n_nationkey * 10 + 5, concat('Team ', n_name), false, NULL, concat('See also.', {NL}, {BOLD}, 'Team ', n_name, {BOLD}, ' races.', {NL}, 'End.')
   FROM nation"""
 
-# (doc_id, xml): a dump record per document.
-XML_SQL = """SELECT doc_id, concat('<page><title>Doc ', doc_id, '</title><id>', doc_id,
-  '</id><revision><id>1</id><text bytes="', n_chars, '">',
-  replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</text></revision></page>') AS xml
+# (doc_id, xml): a dump record per document. Some are broken, redirect, have two revisions or no text.
+XML_BROKEN, XML_REDIRECT, XML_TWICE, XML_NO_TEXT = "doc_id % 17 = 3", "doc_id % 9 = 4", "doc_id % 6 = 1", "doc_id % 13 = 5"
+XML_SQL = f"""SELECT doc_id, CASE WHEN {XML_BROKEN} THEN concat('<page><title>Doc ', doc_id, '<id>', doc_id, '</page>')
+  ELSE concat('<page><title>Doc ', doc_id, '</title><id>', doc_id, '</id>',
+    CASE WHEN {XML_REDIRECT} THEN concat('<redirect title="Doc ', doc_id + 1, ' &amp; more" />') ELSE '' END,
+    CASE WHEN {XML_NO_TEXT} THEN '<revision><id>1</id><text bytes="0" /></revision>' ELSE concat('<revision><id>1</id><text bytes="', n_chars, '">',
+      replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</text></revision>') END,
+    CASE WHEN {XML_TWICE} THEN '<revision><id>2</id><text bytes="9">not first</text></revision>' ELSE '' END, '</page>') END AS xml
 FROM documents """
 
 # (id, title, is_redirect, target, text): documents as pages; chains of several lengths, and cycles.

@@ -34,11 +34,13 @@ STRIP = "regexp_replace(regexp_replace(html, '<script[^>]*>[\\s\\S]*?</script[^>
 STRIP_CONTENT = STRIP.replace("(html,", "(content,")
 TITLE = group1("html", r"<title>([^<]*)</title>")
 
+# Fixed values, written apart from the code under test: what the patterns must find.
+SERIES = r"</div>\n*?\s*?</div>\n*?\s*?<div class=\"[\w ]*?\">([\w -]+)</div>\n*\s*</div>"
 # Section values by one pattern over the whole page.
 _SECTION = r">Driver Stats</h2>[\s\S]*?"
 ATTRIBUTES = {
     "name": X.NAME_PATTERN,
-    "series": X.SERIES_PATTERN,
+    "series": SERIES,
     "driverdb_score": X.SCORE_PATTERN,
     **{c: rf"<div>{c}</div>\n*?\s*?<div>([^<]*)</div>" for c in X.VALUE_LABELS},
     **{c: rf"{_SECTION}{label}</div>\n?[ \t]*<div>([0-9]*)</div>" for c, label in X.COUNT_LABELS.items()},
@@ -135,9 +137,30 @@ TOKENS = f"""flatten(list_transform(regexp_extract_all(lower(%s), '[\\p{{L}}\\p{
   lambda t: CASE WHEN length(t) <= {MAX_TERM} THEN [t] ELSE regexp_extract_all(t, '.{{1,{MAX_TERM}}}') END))"""
 
 
-def with_index(texts: str) -> str:
+def wordbreak_tokens(column: str) -> str:
+    """Tokens that keep joiners between letters or digits. RE2 cannot look around, so a joiner in such a place is
+    first replaced by a private character, twice because matches overlap, and put back in the tokens."""
+    joiners = [(r"[\p{L}\p{M}]", r"\p{L}", c) for c in "'’.:·"] + [(r"\p{N}", r"\p{N}", c) for c in ".,;'’"]
+    private = [chr(0xE000 + i) for i in range(len(joiners))]
+    text = f"lower({column})"
+    for (before, after, joiner), mark in zip(joiners, private, strict=True):
+        pattern = f"({before})[{joiner}]({after})".replace("'", "''")
+        for _ in range(2):
+            text = f"regexp_replace({text}, '{pattern}', '\\1{mark}\\2', 'g')"
+    text = rf"regexp_replace({text}, '([\p{{Han}}\p{{Hiragana}}]\p{{M}}*)', ' \1 ', 'g')"
+    plain = "".join(c for _, _, c in joiners).replace("'", "''")
+    found = rf"regexp_extract_all({text}, '[\p{{L}}\p{{M}}\p{{N}}_{''.join(private)}]+')"
+    return f"""flatten(list_transform({found}, lambda t: CASE WHEN length(t) <= {MAX_TERM} THEN [translate(t, '{''.join(private)}', '{plain}')]
+      ELSE regexp_extract_all(translate(t, '{''.join(private)}', '{plain}'), '.{{1,{MAX_TERM}}}') END))"""
+
+
+def simple_tokens(column: str) -> str:
+    return TOKENS % column
+
+
+def with_index(texts: str, tokens=simple_tokens) -> str:
     """tf, dl, fs and dfs over `texts`, a query for (doc_id, field, text)."""
-    return f"""txt AS ({texts}), tok AS (SELECT doc_id, field, unnest({TOKENS % 'text'}) AS term FROM txt),
+    return f"""txt AS ({texts}), tok AS (SELECT doc_id, field, unnest({tokens('text')}) AS term FROM txt),
 tf AS (SELECT doc_id, field, term, count(*) AS tf FROM tok GROUP BY ALL),
 dl AS (SELECT doc_id, field, count(*) AS dl FROM tok GROUP BY ALL),
 fs AS (SELECT field, count(*) AS n, avg(dl) AS avgdl FROM dl GROUP BY field),
@@ -151,9 +174,14 @@ def melted(table: str, key: str, columns: dict[str, str], value: str) -> str:
     )
 
 
-def with_matches(texts: str, numbers: str, requests: str, weights: dict[str, float]) -> str:
+def with_matches(
+    texts: str, numbers: str, requests: str, weights: dict[str, float], tokens=simple_tokens, word_bounds=False, positive=False
+) -> str:
     """hits(query_id, doc_id, score): every matching document of every request."""
-    bounds = r"(-?\w+(?:\.\d+)?)"
+    bounds = r"(\w+)" if word_bounds else r"(-?\w+(?:\.\d+)?)"
+    inside = "value BETWEEN lo AND hi"
+    if positive:
+        inside += " AND (NOT contains(field, 'percentage') OR lo > CAST('-inf' AS DOUBLE) OR value > 0)"
     parts = {"m": r"@(\w+)=(\w+)", "hi": rf"\$(\w+)={bounds}", "lo": rf"\^(\w+)={bounds}"}
     text = "q"
     for p in parts.values():
@@ -162,16 +190,16 @@ def with_matches(texts: str, numbers: str, requests: str, weights: dict[str, flo
         f"regexp_extract_all(q, '{p}', {i}) AS {n}{i}" for n, p in parts.items() for i in (1, 2)
     )
     boosts = listed(f"('{f}', {w})" for f, w in weights.items())
-    return f"""{with_index(texts)}, num AS ({numbers}), req AS ({requests}),
+    return f"""{with_index(texts, tokens)}, num AS ({numbers}), req AS ({requests}),
 parsed AS (SELECT query_id, {text} AS text, {lists} FROM req),
 sized AS (SELECT query_id, CAST(text <> '' AS INTEGER) + len(m1) AS nc, len(hi1) + len(lo1) AS nr FROM parsed),
 musts AS (SELECT query_id, i, m1[i] AS field, replace(m2[i], '_', ' ') AS value
   FROM (SELECT *, unnest(range(1, len(m1) + 1)) AS i FROM parsed)),
 clauses AS (
   SELECT query_id, 0 AS clause, field, term, count(*) * max(boost) AS boost
-    FROM (SELECT query_id, unnest({TOKENS % 'text'}) AS term FROM parsed) t, (VALUES {boosts}) w(field, boost) GROUP BY ALL
+    FROM (SELECT query_id, unnest({tokens('text')}) AS term FROM parsed) t, (VALUES {boosts}) w(field, boost) GROUP BY ALL
   UNION ALL SELECT query_id, i, field, term, count(*)
-    FROM (SELECT query_id, i, field, unnest({TOKENS % 'value'}) AS term FROM musts) GROUP BY ALL),
+    FROM (SELECT query_id, i, field, unnest({tokens('value')}) AS term FROM musts) GROUP BY ALL),
 clause_scores AS (SELECT query_id, doc_id, clause,
     sum(boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS s
   FROM clauses JOIN dfs USING (field, term) JOIN fs USING (field) JOIN tf USING (field, term) JOIN dl USING (doc_id, field)
@@ -182,7 +210,7 @@ bounds AS (SELECT query_id, i, lo1[i] AS field, TRY_CAST(lo2[i] AS DOUBLE) AS lo
   UNION ALL SELECT query_id, -i, hi1[i], CAST('-inf' AS DOUBLE), TRY_CAST(hi2[i] AS DOUBLE)
     FROM (SELECT *, unnest(range(1, len(hi1) + 1)) AS i FROM parsed)),
 by_ranges AS (SELECT query_id, doc_id, count(*) AS nr FROM bounds JOIN num USING (field)
-  WHERE value BETWEEN lo AND hi GROUP BY ALL),
+  WHERE {inside} GROUP BY ALL),
 hits AS (SELECT query_id, doc_id, coalesce(t.s, 0) + coalesce(r.nr, 0) AS score
   FROM by_terms t FULL JOIN by_ranges r USING (query_id, doc_id) JOIN sized z USING (query_id)
   WHERE coalesce(t.nc, 0) = z.nc AND coalesce(r.nr, 0) = z.nr AND z.nc + z.nr > 0)"""
@@ -207,21 +235,38 @@ def document_search(requests: str, k: int, columns: str) -> str:
 SELECT {columns} FROM best JOIN labelled USING (doc_id)"""
 
 
-PROFILE_MATCHES = f"""{WITH_INFO}, pdocs AS ({DOCUMENTS_SELECT}),
+def profile_matches(**options) -> str:
+    return f"""{WITH_INFO}, pdocs AS ({DOCUMENTS_SELECT}),
 {with_matches(
     melted("pdocs", "filename", {f: c for f, (c, _) in TEXT_FIELDS.items()}, "text"),
     melted("pdocs", "filename", {c: f"CAST({c} AS DOUBLE)" for c in NUMBER_TYPES}, "value"),
     fx.PROFILE_REQUESTS_SQL,
     WEIGHTS,
+    **options,
 )}"""
+
+
+PROFILE_MATCHES = profile_matches()
+
+
+def shown(column: str) -> str:
+    if column in NUMBER_TYPES:
+        return f"coalesce(CAST({column} AS VARCHAR), 'Not specified') AS {column}"
+    return f"coalesce({CLEAN % column}, 'Not specified') AS {column}"
+
+
 PARSED = r"""SELECT query_id, trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(q, '@(\w+)=(\w+)', '', 'g')),
     '\$(\w+)=(-?\w+(?:\.\d+)?)', '', 'g')), '\^(\w+)=(-?\w+(?:\.\d+)?)', '', 'g')) AS text,
   concat('lang=', replace(regexp_extract_all(q, '@(\w+)=(\w+)', 2)[1], '_', ' '), ';source=',
     replace(regexp_extract_all(q, '@(\w+)=(\w+)', 2)[2], '_', ' ')) AS must,
-  array_to_string(regexp_extract_all(q, '\^(\w+)=(-?\w+(?:\.\d+)?)', 1), ';') AS min_fields,
-  TRY_CAST(regexp_extract(q, '\^(\w+)=(-?\w+(?:\.\d+)?)', 2) AS DOUBLE) AS first_min,
-  array_to_string(regexp_extract_all(q, '\$(\w+)=(-?\w+(?:\.\d+)?)', 1), ';') AS max_fields,
-  TRY_CAST(regexp_extract(q, '\$(\w+)=(-?\w+(?:\.\d+)?)', 2) AS DOUBLE) AS first_max FROM (""" + fx.TEXT_REQUESTS_SQL + ") t"
+  {min}, {max} FROM (""" + fx.TEXT_REQUESTS_SQL + ") t"
+for _name, _mark in (("min", r"\^"), ("max", r"\$")):
+    _pattern = _mark + r"(\w+)=(-?\w+(?:\.\d+)?)"
+    PARSED = PARSED.replace(
+        "{" + _name + "}",
+        f"array_to_string(regexp_extract_all(q, '{_pattern}', 1), ';') AS {_name}s_fields, CAST(len(regexp_extract_all(q, '{_pattern}', 1)) AS INTEGER) AS n_{_name}s, "
+        + listed(f"TRY_CAST(regexp_extract_all(q, '{_pattern}', 2)[{i + 1}] AS DOUBLE) AS {_name}s_{i}" for i in range(2)),
+    )
 EDGES = f"e AS (SELECT title AS source, target FROM ({fx.REDIRECT_SQL}) p WHERE is_redirect)"
 AFTER = """s AS (SELECT a.source, CASE WHEN b.target IS NOT NULL THEN b.target ELSE a.source END AS target
   FROM e a LEFT JOIN e b ON a.target = b.source)"""
@@ -230,6 +275,11 @@ CLEAN = "regexp_replace(replace(replace(%s, '[', ''), ']', ''), '''''''', '', 'g
 TRIMMED = r"regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '')"
 
 
+XML_PAGES = f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, {fx.XML_REDIRECT} AS is_redirect,
+  CASE WHEN {fx.XML_REDIRECT} THEN concat('Doc ', doc_id + 1, ' & more') END AS target,
+  CASE WHEN NOT {fx.XML_NO_TEXT} THEN {TRIMMED} END AS text FROM documents WHERE NOT {fx.XML_BROKEN}"""
+
+
 def attributes(*columns: str) -> str:
     return f"WITH {WITH_PAGES} SELECT filename, {listed(columns)} FROM attr"
 
@@ -245,19 +295,20 @@ ORACLES = {
         "driverdb_score", "coalesce(TRY_CAST(replace(driverdb_score, ',', '') AS INTEGER), 0) AS score"
     ),
     "profile_json_stats": f"""WITH {WITH_PAGES} SELECT filename,
-      {listed(f"json_extract_string(j, '$.{k}') AS {c}" for c, k in X.JSON_KEYS.items())} FROM attr WHERE j IS NOT NULL""",
+      {listed(f"json_extract_string(j, '$.{k}') AS {c}" for c, k in X.JSON_KEYS.items())} FROM attr""",
     "profile_override": f"WITH {WITH_PAGES} {profile_select()}",
     "profile_override_literal": f"WITH {WITH_PAGES} {profile_select(literal=True)}",
     "keys_distinct": f"WITH {WITH_PROFILES} SELECT DISTINCT series FROM prof WHERE series <> ''",
     "tsv_roundtrip": f"WITH {WITH_PAGES} {profile_select()}",
     "typed_defaults": f"""WITH {WITH_PROFILES} SELECT filename,
       {listed(number(c) for c in NUMBER_TYPES if c in PROFILE_COLUMNS)}, {bad_columns(PROFILE_COLUMNS)} FROM prof""",
-    "wiki_from_xml": f"""SELECT doc_id, concat('Doc ', doc_id) AS title, doc_id AS page_id, {TRIMMED} AS text,
-      n_chars AS n_bytes FROM documents""",
-    "wiki_dump_file": f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, false AS is_redirect,
-      CAST(NULL AS VARCHAR) AS target, {TRIMMED} AS text FROM documents""",
-    "articles_project": f"""SELECT doc_id AS id, concat('Doc ', doc_id) AS title, concat('Doc ', doc_id) AS article_title,
-      false AS is_redirect, CAST(NULL AS VARCHAR) AS target, {TRIMMED} AS text FROM documents""",
+    "wiki_from_xml": f"""SELECT doc_id, CASE WHEN NOT {fx.XML_BROKEN} THEN concat('Doc ', doc_id) END AS title,
+      CASE WHEN NOT {fx.XML_BROKEN} THEN doc_id END AS page_id, CASE WHEN NOT ({fx.XML_BROKEN} OR {fx.XML_NO_TEXT}) THEN {TRIMMED} END AS text,
+      CASE WHEN NOT {fx.XML_BROKEN} THEN CASE WHEN {fx.XML_NO_TEXT} THEN 0 ELSE n_chars END END AS n_bytes FROM documents""",
+    "wiki_dump_file": f"SELECT id, title, is_redirect, target, text FROM ({XML_PAGES}) p",
+    "articles_project": f"SELECT id, title, title AS article_title, is_redirect, target, text FROM ({XML_PAGES}) p",
+    "malformed_count": f"SELECT count(*) AS n_malformed FROM documents WHERE {fx.XML_BROKEN}",
+    "pages_files": "SELECT concat('com_drivers_', page_id) AS name, html AS content FROM pages WHERE page_id % 4 <> 0",
     "wiki_lead_line": f"""WITH d AS (SELECT doc_id, concat('Intro', chr(10), {fx.BOLD}, source, {fx.BOLD}, ' ', text) AS text FROM documents)
       SELECT doc_id, {LEAD} AS lead, {group1('text', "('''[^" + chr(92) + "n]*)")} AS lead_or_end FROM d""",
     "wiki_infobox": f"SELECT id, {INFOBOX_COLUMNS} FROM ({fx.WIKI_SQL}) w",
@@ -283,14 +334,15 @@ ORACLES = {
         "'' AS hometown" if c == "hometown" else f"CASE WHEN {c} = '' THEN '0' ELSE {c} END AS {c}" if c in NUMBER_TYPES else c
         for c in ENRICHED_COLUMNS)} FROM enriched""",
     "index_postings": f"{WITH_DOC_INDEX} SELECT term, field, doc_id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS length FROM tf JOIN dl USING (doc_id, field)",
+    "index_postings_wordbreak": f"""WITH {with_index("SELECT concat('d', doc_id) AS doc_id, 'text' AS field, text FROM documents UNION ALL SELECT concat('p', page_id), 'text', html FROM pages", wordbreak_tokens)}
+      SELECT term, field, doc_id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS length FROM tf JOIN dl USING (doc_id, field)""",
     "index_term_stats": f"{WITH_DOC_INDEX} SELECT term, field, df FROM dfs",
     "index_doc_stats": f"{WITH_DOC_INDEX} SELECT doc_id, field, CAST(dl AS INTEGER) AS length FROM dl",
     "index_field_stats": f"{WITH_DOC_INDEX} SELECT field, n AS n_docs, round(avgdl, 6) AS mean_length FROM fs",
     "index_count": f"WITH {WITH_PROFILES} SELECT count(*) AS n_documents FROM prof",
     "index_documents": f"WITH RECURSIVE {WITH_INFO} {DOCUMENTS_SELECT}",
-    "index_build": f"""{WITH_DOC_INDEX}, p AS (SELECT field, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens FROM tf GROUP BY field),
-      t AS (SELECT field, count(*) AS n_terms FROM dfs GROUP BY field)
-      SELECT field, n_postings, n_tokens, n_terms, n AS n_docs FROM p JOIN t USING (field) JOIN fs USING (field)""",
+    "index_build": f"""{WITH_DOC_INDEX} SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS key, lang AS field, n_chars AS n FROM documents
+      UNION ALL SELECT 'df', term, field, df FROM dfs UNION ALL SELECT 'length', CAST(doc_id AS VARCHAR), field, dl FROM dl""",
     "requests_parse": PARSED,
     "search_text": document_search(one(Q.TEXT_REQUEST), 10, "rank, doc_id, round(score, 5) AS score, lang, source, n_chars"),
     "search_weighted": f"""WITH flat AS (SELECT page_id, url, {TITLE} AS title, {STRIP} AS body FROM pages),
@@ -303,6 +355,13 @@ ORACLES = {
       name, series, current_team, wins, podium_percentage FROM best JOIN pdocs ON pdocs.filename = best.doc_id""",
     "search_all_matches": f"""WITH labelled AS ({fx.DOCS_SQL}), {with_matches(DOC_TEXTS, DOC_NUMBERS, fx.DOC_REQUESTS_SQL, Q.DOC_WEIGHTS)}
       SELECT query_id, doc_id, round(score, 5) AS score FROM hits""",
+    "search_wordbreak": f"""WITH {with_matches(DOC_TEXTS, melted("documents", "doc_id", {"n_chars": "n_chars"}, "value"), one(Q.WORDBREAK_REQUEST), Q.DOC_WEIGHTS, wordbreak_tokens)}, {ranked(10)}
+      SELECT rank, doc_id, round(score, 5) AS score, lang, source FROM best JOIN documents USING (doc_id)""",
+    "search_word_bounds": f"WITH RECURSIVE {profile_matches(word_bounds=True)} SELECT query_id, doc_id, round(score, 5) AS score FROM hits",
+    "search_positive_percentages": f"WITH RECURSIVE {profile_matches(positive=True)} SELECT query_id, doc_id, round(score, 5) AS score FROM hits",
+    "profile_hits_display": f"""WITH RECURSIVE {PROFILE_MATCHES}, {ranked(10)} SELECT query_id, rank,
+      {listed(map(shown, ["name", "series", "nationality", "hometown", "age", "wins", "podium_percentage", "current_team"]))}
+      FROM best JOIN pdocs ON pdocs.filename = best.doc_id""",
     "search_total_hits": f"""WITH RECURSIVE {PROFILE_MATCHES} SELECT req.query_id, count(hits.doc_id) AS n_hits
       FROM req LEFT JOIN hits ON hits.query_id = req.query_id GROUP BY req.query_id""",
     "hits_display": f"""SELECT event_id, strftime(ts, '%d.%m.%Y') AS ts, {CLEAN % 'event_type'} AS event_type,

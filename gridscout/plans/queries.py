@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridscout.functions import extract as X
 from gridscout.functions.text import clean_wiki, display, path_of_uri, strip_tags
-from gridscout.functions.tokens import TOKEN_SIMPLE
+from gridscout.functions.tokens import TOKEN_SIMPLE, TOKEN_WORDBREAK
 from gridscout.functions.typed import to_int
 from gridscout.operators import enrich as E
 from gridscout.operators import index as I
@@ -28,6 +28,8 @@ from gridscout.schemas import (
     PROFILE_SCHEMA,
     WEIGHTS,
 )
+from gridscout.sources import wiki
+from gridscout.sources.pages import read_pages
 from gridscout.sources.tables import (
     materialize,
     path_exists,
@@ -46,6 +48,7 @@ DOC_WEIGHTS = {"text": 1.0, "source": 3.0}
 PAGE_REQUEST = "the attion de onaiaux the"
 TEXT_REQUEST = "the estion letre eau inion"
 MUST_REQUEST = "estion letre @lang=en @source=src1_src7_src9"
+WORDBREAK_REQUEST = "the estion eau inion $n_chars=6000"
 RANGE_REQUEST = "the estion ^n_chars=800 $n_chars=4000 ^quality=1"
 
 
@@ -92,7 +95,7 @@ def profile_score(spark, sf_dir):
 
 def profile_json_stats(spark, sf_dir):
     parsed = P.with_json(fx.pages(spark, sf_dir))
-    return parsed.where(F.col("_json").isNotNull()).select(
+    return parsed.select(
         "filename",
         *[F.try_element_at("_json", F.lit(key)).alias(c) for c, key in X.JSON_KEYS.items()],
     )
@@ -158,6 +161,24 @@ def wiki_dump_file(spark, sf_dir):
     return wiki_pages(read_wiki_xml(spark, path))
 
 
+def malformed_count(spark, sf_dir):
+    return wiki.malformed_count(_nested(spark, sf_dir))
+
+
+def pages_files(spark, sf_dir):
+    """Every page written as a file of its own and read back by path."""
+    folder = _shared(spark, sf_dir, "page-files")
+    html = fx.table(spark, sf_dir, "pages").select(
+        F.col("html"), F.concat(F.when(F.col("page_id") % 4 == 0, "teams").otherwise("com_drivers"), F.lit("_"), F.col("page_id")).alias("name")
+    )
+    if not path_exists(spark, f"{folder}/_SUCCESS"):
+        html.repartition("name").write.partitionBy("name").mode("overwrite").option("lineSep", "\u0000").text(folder)
+    read = read_pages(spark, folder, X.PATH_MARK)
+    return read.select(
+        F.regexp_extract("filename", r"name=([^/]*)/", 1).alias("name"), F.rtrim(F.col("content"), F.lit("\u0000")).alias("content")
+    )
+
+
 def wiki_lead_line(spark, sf_dir):
     marked = F.concat(F.lit("Intro\n'''"), F.col("source"), F.lit("''' "), F.col("text"))
     return fx.table(spark, sf_dir, "documents").select(
@@ -290,7 +311,7 @@ def enriched_tsv(spark, sf_dir):
 
 def _document_index(spark, sf_dir) -> I.Index:
     path = _shared(spark, sf_dir, "document-index")
-    if not path_exists(spark, f"{path}/meta/_SUCCESS"):
+    if not I.index_exists(spark, path):
         docs = fx.labelled_documents(spark, sf_dir)
         I.write_index(
             docs, path, "doc_id", DOC_FIELDS, ["n_chars", "quality", "toxic"], ["lang", "source"]
@@ -300,7 +321,7 @@ def _document_index(spark, sf_dir) -> I.Index:
 
 def _page_index(spark, sf_dir) -> I.Index:
     path = _shared(spark, sf_dir, "page-index")
-    if not path_exists(spark, f"{path}/meta/_SUCCESS"):
+    if not I.index_exists(spark, path):
         html = F.col("html")
         docs = fx.table(spark, sf_dir, "pages").select(
             "page_id",
@@ -314,11 +335,26 @@ def _page_index(spark, sf_dir) -> I.Index:
 
 def _profile_index(spark, sf_dir) -> I.Index:
     path = _shared(spark, sf_dir, "profile-index")
-    if not path_exists(spark, f"{path}/meta/_SUCCESS"):
+    if not I.index_exists(spark, path):
         write_profile_index(_enriched(spark, sf_dir), fx.pages(spark, sf_dir), path, TOKEN_SIMPLE)
     return I.read_index(spark, path)
 
 
+def _wordbreak_index(spark, sf_dir) -> I.Index:
+    """Documents by the tokens that the pipeline takes unless told otherwise."""
+    path = _shared(spark, sf_dir, "wordbreak-index")
+    if not I.index_exists(spark, path):
+        I.write_index(fx.table(spark, sf_dir, "documents"), path, "doc_id", DOC_FIELDS, ["n_chars"], ["lang", "source"], TOKEN_WORDBREAK)
+    return I.read_index(spark, path)
+
+
+def index_postings_wordbreak(spark, sf_dir):
+    """Of the documents' texts and the raw html of the pages."""
+    docs = fx.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    pages = fx.table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
+    return I.postings(I.field_terms(docs.unionByName(pages), "id", {"text": "text"}, TOKEN_WORDBREAK))
+
+
 def _document_terms(spark, sf_dir):
     return I.field_terms(fx.table(spark, sf_dir, "documents"), "doc_id", DOC_FIELDS)
 
@@ -351,15 +387,15 @@ def index_documents(spark, sf_dir):
 
 
 def index_build(spark, sf_dir):
-    """Write the document index anew; its counts per field."""
+    """Write the document index anew; its documents, document frequencies and field lengths."""
     path = _shared(spark, sf_dir, "document-index-build")
     I.write_index(fx.labelled_documents(spark, sf_dir), path, "doc_id", DOC_FIELDS, ["n_chars"], ["lang"])
     built = I.read_index(spark, path)
-    by_field = built.postings.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens")
-    )
-    terms = built.term_stats.groupBy("field").agg(F.count(F.lit(1)).alias("n_terms"))
-    return by_field.join(terms, "field").join(built.field_stats.select("field", "n_docs"), "field")
+    key = F.col("doc_id").cast("string").alias("key")
+    docs = built.docs.select(F.lit("document").alias("kind"), key, F.col("lang").alias("field"), F.col("n_chars").alias("n"))
+    terms = built.term_stats.select(F.lit("df"), "term", "field", "df")
+    lengths = built.postings.select(F.lit("length"), key, "field", F.col("length").cast("long")).distinct()
+    return docs.union(terms).union(lengths)
 
 
 # ---- search
@@ -374,13 +410,18 @@ def requests_parse(spark, sf_dir):
         "query_id",
         "text",
         named("must", "value").alias("must"),
-        F.array_join(F.transform("mins", lambda m: m["field"]), ";").alias("min_fields"),
-        F.get("mins", F.lit(0))["bound"].alias("first_min"),
-        F.array_join(F.transform("maxs", lambda m: m["field"]), ";").alias("max_fields"),
-        F.get("maxs", F.lit(0))["bound"].alias("first_max"),
+        *[column for c in ("mins", "maxs") for column in _bounds(c)],
     )
 
 
+def _bounds(c: str):
+    """All fields of a list of bounds, and all bounds by their place."""
+    yield F.array_join(F.transform(c, lambda m: m["field"]), ";").alias(f"{c}_fields")
+    for i in range(2):
+        yield F.get(c, F.lit(i))["bound"].alias(f"{c}_{i}")
+    yield F.size(c).alias(f"n_{c}")
+
+
 def _rounded(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", F.round("score", 5))
 
@@ -424,6 +465,29 @@ def search_all_matches(spark, sf_dir):
     return _rounded(hits).select("query_id", "doc_id", "score")
 
 
+def search_wordbreak(spark, sf_dir):
+    hits = S.search_one(_wordbreak_index(spark, sf_dir), WORDBREAK_REQUEST, DOC_WEIGHTS)
+    return _rounded(hits).select("rank", "doc_id", "score", "lang", "source")
+
+
+def search_word_bounds(spark, sf_dir):
+    """Bounds read as one run of word characters: ^races_started=20.5 is 20 and the word 5."""
+    hits = S.matches(_profile_index(spark, sf_dir), fx.profile_requests(spark, sf_dir), WEIGHTS, word_bounds=True)
+    return _rounded(hits)
+
+
+def search_positive_percentages(spark, sf_dir):
+    hits = S.matches(_profile_index(spark, sf_dir), fx.profile_requests(spark, sf_dir), WEIGHTS, positive_percentages=True)
+    return _rounded(hits)
+
+
+def profile_hits_display(spark, sf_dir):
+    """The hits of the profile search as they are shown."""
+    hits = S.search(_profile_index(spark, sf_dir), fx.profile_requests(spark, sf_dir), WEIGHTS)
+    shown = ["name", "series", "nationality", "hometown", "age", "wins", "podium_percentage", "current_team"]
+    return hits.select("query_id", "rank", *[display(hits, c).alias(c) for c in shown])
+
+
 def search_total_hits(spark, sf_dir):
     requests = fx.profile_requests(spark, sf_dir)
     return S.total_hits(S.matches(_profile_index(spark, sf_dir), requests, WEIGHTS), requests)
@@ -455,6 +519,8 @@ QUERIES = {
     "wiki_from_xml": wiki_from_xml,
     "wiki_dump_file": wiki_dump_file,
     "articles_project": articles_project,
+    "malformed_count": malformed_count,
+    "pages_files": pages_files,
     "wiki_lead_line": wiki_lead_line,
     "wiki_infobox": wiki_infobox,
     "wiki_clean": wiki_clean,
@@ -471,6 +537,7 @@ QUERIES = {
     "enriched_profile": enriched_profile,
     "enriched_tsv": enriched_tsv,
     "index_postings": index_postings,
+    "index_postings_wordbreak": index_postings_wordbreak,
     "index_term_stats": index_term_stats,
     "index_doc_stats": index_doc_stats,
     "index_field_stats": index_field_stats,
@@ -485,6 +552,10 @@ QUERIES = {
     "search_batch": search_batch,
     "search_profiles": search_profiles,
     "search_all_matches": search_all_matches,
+    "search_wordbreak": search_wordbreak,
+    "search_word_bounds": search_word_bounds,
+    "search_positive_percentages": search_positive_percentages,
+    "profile_hits_display": profile_hits_display,
     "search_total_hits": search_total_hits,
     "hits_display": hits_display,
 }

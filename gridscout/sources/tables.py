@@ -5,11 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-TSV = {"sep": "\t", "header": "true", "quote": '"', "escape": '"'}
+TSV = {
+    "sep": "\t",
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -35,6 +42,14 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders at `path`; none if it does not exist."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.listStatus(hadoop_path) if system.exists(hadoop_path) else []
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
@@ -49,15 +64,33 @@ def materialize(
     return spark.read.parquet(path)
 
 
+def _on_one_line(value: Column) -> Column:
+    """Line ends as \\n and \\r, backslashes doubled: a value never ends a line, so files stay splittable."""
+    for plain, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        value = F.replace(value, F.lit(plain), F.lit(code))
+    return value
+
+
+def _with_line_ends(value: Column) -> Column:
+    parts = F.split(value, r"\\\\", -1)  # at two backslashes
+    restored = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(restored, "\\")
+
+
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """TSV with header. One file only on request: that is one writing task, for small exports."""
-    out = df.coalesce(1) if single_file else df
+    """TSV with header. One file only on request: that is one writing task, for small exports.
+
+    Line ends in texts are written as \\n and \\r, a backslash as two.
+    """
+    coded = df.withColumns({f.name: _on_one_line(F.col(f.name)) for f in df.schema if f.dataType == StringType()})
+    out = coded.repartition(1) if single_file else coded
     out.write.options(**TSV).mode("overwrite").csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType, defaults: str | None = None) -> DataFrame:
-    """TSV by declared schema. An empty field reads as null, or as `defaults` where given."""
+    """TSV of `write_tsv` by declared schema. An empty field reads as null, or as `defaults` where given."""
     df = spark.read.options(**TSV).schema(schema).csv(path)
+    df = df.withColumns({f.name: _with_line_ends(F.col(f.name)) for f in schema if f.dataType == StringType()})
     return df if defaults is None else df.fillna(defaults)
 
 

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridscout.functions import extract as X
-from gridscout.functions import scoring
 from gridscout.functions.text import clean_wiki, display, path_of_uri, strip, strip_tags
 from gridscout.functions.tokens import TOKEN_SIMPLE, TOKEN_WORDBREAK, term_counts, tokens
 from gridscout.functions.typed import is_bad, to_double, to_int
@@ -176,15 +175,24 @@ def test_term_counts_match_a_counter(spark):
             assert [(c.term, c.tf) for c in counted] == sorted(Counter(text.split()).items())
 
 
-def test_stored_length(spark):
-    def coded(n):  # one byte: 24 values as they are, then four leading bits
-        rest = n - 24
-        if rest < 8:
-            return n
-        shift = rest.bit_length() - 4
-        return 24 + ((rest >> shift) << shift)
+def test_joined_tokens_neither_overflow_nor_grow(spark):
+    many = 100_000
+    texts = ["1," * many, "a." * many, "a.1," * many, "x" * 1000, "1,234 3.14 don't u.s.a. a.b'c"]
+    got = values(spark, texts, lambda t: tokens(t, TOKEN_WORDBREAK))
+    assert "".join(got[0]) == "1," * (many - 1) + "1" and max(map(len, got[0])) == 255
+    assert "".join(got[1]) == "a." * (many - 1) + "a" and max(map(len, got[1])) == 255
+    assert len(got[2]) == 2 * many and set(got[2]) == {"a", "1"}
+    assert [len(t) for t in got[3]] == [255, 255, 255, 235]
+    assert got[4] == ["1,234", "3.14", "don't", "u.s.a", "a.b'c"]
 
-    lengths = [*range(1, 300), 1000, 4095, 4120, 70000, 10**6]
-    df = spark.createDataFrame([(n,) for n in lengths], "n int")
-    got = {r.n: r.v for r in df.select("n", scoring.stored_length(F.col("n")).alias("v")).collect()}
-    assert got == {n: coded(n) for n in lengths}
+
+def test_patterns_do_not_backtrack_over_line_ends(spark):
+    import time
+
+    lines = "\n" * 60_000
+    pages = [f"<div>age</div>{lines}<div>5</div>", f"<div>age</div>{lines}x", f"</div>{lines}</div>{lines}x", "<div>a.e</div><div>6</div>"]
+    start = time.time()
+    assert values(spark, pages, lambda t: X.labelled_value(t, "age")) == ["5", "", "", ""]
+    assert values(spark, pages, lambda t: X.capture(t, X.SERIES_PATTERN)) == [""] * 4
+    assert values(spark, pages, lambda t: X.labelled_value(t, "a.e")) == ["", "", "", "6"]
+    assert time.time() - start < 6

@@ -47,7 +47,7 @@ REQUESTS = {
 }
 
 
-def brute(rows, requests, exact_length=True, positive_percentages=False):
+def brute(rows, requests, positive_percentages=False):
     terms = {(d, f): re.findall(r"\w+", text.lower()) for d, t, b, _, _ in rows for f, text in (("title", t), ("body", b))}
     numbers = {d: {k: v for k, v in (("wins", w), ("some_percentage", p)) if v is not None} for d, _, _, w, p in rows}
     n, total, df = Counter(), Counter(), Counter()
@@ -57,18 +57,13 @@ def brute(rows, requests, exact_length=True, positive_percentages=False):
             total[f] += len(ts)
             df.update((f, t) for t in set(ts))
 
-    def length(x):
-        rest = x - 24
-        shift = max(rest.bit_length() - 4, 0) if rest >= 8 else 0
-        return x if exact_length or x < 40 else 24 + ((rest >> shift) << shift)
-
     def bm25(d, f, t):
         ts = terms.get((d, f), [])
         if t not in ts:
             return 0.0
         idf = math.log(1 + (n[f] - df[f, t] + 0.5) / (df[f, t] + 0.5))
         tf = ts.count(t)
-        return idf * tf / (tf + 1.2 * (0.25 + 0.75 * length(len(ts)) / (total[f] / n[f])))
+        return idf * tf / (tf + 1.2 * (0.25 + 0.75 * len(ts) / (total[f] / n[f])))
 
     found = defaultdict(dict)
     for q, text in requests.items():
@@ -127,13 +122,13 @@ def same(got, wanted):
 
 
 @pytest.mark.parametrize("broadcast_rows", [S.BROADCAST_ROWS, 0])
-@pytest.mark.parametrize("options", [{}, {"exact_length": False}, {"positive_percentages": True}])
+@pytest.mark.parametrize("options", [{}, {"positive_percentages": True}])
 def test_matches_equal_brute_force(index, requests, monkeypatch, broadcast_rows, options):
     monkeypatch.setattr(S, "BROADCAST_ROWS", broadcast_rows)
     same(as_dict(S.matches(index, requests, WEIGHTS, **options)), brute(corpus(), REQUESTS, **options))
 
 
-def test_many_clauses_need_more_than_one_word_of_marks(spark, index):
+def test_many_clauses(spark, index):
     words = " ".join(["@body=w0", "@body=w1"] * 70)
     text = {"q": f"{words} w2", "r": words + " @body=zzz"}
     table = spark.createDataFrame(list(text.items()), "query_id string, q string")
@@ -212,3 +207,55 @@ def test_parse_requests(spark):
     assert rows[2].mins[0].bound is None and rows[3].text == "a@b c$d e^f"
     old = parse_requests(df, word_bounds=True).first()
     assert old.text == "fast  car .5 $age=-3" and old.mins[0].bound == 12.0 and old.maxs == []
+
+
+def test_a_failed_rebuild_leaves_the_old_index(spark, tmp_path, monkeypatch):
+    path, docs = str(tmp_path / "i"), spark.createDataFrame([(1, "old words")], "id long, text string")
+    I.write_index(docs, path, "id", {"text": "text"})
+    running = I.read_index(spark, path)
+    new = spark.createDataFrame([(2, "new words here")], "id long, text string")
+    with monkeypatch.context() as m:
+        m.setattr(I, "field_stats", lambda terms: terms.select(F.raise_error(F.lit("lost")).alias("field")))
+        with pytest.raises(Exception, match="lost"):
+            I.write_index(new, path, "id", {"text": "text"})
+    assert [r.term for r in I.read_index(spark, path).term_stats.orderBy("term").collect()] == ["old", "words"]
+    I.write_index(new, path, "id", {"text": "text"})
+    assert I.read_index(spark, path).postings.count() == 3
+    assert running.postings.count() == 2  # a search that began before still finds its files
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line or "PushedFilters" in line]
+
+
+def test_terms_ids_and_bounds_reach_the_scans(index):
+    hits = S.matches(index, S.request_table(index.docs.sparkSession, "w1 w2 ^wins=3 $wins=7"), WEIGHTS)
+    text = "\n".join(scans(hits))
+    assert "In(term, [w1,w2])" in text
+    assert "GreaterThanOrEqual(value,3.0)" in text and "LessThanOrEqual(value,7.0)" in text and "EqualTo(field,wins)" in text
+    found = "\n".join(scans(S.search_one(index, "w1", WEIGHTS, k=2)))
+    assert "In(doc_id" in found or "EqualTo(doc_id" in found
+
+
+@pytest.mark.parametrize("text", ["^wins=2 $wins=5", "^wins=2 ^wins=4 $some_percentage=50", "$wins=1 ^wins=9", "^wins=abc $wins=3", "w0 ^wins=2 $wins=abc", "w0 $some_percentage=40 ^wins=1"])
+@pytest.mark.parametrize("positive", [False, True])
+def test_ranges_of_one_request(spark, index, text, positive):
+    got = as_dict(S.matches(index, spark.createDataFrame([("q", text)], "query_id string, q string"), WEIGHTS, positive_percentages=positive))
+    same(got, brute(corpus(), {"q": text}, positive_percentages=positive))
+
+
+def test_frequent_terms_are_sliced(spark, index, requests, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(S, "SLICE_DF", 3)
+    same(as_dict(S.matches(index, requests, WEIGHTS)), brute(corpus(), REQUESTS))
+
+
+def test_broadcasts_are_bounded_by_bytes(index, requests, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_BYTES", 0)
+    same(as_dict(S.matches(index, requests, WEIGHTS)), brute(corpus(), REQUESTS))
+
+
+def test_weights_are_checked(index, requests):
+    with pytest.raises(ValueError):
+        S.matches(index, requests, {"title": 1e9})

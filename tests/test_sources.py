@@ -104,3 +104,11 @@ def test_work_dir_is_the_one_the_session_names(spark):
 def test_stage_keeps_schema(spark, rows):
     df = spark.range(rows).withColumn("s", F.lit("x"))
     assert T.stage(df).dtypes == df.dtypes
+
+
+def test_tsv_keeps_line_ends_blanks_quotes_and_backslashes(spark, tmp_path):
+    texts = ["a\nb", "\r\n", "  lead", "trail ", '"quoted"', 'in"side', "back\\", "\\n", "\\\\n", "\\\n", "tab\there", "'", "x\\ty", "é\u2028z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    T.write_tsv(df, str(tmp_path / "t"))
+    back = T.read_tsv(spark, str(tmp_path / "t"), df.schema)
+    assert [r.t for r in back.orderBy("i").collect()] == texts

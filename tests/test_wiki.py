@@ -31,10 +31,13 @@ def test_join_unique_equals_a_plain_join(spark, how):
         assert sorted(map(tuple, split.select("k", "i", "v").collect()), key=str) == plain
 
 
-def test_hot_keys_are_bounded_and_spread(spark):
+def test_all_hot_keys_are_spread(spark):
     left = spark.range(1000).select("id", F.when(F.col("id") < 400, F.lit("x")).otherwise(F.col("id").cast("string")).alias("k"))
     assert [tuple(r) for r in hot_keys(left, ["k"], 100).collect()] == [("x", 4)]
-    assert hot_keys(left, ["k"], 1, limit=7).count() == 7
+    assert hot_keys(left, ["k"], 1).count() == 601
+    many = spark.range(20_000).select("id", (F.col("id") % 2000).cast("string").alias("k"))  # every key is hot
+    split = join_unique(many, many.select("k").distinct().withColumn("v", F.lit(1)), ["k"], ["id"], "left", 5)
+    assert hot_keys(many, ["k"], 5).count() == 2000 and split.where("v = 1").count() == 20_000
     right = spark.createDataFrame([("x", 1)], "k string, v int")
     plan = join_unique(left, right, ["k"], ["id"], "left", 100)
     assert plan.where("v = 1").count() == 400
