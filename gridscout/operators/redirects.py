@@ -92,7 +92,7 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     n_ends = ends.count()
     wanted = ends.where(~F.col("is_cycle")).select(F.col("target").alias("title")).distinct()
     goals = (
-        join_unique(articles, wanted, ["title"], ["id"], "left_semi", hot_rows)
+        articles.join(wanted, "title", "left_semi")  # titles are nearly unique
         .groupBy(F.col("title").alias("target"))
         .agg(F.min("id").alias("article_id"))
         .withColumn("is_cycle", F.lit(False))

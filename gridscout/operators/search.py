@@ -18,6 +18,7 @@ from gridscout.functions.tokens import tokens
 from gridscout.operators.index import NUMBER_CLASSES, Index, bucket_of, number_class
 from gridscout.operators.joins import join_unique
 from gridscout.operators.requests import parse_requests
+from gridscout.sources.tables import stage
 
 BROADCAST_ROWS = 100_000  # clause rows, requests or hits that may be sent to every executor
 BROADCAST_BYTES = 32 << 20  # and their bytes
@@ -271,6 +272,8 @@ def _matches(
     parsed = _parsed(index, requests, word_bounds)
     clauses = clause_terms(parsed, weights, index.buckets)
     facts = _facts(parsed, clauses)
+    if not facts.small(facts.n_rows, facts.n_bytes):
+        clauses = stage(clauses)  # read by several joins
     found = _clause_matches(_term_scores(index, clauses, facts))
     score = S.from_units(F.col("units"))
     if not facts.n_ranges:
@@ -285,7 +288,7 @@ def _matches(
         if facts.small(facts.n_requests, facts.range_bytes):
             with_ranges = found.join(F.broadcast(ranged), "query_id")
         else:
-            with_ranges = join_unique(found, ranged, ["query_id"], ["doc_id"], "inner")
+            with_ranges = join_unique(stage(found), ranged, ["query_id"], ["doc_id"], "inner")
         numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
         kept = (
             with_ranges.join(numbers, "doc_id")

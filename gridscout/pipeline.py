@@ -30,15 +30,19 @@ from gridscout.sources.wiki import read_wiki_xml, wiki_pages
 def parse_and_enrich(
     spark: SparkSession, pages_path: str, dump_path: str, out: str, path_contains: str = PATH_MARK
 ) -> DataFrame:
-    """The enriched table. A stage whose table is complete is read, not computed again."""
+    """The enriched table. A stage whose table is complete is read, not computed again; a table made
+    from other inputs is an error."""
+    pages = {"pages": pages_path, "path_contains": path_contains}
+    dump = {"dump": dump_path}
     profiles = materialize(
         spark,
         f"{out}/profiles",
         lambda: extract_profiles(read_pages(spark, pages_path, path_contains), None),
+        pages,
     )
-    wiki = materialize(spark, f"{out}/wiki", lambda: wiki_pages(read_wiki_xml(spark, dump_path)))
-    titles = materialize(spark, f"{out}/titles", lambda: title_map(wiki))
-    return materialize(spark, f"{out}/enriched", lambda: enrich_profiles(profiles, titles, wiki))
+    wiki = materialize(spark, f"{out}/wiki", lambda: wiki_pages(read_wiki_xml(spark, dump_path)), dump)
+    titles = materialize(spark, f"{out}/titles", lambda: title_map(wiki), dump)
+    return materialize(spark, f"{out}/enriched", lambda: enrich_profiles(profiles, titles, wiki), pages | dump)
 
 
 def write_profile_index(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +36,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged within are removed at the end; by then what reads them must be written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` to a new staged table and read it back: cuts lineage, survives lost executors,
     and gives the optimiser the real size."""
     path = f"{work_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -56,11 +74,23 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def materialize(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame]
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], arguments: dict | None = None
 ) -> DataFrame:
-    """Read the Parquet table at `path`, building and writing it first if it is not complete."""
+    """Read the Parquet table at `path`, building and writing it first if it is not complete.
+
+    `arguments`, what the table was made from, is kept beside it; a table made from others is an error.
+    Tables staged on the way are removed.
+    """
+    made_from = json.dumps(arguments or {}, sort_keys=True)
+    record = f"{path}/_arguments"  # readers of the table pass over it
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+        with staging(spark):
+            build().write.mode("overwrite").parquet(path)
+        spark.range(1).select(F.lit(made_from).alias("value")).repartition(1).write.mode("overwrite").text(record)
+    elif path_exists(spark, record):
+        kept = spark.read.text(record).first().value
+        if kept != made_from:
+            raise ValueError(f"{path} was made from {kept}, not from {made_from}")
     return spark.read.parquet(path)
 
 

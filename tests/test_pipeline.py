@@ -1,8 +1,12 @@
 """Files to hits, and extraction on a stream."""
 
+import pytest
+
 from gridscout import pipeline
+from gridscout.operators.index import read_index
 from gridscout.operators.profiles import extract_profiles
 from gridscout.schemas import ENRICHED_COLUMNS
+from gridscout.sources.tables import folders, work_dir
 
 PAGE = """<html><title>Driver: {name} | Driver Database</title><script>x</script>
 <div>nationality</div>
@@ -29,7 +33,11 @@ def test_files_to_hits(spark, tmp_path):
     (pages / "com_teams_1.html").write_text(PAGE.format(name="No", wins=1, body="gravel"))
     (tmp_path / "dump.xml").write_text(DUMP)
     out = str(tmp_path / "out")
+    staged = set(folders(spark, work_dir(spark)))
     enriched = pipeline.parse_and_enrich(spark, str(pages), str(tmp_path / "dump.xml"), out)
+    assert set(folders(spark, work_dir(spark))) == staged  # nothing is left behind
+    with pytest.raises(ValueError, match="made from"):
+        pipeline.parse_and_enrich(spark, str(pages), str(tmp_path / "other.xml"), out)
     assert enriched.columns == ENRICHED_COLUMNS
     rows = {r.name: r for r in enriched.collect()}
     assert set(rows) == {"Ann Lee", "Bob Fox", "Cy Day"}
@@ -38,6 +46,8 @@ def test_files_to_hits(spark, tmp_path):
     assert (ann.current_team, ann.team_description) == ("Red", "'''Red''' is a team.")
     assert ann.bio == "'''Ann''' is a racing driver & more." and rows["Bob Fox"].bio == ""
     pipeline.build_index(spark, str(pages), out, buckets=3)
+    stored = read_index(spark, f"{out}/index").docs
+    assert {r.name: list(r.bad_columns) for r in stored.collect()} == {"Ann Lee": [], "Bob Fox": [], "Cy Day": []}
 
     def names(request):
         return [r.name for r in pipeline.search_index(spark, out, request).orderBy("rank").collect()]
