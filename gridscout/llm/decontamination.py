@@ -1,8 +1,9 @@
 """Benchmark decontamination: windows of benchmark words, hashed and broadcast, looked up in all documents.
 
 The windows of all items form a sorted array of hashes, next to a bitmap that rejects almost every
-document window by one look-up. Windows whose hash is found are compared word by word. The benchmark
-must be small: its windows are counted before they are collected, and more than `most_windows` raise an error.
+document window by one look-up. Windows whose hash is found are compared word by word. The windows are
+counted before they are collected; of a benchmark with more than `most_windows`, parts of about that many are
+broadcast one after the other, each for a scan of its own, and the hits of the scans are merged.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from gridscout.llm.common import unique_texts
 WINDOW = 13
 MOST_WINDOWS = 4_000_000
 FILTER_BITS = 22
+HIT = ("first", "last", "start", "end")  # words [first, last) of a document, bytes [start, end)
+HITS = "array<struct<first:long,last:long,start:long,end:long>>"
 
 
 def decontaminate(
@@ -47,25 +50,43 @@ def decontaminate(
     A null or empty text has no words and is clean; an item without words, or without an id, has no
     windows. Equal windows of several items count for each of them. Several rows of one document id
     count as one, see `unique_texts`; several rows of an item id all count. Rows without a document id
-    are left out. Empty tables: no documents give an empty table, no items leave everything clean.
+    are left out. A single item of more than `most_windows` raises. Empty tables: no documents give an empty table, no items leave everything clean.
     Other columns of both tables play no part, whatever they are called.
     """
+    keep = tuple(dict.fromkeys((id_col, *carry, *([text_col] if cleaned else []))))
     rows = unique_texts(docs, id_col, text_col, *carry)
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL")
     pattern = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     items = items.select("item", F.regexp_extract_all(lowered, F.lit(pattern), F.lit(0)).alias("words")).where("size(words) > 0")
-    windows = items.select(F.greatest(F.size("words") - window + 1, F.lit(1)).cast("long").alias("n"), F.octet_length(F.array_join("words", " ")).alias("b"))
-    n, size = windows.select(F.sum("n"), F.sum("b")).first()
-    if (n or 0) > most_windows or (size or 0) > 32 * most_windows:
-        raise ValueError(f"the benchmark has {n} windows in {size} bytes; {most_windows} windows may be broadcast")
-    known = rows.sparkSession.sparkContext.broadcast(Windows([(r.item, r.words) for r in items.collect()], window))
-    types = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in carry)
-    types += ", cleaned string" if cleaned else ""
-    schema = "`{}` {}, n_words long, n_hit long, n_items long, items array<string>, contaminated boolean, spans array<struct<start:long,end:long>>{}"
-    return rows.mapInArrow(
-        _scan(known, id_col, text_col, share, carry, cleaned), schema.format(id_col, rows.schema[id_col].dataType.simpleString(), types)
-    )
+    # what an item costs: its windows, or its bytes if its words are very long
+    cost = F.greatest(F.size("words") - window + 1, F.octet_length(F.array_join("words", " ")) / 64, F.lit(1))
+    total, largest = items.select(F.sum(cost), F.max(cost)).first()
+    parts = max(1, -(-int(total or 0) // most_windows))
+    if (largest or 0) > most_windows:
+        raise ValueError(f"an item has {largest:.0f} windows; {most_windows} may be broadcast")
+    known = [{f.name: f.dataType.simpleString() for f in rows.schema}[c] for c in keep]
+    types = ", ".join(f"`{c}` {t}" for c, t in zip(keep, known, strict=True)) + f", n_words long, items array<string>, hits {HITS}"
+    out_types = ", ".join(f"`{c}` {t}" for c, t in zip(keep, known, strict=True) if c != text_col or c in carry)
+    out_types += ", n_words long, n_hit long, n_items long, items array<string>, contaminated boolean, spans array<struct<start:long,end:long>>" + ", cleaned string" * cleaned
+
+    def windows(part: int):
+        own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part)
+        return rows.sparkSession.sparkContext.broadcast(Windows([(r.item, r.words) for r in own.collect()], window))
+
+    finish = _finish(keep, text_col, share, cleaned, carry)
+    if parts == 1:
+        scan = _scan(windows(0), text_col, keep)
+        return rows.mapInArrow(lambda batches: finish(scan(batches)), out_types)
+    found = rows.mapInArrow(_scan(windows(0), text_col, keep), types)
+    more = None
+    for part in range(1, parts):
+        own = rows.mapInArrow(_scan(windows(part), text_col, (id_col,)), f"`{id_col}` {known[0]}, n_words long, items array<string>, hits {HITS}").where("size(hits) > 0")
+        more = own if more is None else more.unionByName(own)
+    more = more.groupBy(id_col).agg(F.flatten(F.collect_list("items")).alias("_items"), F.flatten(F.collect_list("hits")).alias("_hits"))
+    both = found.join(more, id_col, "left")
+    both = both.withColumns({c: F.concat(c, F.coalesce(f"_{c}", F.array().cast(f.dataType))) for c in ("items", "hits") for f in found.schema if f.name == c})
+    return both.drop("_items", "_hits").mapInArrow(finish, out_types)
 
 
 class Windows:
@@ -94,7 +115,9 @@ class Windows:
             self.sizes[size] = (np.sort(hashes), bitmap)
 
 
-def _scan(known, id_col: str, text_col: str, share: int, carry: tuple[str, ...], cleaned: bool):
+def _scan(known, text_col: str, keep: tuple[str, ...]):
+    """The columns of `keep`, n_words, items, and hits: the stretches of hit words, by word and by byte."""
+
     def of_slice(data: np.ndarray, offsets: np.ndarray):
         """Words of each row, the hit ones, and the items found."""
         data = W.LOWER[data]
@@ -120,33 +143,57 @@ def _scan(known, id_col: str, text_col: str, share: int, carry: tuple[str, ...],
         for batch in batches:
             for lo, hi, data, offsets in W.sliced(batch.column(text_col)):
                 starts, ends, bounds, hit, items = of_slice(data, offsets)
-                n_words = np.diff(bounds)
-                n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[bounds])
-                spans: list[list[dict]] = [[] for _ in range(hi - lo)]
-                for row in np.flatnonzero(n_hit):
-                    at = np.flatnonzero(hit[bounds[row] : bounds[row + 1]]) + bounds[row]
-                    first = at[np.diff(at, prepend=-2) > 1]
-                    last = at[np.diff(at, append=at[-1] + 2) > 1]
-                    spans[row] = [{"start": int(starts[a] - offsets[row]), "end": int(ends[b] - offsets[row])} for a, b in zip(first, last, strict=True)]
-                found = [sorted(items.get(i, ())) for i in range(hi - lo)]
-                columns = {
-                    id_col: batch.column(id_col).slice(lo, hi - lo),
-                    "n_words": pa.array(n_words, pa.int64()),
-                    "n_hit": pa.array(n_hit, pa.int64()),
-                    "n_items": pa.array([len(x) for x in found], pa.int64()),
-                    "items": pa.array(found, pa.list_(pa.string())),
-                    "contaminated": pa.array((n_hit > 0) & (share * n_hit >= n_words)),
-                    "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                }
-                columns |= {c: batch.column(c).slice(lo, hi - lo) for c in carry}
-                if cleaned:
-                    raw = [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)]
-                    columns["cleaned"] = pa.array([without_spans(x, s) for x, s in zip(raw, spans, strict=True)], pa.string())
+                hits: list[list[dict]] = [[] for _ in range(hi - lo)]
+                for row in np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(hit)])[bounds])):
+                    at = np.flatnonzero(hit[bounds[row] : bounds[row + 1]])
+                    first, last = at[np.diff(at, prepend=-2) > 1], at[np.diff(at, append=at[-1] + 2) > 1]
+                    begin, end = starts[bounds[row] + first] - offsets[row], ends[bounds[row] + last] - offsets[row]
+                    hits[row] = [dict(zip(HIT, x, strict=True)) for x in zip(first.tolist(), (last + 1).tolist(), begin.tolist(), end.tolist(), strict=True)]
+                columns = {c: batch.column(c).slice(lo, hi - lo) for c in keep}
+                columns["n_words"] = pa.array(np.diff(bounds), pa.int64())
+                columns["items"] = pa.array([list(items.get(i, ())) for i in range(hi - lo)], pa.list_(pa.string()))
+                columns["hits"] = pa.array(hits, pa.list_(pa.struct([(x, pa.int64()) for x in HIT])))
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def merged(hits: list[dict]) -> list[dict]:
+    """Stretches of words joined where they meet or overlap."""
+    out: list[dict] = []
+    for x in sorted(hits, key=lambda h: (h["first"], h["last"])):
+        if out and x["first"] <= out[-1]["last"]:
+            out[-1] = out[-1] | {k: max(out[-1][k], x[k]) for k in ("last", "end")}
+        else:
+            out.append(x)
+    return out
+
+
+def _finish(keep: tuple[str, ...], text_col: str, share: int, cleaned: bool, carry: tuple[str, ...]):
+    def run(batches):
+        for batch in batches:
+            hits = [merged(x) if len(x) > 1 else x for x in batch.column("hits").to_pylist()]
+            items = [sorted(set(x)) for x in batch.column("items").to_pylist()]
+            n_words = batch.column("n_words").to_numpy()
+            n_hit = np.array([sum(h["last"] - h["first"] for h in x) for x in hits], np.int64)
+            spans = [[{k: h[k] for k in ("start", "end")} for h in x] for x in hits]
+            columns = {c: batch.column(c) for c in keep if c != text_col or c in carry}
+            columns |= {
+                "n_words": pa.array(n_words),
+                "n_hit": pa.array(n_hit),
+                "n_items": pa.array([len(x) for x in items], pa.int64()),
+                "items": pa.array(items, pa.list_(pa.string())),
+                "contaminated": pa.array((n_hit > 0) & (share * n_hit >= n_words)),
+                "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            }
+            if cleaned:
+                texts = [(x or "").encode() for x in batch.column(text_col).to_pylist()]
+                columns["cleaned"] = pa.array([without_spans(x, s) for x, s in zip(texts, spans, strict=True)], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
 def without_spans(text: bytes, spans: list[dict]) -> str:
     out, at = [], 0
     for x in spans:

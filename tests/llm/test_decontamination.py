@@ -4,7 +4,7 @@ import re
 import pytest
 from tests.llm.cases import awkward_rows, awkward_texts, by_id, frame, prose
 
-from gridscout.llm.decontamination import decontaminate
+from gridscout.llm.decontamination import decontaminate, merged
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -73,6 +73,16 @@ def test_empty_tables(spark):
     assert found(decontaminate(frame(spark, [(1, "a b")]), benchmark(spark, []))) == {1: (2, 0, [], False)}
 
 
-def test_a_benchmark_that_is_too_large_is_refused(spark):
+def test_a_large_benchmark_is_scanned_in_parts(spark):
+    docs = frame(spark, awkward_rows())
+    out = decontaminate(docs, benchmark(spark, ITEMS), most_windows=78, carry=("text",), cleaned=True)
+    assert found(out) == brute(awkward_texts(), ITEMS)
+    whole = by_id(decontaminate(docs, benchmark(spark, ITEMS), carry=("text",), cleaned=True))
+    assert {i: (r.spans, r.cleaned, r.text) for i, r in by_id(out).items()} == {i: (r.spans, r.cleaned, r.text) for i, r in whole.items()}
     with pytest.raises(ValueError):
-        decontaminate(frame(spark, [(1, "a")]), benchmark(spark, ITEMS), most_windows=10)
+        decontaminate(docs, benchmark(spark, ITEMS), most_windows=10)
+
+
+def test_stretches_are_merged():
+    hit = lambda a, b: {"first": a, "last": b, "start": 10 * a, "end": 10 * b}
+    assert merged([hit(5, 8), hit(0, 2), hit(2, 3), hit(6, 7), hit(9, 10)]) == [hit(0, 3), hit(5, 8), hit(9, 10)]
