@@ -7,7 +7,8 @@
 2. A second pass keeps the windows whose cells all say "repeated". Within a task all but the
    earliest occurrence of a window are settled; only that one, with a 96-bit hash, goes to the
    window's cell group, where the earliest of all is found exactly. A window in a third of all
-   documents so sends one row per million windows read, not one per occurrence.
+   documents so sends one row per few hundred thousand windows read, not one per
+   occurrence.
 3. Removed window starts go to their documents as runs, and the words they cover are cut.
 
 The bitmaps are broadcast. Their size follows the input up to `sketch_bytes` and not beyond; past
@@ -20,6 +21,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ WINDOW = 20
 SKETCH_BYTES = 128 << 20
 BLOCK_BITS = 20
 GROUP_BYTES = 8 << 20  # text that one group of windows or documents stands for
-FLUSH_SKETCH = 4_000_000
-FLUSH_WINDOWS = 1_000_000
+FLUSH_SKETCH = 2_000_000
+FLUSH_WINDOWS = 700_000
 CELL_HASH = np.uint64(0x8CB92BA72F3D8DD7)
 PACKED = "h1 binary, h2 binary, doc binary, pos binary, run binary"
 FIELDS = (("h1", np.uint64), ("h2", np.uint32), ("doc", np.int64), ("pos", np.int32), ("run", np.int32))
@@ -89,10 +91,10 @@ def _bucket(ids: np.ndarray, groups: int) -> np.ndarray:
     return (ids ^ (ids >> 17)) % groups
 
 
-def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each window in the two rows of the sketch."""
-    shift = np.uint64(64 - bits)
-    return (hashes >> shift).astype(np.int64), ((hashes * CELL_HASH) >> shift).astype(np.int64)
+def _cells(hashes: np.ndarray, bits: int, row: int) -> np.ndarray:
+    """The cell of each window in one of the two rows of the sketch."""
+    spread = hashes * CELL_HASH if row else hashes
+    return (spread >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def _windows(data, offsets, window: int):
@@ -120,8 +122,9 @@ def _sketch(window: int, bits: int):
     def emit(held: list[np.ndarray]) -> pa.RecordBatch:
         hashes = np.concatenate(held)
         keys, once, more = [], [], []
-        for row, cells in enumerate(_cells(hashes, bits)):
-            cells = np.sort(cells.astype(np.uint32))
+        for row in range(2):
+            cells = _cells(hashes, bits, row)
+            cells.sort()
             new = np.ones(len(cells), bool)
             new[1:] = cells[1:] != cells[:-1]
             first = np.flatnonzero(new)
@@ -245,8 +248,8 @@ def _candidates(window: int, bits: int, bitmaps, groups: int):
             for lo, hi, data, offsets in W.sliced(batch.column("_text")):
                 hashes, at, (starts, ends, bounds) = _windows(data, offsets, window)
                 for row in range(2):
-                    cells = _cells(hashes, bits)[row]
-                    hit = maps[row * half + (cells >> 3)] >> (cells & 7).astype(np.uint8) & 1 == 1
+                    cells = _cells(hashes, bits, row)
+                    hit = maps[row * half + (cells >> 3).astype(np.int64)] >> (cells & 7).astype(np.uint8) & 1 == 1
                     hashes, at = hashes[hit], at[hit]
                 if not len(at):
                     continue
@@ -267,8 +270,8 @@ def _later(groups: int):
     """Of the windows of one group, all but the earliest of each, by bucket of their documents."""
 
     def run(parts: pa.Table) -> pa.Table:
-        settled = np.array([len(x) == 0 for x in parts.column("h1").to_pylist()], bool)
-        kinds = [parts.filter(pa.array(~settled)), parts.filter(pa.array(settled))]
+        settled = pc.equal(pc.binary_length(parts.column("h1")), 0)
+        kinds = [parts.filter(pc.invert(settled)), parts.filter(settled)]
         h1, h2, docs, places = (W.unpack(kinds[0].column(name), kind) for name, kind in FIELDS[:4])
         order, first = _earliest(h1, h2, docs, places)
         late = order[~first]

@@ -165,4 +165,4 @@ def binary(arrays: list[np.ndarray]) -> pa.Array:
 def unpack(column, dtype) -> np.ndarray:
     """All values of a column of packed arrays, in order."""
     data, _ = text_bytes(column)
-    return np.frombuffer(data.tobytes(), dtype)
+    return np.frombuffer(data if data.ctypes.data % 8 == 0 else data.tobytes(), dtype)
