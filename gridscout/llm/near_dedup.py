@@ -5,10 +5,11 @@
 - **Classes.** Documents with equal shingle sets are one class, so copies cost one row each and no pair.
 - **Bands.** A coordinate group of `rows` in `bands` bands. With 48 bands of 4 a pair at similarity 0.75
   shares no band with a chance of 1.2e-8.
-- **Pairs.** Only the component matters, so a bucket first compares all its members with one leader.
-  Members of a bucket that are then still in different components are compared with a second, then a
-  third leader; the few pairs left after that all are, except those whose sizes alone rule out a link.
-  A hot bucket of true copies so costs a row per member and never all pairs.
+- **Pairs.** Only the component matters, so a bucket first compares all its members with one leader, and
+  with other leaders while that finds links. A hot bucket of true copies so costs a row per member.
+  Members of a bucket that are then still in different components are compared by finer signatures, in
+  blocks of a bucket and within tasks: each pair in the first bucket it shares. Only pairs that come
+  within five standard deviations of the threshold leave the task.
 - **Verification.** Links are confirmed on the full shingle sets, recomputed from the two texts.
 """
 
@@ -26,8 +27,13 @@ from gridscout.llm.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 48, 4
-STAR_ROUNDS = 3
+STAR_ROUNDS = 6
+LEAST_YIELD = 0.1  # links per tested pair that make another round of leaders worthwhile
 PERCENT = 75
+FINE = 768  # coordinates, one byte each, of the finer signatures
+DEVIATIONS = 5
+BLOCK = 2_000  # members of a bucket that one task compares with as many
+CELL_ROWS = 10_000
 
 
 def near_duplicates(
@@ -54,8 +60,12 @@ def near_duplicates(
     texts = unique_texts(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marks = stage(texts.mapInArrow(_marks(shingle, bands, rows), "id long, n long, c0 long, c1 long, bands array<long>"))
     classes = stage(marks.where("n > 0").groupBy("c0", "c1").agg(F.min("id").alias("rep")))
-    buckets = _shared_buckets(marks.join(classes.select(F.col("rep").alias("id")), "id", "left_semi"))
-    labels = _linked(buckets, texts, shingle, percent)
+    reps = marks.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    buckets = _shared_buckets(reps)
+    # what the comparisons read: the documents that share a bucket at all, their texts shuffled once here
+    compared = stage(texts.join(buckets.select("id").distinct(), "id", "left_semi"))
+    labels = _linked(buckets, marks, compared, shingle, percent)
+    drop_stage(buckets, compared)
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("c0", "c1", "rep", F.coalesce("comp", "rep").alias("comp"))
     out = marks.select("id", "n", F.when(F.col("n") > 0, F.col("c0")).alias("c0"), "c1").join(named, ["c0", "c1"], "left")
     comp = F.coalesce("comp", "id")
@@ -64,43 +74,72 @@ def near_duplicates(
     )
 
 
-def _shared_buckets(marks: DataFrame) -> DataFrame:
+def _shared_buckets(reps: DataFrame) -> DataFrame:
     """(key, id, n) for the buckets with at least two documents. A staged table."""
-    members = marks.select("id", "n", F.explode("bands").alias("key"))
+    members = reps.select("id", "n", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most").select("key")
     return stage(members.join(shared, "key").select("key", "id", "n"))
 
 
-def _linked(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _linked(buckets: DataFrame, marks: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, comp) of all documents with a link."""
-    labels = components(buckets.sparkSession.createDataFrame([], "a long, b long"))
+    labels = stage(buckets.sparkSession.createDataFrame([], "id long, comp long"))
     tested = None
-    for turn in range(STAR_ROUNDS + 1):
-        members = buckets.join(labels, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-        mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        members = stage(members.join(mixed, "key"))
-        if turn < STAR_ROUNDS:
-            order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-            other = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp")).alias("x")).select("key", "x.id", "x.n", "x.comp")
-        else:
-            other = members
-        other = other.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "comp")])
+    for turn in range(STAR_ROUNDS):
+        members = stage(_mixed(buckets, labels))
+        if members.isEmpty():
+            return labels
+        order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
+        leaders = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "n", "comp")).alias("x"))
+        leaders = leaders.select("key", *[F.col(f"x.{c}").alias(f"{c}2") for c in ("id", "n", "comp")])
         close = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-        pairs = members.join(other, "key").where((F.col("comp") != F.col("comp2")) & close)
+        pairs = members.join(leaders, "key").where((F.col("comp") != F.col("comp2")) & close)
         pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs)
-        if pairs.isEmpty() and turn == STAR_ROUNDS:
-            drop_stage(members, pairs)
-            break
-        links = stage(_verified(pairs, texts, shingle, percent))
-        labels = components(links, labels)
+        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        labels, n_links = _with_links(pairs, texts, labels, shingle, percent)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        drop_stage(members, links)
+        drop_stage(members)
+        if not n_links >= LEAST_YIELD * pairs.count() > 0:
+            break
+    members = stage(_mixed(buckets, labels))
+    if not members.isEmpty():
+        pairs = stage(_close_pairs(members, marks, texts, shingle, percent))
+        labels, _ = _with_links(pairs, texts, labels, shingle, percent)
+        drop_stage(pairs)
+    drop_stage(members, *([tested] if tested is not None else []))
     return labels
 
 
+def _with_links(pairs: DataFrame, texts: DataFrame, labels: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, int]:
+    """The labels after the links among `pairs`, and the number of these."""
+    links = stage(_verified(pairs, texts, shingle, percent))
+    n = links.count()
+    labels = components(links, labels) if n else labels
+    drop_stage(links)
+    return labels, n
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, n, comp): the buckets with members of different components."""
+    members = buckets.join(labels, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    return members.join(mixed, "key").select("key", "id", "n", "comp")
+
+
+def _close_pairs(members: DataFrame, marks: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b): pairs that share a bucket, are of different components, and may be linked."""
+    ids = members.select("id").distinct()
+    fine = texts.join(ids, "id", "left_semi").mapInArrow(_fine(shingle), "id long, fine binary")
+    fine = fine.join(marks.join(ids, "id", "left_semi").select("id", "bands"), "id")
+    large = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    rows = members.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", "id", "n", "comp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).join(fine, "id")
+    cells = max(1, members.count() // CELL_ROWS)
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(cells)))
+    return rows.groupBy("cell").applyInArrow(_near_in_buckets(percent), "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by their full sets."""
     # the text of b goes to the pair first; many pairs may have one a, whose text then meets them in parts
@@ -184,6 +223,46 @@ def _marks(shingle: int, bands: int, rows: int):
     return run
 
 
+def _fine(shingle: int):
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offsets in W.sliced(batch.column("text")):
+                low = np.ascontiguousarray((signatures(shingle_sets(data, offsets, shingle), FINE) & np.uint32(255)).astype(np.uint8).T)
+                yield pa.record_batch([batch.column("id").slice(lo, hi - lo), W.binary(list(low))], ["id", "fine"])
+
+    return run
+
+
+def _near_in_buckets(percent: int):
+    share = percent / 100
+    least = share - DEVIATIONS * (share * (1 - share) / FINE) ** 0.5
+    least = FINE * (least + (1 - least) / 256)  # other bytes agree by chance
+
+    def run(rows: pa.Table) -> pa.Table:
+        key, lo, hi, block, ids, n, comp = (rows.column(c).to_numpy() for c in ("key", "lo", "hi", "block", "id", "n", "comp"))
+        fine = W.unpack(rows.column("fine"), np.uint8).reshape(len(ids), -1)
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        order = np.lexsort((ids, hi, lo, key))
+        edges = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] - 1) | np.diff(lo[order], prepend=0) | np.diff(hi[order], prepend=0))
+        found: list[tuple] = []
+        for begin, end in zip(edges, [*edges[1:], len(order)], strict=True):
+            own = order[begin:end]
+            for k, i in enumerate(own[:-1]):
+                j = own[k + 1 :]
+                ok = (comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))
+                if lo[i] != hi[i]:
+                    ok &= block[j] != block[i]
+                j = j[ok]
+                j = j[np.count_nonzero(fine[j] == fine[i], axis=1) >= least]
+                if len(j):  # each pair in the first bucket it shares
+                    j = j[bands[i, np.argmax(bands[j] == bands[i], axis=1)] == key[i]]
+                    found += zip([ids[i]] * len(j), ids[j], strict=True)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return run
+
+
 def _compare(shingle: int, percent: int):
     def run(batches):
         for batch in batches:
