@@ -85,7 +85,7 @@ def test_plan_places_every_rank_once():
 def test_words_give_the_ids_of_the_text():
     model = Tokenizer.from_file(tokenizer())
     rng = random.Random(4)
-    parts = ["it's", "we'll", "A$$$", "12,5", "é", "é", "́x", "ΣΣ", "İ", " ", "　", "\x85", "\x1c", "<|endoftext|>", "日本", "\U0001f600", " ", "\n", "\t", "\x0b", "'", "don't"]
+    parts = ["it's", "we'll", "A$$$", "12,5", "é", "é", "́x", "ΣΣ", "İ", " ", "　", "\x85", "\x1c", "<|endoftext|>", "日本", "\U0001f600", " ", "\n", "\t", "\x0b", "'", "don't", "Ŀ", "ŉ", "ſ", "×", "÷", "ß", "Ǆ", "ª", "µ", "'S", "'ll", "<|", "ñ"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
     expected = [np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert token_ids([t.encode() for t in texts], tokenizer()) == expected
