@@ -4,9 +4,11 @@
   distinct one of a few million tokens once, packed by cell (the upper bits of the hash). A cell adds
   up its counts exactly. Cells grow in number with the input.
 - **Filter.** A count c has the level 1 + floor(log_base(c)); an n-gram is inserted once for every level
-  up to its own. Each cell owns a stretch of the filter, so a cell's task makes its bits alone. To look
+  up to its own. Each cell owns a stretch of the filter, so a cell's task makes its bits alone, as many
+  as its insertions need: 8 bits each, two of them probed, let an absent level pass in at most 5 %. To look
   up an n-gram, levels are probed from 1 until one is missing. A false positive can raise a count,
-  nothing lowers one. The filter is broadcast; it follows the input up to `filter_bits`, not beyond.
+  nothing lowers one. A filter of at most `filter_bits` is broadcast. Of a larger one no task has more than a
+  stretch: the distinct n-grams of each bucket of documents go to their cells, and the levels come back.
 - **Exact base score.** Words whose count is in the upper levels, `most_words` at most, are broadcast with their
   counts. The other words of a document meet their counts in their cell's task, so the vocabulary may have any size.
 """
@@ -24,6 +26,7 @@ from gridscout.llm.common import held_out, stage, text_size, unique_texts
 
 BASE = 1.5
 MOST_FILTER_BITS = 1 << 30
+BITS_PER_INSERTION = 8
 MOST_WORDS = 1_000_000
 GROUP_BYTES = 8 << 20
 FLUSH_TOKENS = 3_000_000
@@ -57,8 +60,9 @@ def lm_scores(
     A null, empty or blank text is the end token alone. Without training documents N and V are 0 and
     every token is unknown: base_score is 0. Several rows of one id count as one, see
     `unique_texts`; rows without an id are left out. An empty table gives an empty table. Words are
-    told apart by 64-bit hash. The filter has about `bits_per_byte` bits per byte of text, rounded up to a
-    power of two. Other columns of `docs` play no part, whatever they are called.
+    told apart by 64-bit hash. The filter has 8 bits per n-gram and level, and at least about `bits_per_byte` bits
+    per byte of text; whether it is broadcast changes no score. Other columns of `docs` play no part, whatever
+    they are called.
     """
     rows = unique_texts(docs, id_col, text_col).select(
         F.col(id_col).cast("long").alias("_id"), held_out(id_col, modulus, rest).alias("_held"), F.col(text_col).alias("_text")
@@ -66,8 +70,8 @@ def lm_scores(
     spark = rows.sparkSession
     size = text_size(rows, "_text")
     cell_bits = min((size // group_bytes).bit_length(), 20)
-    bits = max(cell_bits + 6, min(int(size * bits_per_byte).bit_length(), filter_bits.bit_length() - 1, 48), 10)
-    segment = bits - cell_bits
+    groups = max(1, size // group_bytes)
+    segment = min(max(6, 10 - cell_bits, int(size * bits_per_byte).bit_length() - cell_bits), 32)
     counts = rows.where(~F.col("_held")).select("_text").mapInArrow(_count(cell_bits), "cell int, pairs boolean, hashes binary, counts binary")
     model = stage(
         counts.groupBy("cell").applyInArrow(_cell_model(segment, base), "cell int, filter binary, n long, v long, levels array<long>, hashes binary, counts binary")
@@ -76,22 +80,28 @@ def lm_scores(
     n, v = totals.n or 0, totals.v or 0
     level = _broadcast_level(model, most_words)
     frequent = _frequent(model, level, base)
-    filter_ = np.zeros(1 << max(bits - 3, 0), np.uint8)
-    width = 1 << (segment - 3)
-    for cell, data in model.select("cell", "filter").collect():
-        filter_[cell * width : (cell + 1) * width] = np.frombuffer(bytes(data), np.uint8)
     n_train = rows.where(~F.col("_held")).count()
-    shared = spark.sparkContext.broadcast((filter_, *frequent))
-    scored = stage(
-        rows.mapInArrow(
-            _score(shared, cell_bits, segment, base, smoothing, n, v, n_train),
-            "_id long, _held boolean, n_tokens long, known long, logs double, score double, rest binary, times binary",
-        )
-    )
+    score = _score(spark.sparkContext.broadcast(frequent), base, smoothing, n, v, n_train)
+    types = "_id long, _held boolean, n_tokens long, known long, logs double, score double, rest binary, times binary"
+    lengths = model.select("cell", F.octet_length("filter").alias("bytes"))
+    if 8 * (lengths.agg(F.sum("bytes")).first()[0] or 0) <= filter_bits:
+        stretches = np.zeros((1 << cell_bits) + 1, np.int64)
+        for cell, length in lengths.collect():
+            stretches[cell + 1] = 8 * length
+        stretches = np.cumsum(stretches)
+        filter_ = np.zeros(stretches[-1] >> 3, np.uint8)
+        for cell, data in model.select("cell", "filter").toLocalIterator():
+            filter_[stretches[cell] >> 3 : stretches[cell + 1] >> 3] = np.frombuffer(bytes(data), np.uint8)
+        scored = rows.mapInArrow(_by_filter(spark.sparkContext.broadcast((filter_, stretches)), cell_bits, score), types)
+    else:
+        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int"))
+        wanted = dealt.select("bucket", "_text").groupBy("bucket").applyInArrow(_wanted(cell_bits), "cell int, bucket int, hashes binary")
+        levels = wanted.groupBy("cell").cogroup(model.select("cell", "filter").groupBy("cell")).applyInArrow(_cell_levels, "bucket int, cell int, levels binary")
+        scored = dealt.groupBy("bucket").cogroup(levels.groupBy("bucket")).applyInArrow(_by_levels(score, types), types)
+    scored = stage(scored)
     total = F.lit(float(np.log10(n + v + 1)))
     out = scored.select("_id", "_held", "n_tokens", "known", "logs", "score")
     if level > 0:  # words that are not broadcast may have counts
-        groups = max(1, size // group_bytes)
         rare = scored.select("_id", "rest", "times").mapInArrow(_by_cell(cell_bits), "cell int, hashes binary, docs binary, times binary")
         found = rare.groupBy("cell").cogroup(model.select("cell", "hashes", "counts").groupBy("cell")).applyInArrow(_look_up(groups), "bucket int, docs binary, counts binary, times binary")
         sums = found.groupBy("bucket").applyInArrow(_sums, "_id long, more_known long, more_logs double")
@@ -181,11 +191,11 @@ def _cell(hashes: np.ndarray, cell_bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - cell_bits)).astype(np.int64) if cell_bits else np.zeros(len(hashes), np.int64)
 
 
-def _probes(hashes: np.ndarray, level: int, segment: int):
-    """Two places within the cell's stretch of the filter."""
+def _probes(hashes: np.ndarray, level: int, length):
+    """Two places within the cell's stretch of the filter, of `length` bits, 2^32 at most."""
     x = W.mix(hashes + W.U64(level * LEVEL % (1 << 64)))
-    mask = np.uint64((1 << segment) - 1)
-    return (x & mask).astype(np.int64), ((x >> np.uint64(32)) & mask).astype(np.int64)
+    half = np.uint64(32)
+    return tuple((part * length >> half).astype(np.int64) for part in (x & np.uint64(0xFFFFFFFF), x >> half))
 
 
 def _summed(hashes: np.ndarray, counts: np.ndarray | None = None):
@@ -244,22 +254,23 @@ def _count(cell_bits: int):
 
 def _cell_model(segment: int, base: float):
     def run(parts: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << segment, bool)
-        words = None
+        found = []
         for kind in (False, True):
             own = parts.filter(pc.equal(parts.column("pairs"), kind))
             hashes, counts = _summed(W.unpack(own.column("hashes"), np.uint64), W.unpack(own.column("counts"), np.uint32).astype(np.int64))
-            levels = _levels(counts, base)
-            if not kind:
-                words = hashes, counts, levels
+            found.append((hashes, counts, _levels(counts, base)))
+        insertions = sum(int(levels.sum()) for _, _, levels in found)
+        length = min(max(1 << segment, -(-insertions * BITS_PER_INSERTION // 64) * 64), 1 << 32)
+        bits = np.zeros(length, bool)
+        for hashes, _, levels in found:
             level = 1
             while len(hashes):
-                for place in _probes(hashes, level, segment):
+                for place in _probes(hashes, level, np.uint64(length)):
                     bits[place] = True
                 level += 1
                 more = levels >= level
                 hashes, levels = hashes[more], levels[more]
-        hashes, counts, levels = words
+        hashes, counts, levels = found[0]
         return pa.table(
             {
                 "cell": parts.column("cell")[:1],
@@ -278,61 +289,125 @@ def _cell_model(segment: int, base: float):
 # -- scoring
 
 
-def probe(filter_: np.ndarray, hashes: np.ndarray, cell_bits: int, segment: int) -> np.ndarray:
-    """The level of each n-gram in the filter."""
+def probe(filter_: np.ndarray, hashes: np.ndarray, cell_bits: int, stretches: int | np.ndarray) -> np.ndarray:
+    """The level of each n-gram in the filter. `stretches`: the bit where each cell's stretch begins, and the end of
+    the last; or the log2 of the length that all have."""
+    if isinstance(stretches, int):
+        stretches = np.arange((1 << cell_bits) + 1) << stretches
     levels = np.zeros(len(hashes), np.int64)
-    active = np.arange(len(hashes))
-    begin = _cell(hashes, cell_bits) << segment
+    cell = _cell(hashes, cell_bits)
+    begin, length = stretches[cell], (stretches[cell + 1] - stretches[cell]).astype(W.U64)
+    active = np.flatnonzero(length)
+    hashes, begin, length = hashes[active], begin[active], length[active]
     for level in range(1, LEVELS):
         ok = np.ones(len(hashes), bool)
-        for place in _probes(hashes, level, segment):
+        for place in _probes(hashes, level, length):
             place += begin
             ok &= filter_[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
-        active, hashes, begin = active[ok], hashes[ok], begin[ok]
+        active, hashes, begin, length = active[ok], hashes[ok], begin[ok], length[ok]
         if not len(active):
             break
         levels[active] = level
     return levels
 
 
-def _score(shared, cell_bits: int, segment: int, base: float, smoothing: float, n: int, v: int, n_train: int):
+def _by_filter(shared, cell_bits: int, score):
+    """Scores with the whole filter."""
+
     def run(batches):
-        filter_, frequent, frequent_counts = shared.value
-        values = level_counts(base)
+        filter_, stretches = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in W.sliced(batch.column("_text")):
-                tokens, bounds = _tokens(data, offsets)
-                begins = bounds[:-1]
-                counts = np.zeros(len(tokens), np.int64)
-                if len(frequent):
-                    place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                    same = frequent[place] == tokens
-                    counts[same] = frequent_counts[place[same]]
-                rest, times = [], []
-                unknown = counts == 0
-                for a, b in zip(bounds, bounds[1:], strict=False):
-                    own, k = _summed(tokens[a:b][unknown[a:b]])
-                    rest.append(own.tobytes())
-                    times.append(k.astype(np.uint32).tobytes())
-                # the model
-                single = values[probe(filter_, tokens, cell_bits, segment)]
-                before = _histories(tokens, bounds)
-                history = np.empty_like(single)
-                history[1:] = single[:-1]
-                history[begins] = n_train
-                both = np.minimum(values[probe(filter_, _pairs(before, tokens), cell_bits, segment)], np.minimum(history, single))
-                p = (both + smoothing * (single + 1) / (n + v + 1)) / (history + smoothing)
-                columns = [
-                    batch.column("_id").slice(lo, hi - lo),
-                    batch.column("_held").slice(lo, hi - lo),
-                    pa.array(np.diff(bounds), pa.int64()),
-                    pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
-                    pa.array(np.add.reduceat(np.log10(counts + 1.0), begins)),
-                    pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), begins)),
-                    pa.array(rest, pa.binary()),
-                    pa.array(times, pa.binary()),
-                ]
-                yield pa.record_batch(columns, ["_id", "_held", "n_tokens", "known", "logs", "score", "rest", "times"])
+            yield from score(batch, lambda hashes: probe(filter_, hashes, cell_bits, stretches))
+
+    return run
+
+
+def _ngrams(column) -> np.ndarray:
+    """Distinct sorted hashes of all tokens and pairs of a text column."""
+    found = [np.zeros(0, W.U64)]
+    for _, _, data, offsets in W.sliced(column):
+        tokens, bounds = _tokens(data, offsets)
+        found.append(_summed(np.concatenate([tokens, _pairs(_histories(tokens, bounds), tokens)]))[0])
+    return _summed(np.concatenate(found))[0]
+
+
+def _wanted(cell_bits: int):
+    """The n-grams of a bucket of documents, to their cells."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        bucket = docs.column("bucket")[0].as_py()
+        hashes = _ngrams(docs.column("_text"))
+        rows = [(cell, hashes[lo:hi].tobytes()) for cell, lo, hi in _split_cells(_cell(hashes, cell_bits))]
+        cells, parts = zip(*rows, strict=True)
+        return pa.table({"cell": pa.array(cells, pa.int32()), "bucket": pa.array([bucket] * len(rows), pa.int32()), "hashes": pa.array(parts, pa.binary())})
+
+    return run
+
+
+def _cell_levels(wanted: pa.Table, model: pa.Table) -> pa.Table:
+    """The levels of a cell's n-grams, to the buckets that asked."""
+    filter_, _ = W.text_bytes(model.column("filter"))
+    levels = probe(filter_, W.unpack(wanted.column("hashes"), np.uint64), 0, np.array([0, 8 * len(filter_)]))
+    _, places = W.text_bytes(wanted.column("hashes"))
+    parts = [levels[a:b].astype(np.uint8).tobytes() for a, b in zip(places[:-1] // 8, places[1:] // 8, strict=True)]
+    return pa.table({"bucket": wanted.column("bucket"), "cell": wanted.column("cell"), "levels": pa.array(parts, pa.binary())})
+
+
+def _by_levels(score, types: str):
+    """Scores of a bucket of documents with the levels from the cells."""
+    schema = pa.schema([(name, {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}[t]) for name, t in map(str.split, types.split(", "))])
+
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        hashes = _ngrams(docs.column("_text"))
+        order = np.argsort(found.column("cell").to_numpy())  # cells are the upper bits
+        levels = W.unpack(found.column("levels").take(pa.array(order)), np.uint8)
+        if len(levels) != len(hashes):
+            raise RuntimeError(f"{len(levels)} levels for {len(hashes)} n-grams")
+        batches = [x for b in docs.to_batches() for x in score(b, lambda own: levels[np.searchsorted(hashes, own)])]
+        return pa.Table.from_batches(batches, schema)
+
+    return run
+
+
+def _score(shared, base: float, smoothing: float, n: int, v: int, n_train: int):
+    """Scores the documents of a batch; `look` gives the levels of n-grams."""
+
+    def run(batch, look):
+        frequent, frequent_counts = shared.value
+        values = level_counts(base)
+        for lo, hi, data, offsets in W.sliced(batch.column("_text")):
+            tokens, bounds = _tokens(data, offsets)
+            begins = bounds[:-1]
+            counts = np.zeros(len(tokens), np.int64)
+            if len(frequent):
+                place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+                same = frequent[place] == tokens
+                counts[same] = frequent_counts[place[same]]
+            rest, times = [], []
+            unknown = counts == 0
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                own, k = _summed(tokens[a:b][unknown[a:b]])
+                rest.append(own.tobytes())
+                times.append(k.astype(np.uint32).tobytes())
+            # the model
+            single = values[look(tokens)]
+            before = _histories(tokens, bounds)
+            history = np.empty_like(single)
+            history[1:] = single[:-1]
+            history[begins] = n_train
+            both = np.minimum(values[look(_pairs(before, tokens))], np.minimum(history, single))
+            p = (both + smoothing * (single + 1) / (n + v + 1)) / (history + smoothing)
+            columns = [
+                batch.column("_id").slice(lo, hi - lo),
+                batch.column("_held").slice(lo, hi - lo),
+                pa.array(np.diff(bounds), pa.int64()),
+                pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
+                pa.array(np.add.reduceat(np.log10(counts + 1.0), begins)),
+                pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), begins)),
+                pa.array(rest, pa.binary()),
+                pa.array(times, pa.binary()),
+            ]
+            yield pa.record_batch(columns, ["_id", "_held", "n_tokens", "known", "logs", "score", "rest", "times"])
 
     return run
 

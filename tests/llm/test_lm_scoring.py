@@ -116,3 +116,26 @@ def test_empty_tables(spark):
     held = next(i for i in range(100) if is_held(i))
     (row,) = L.lm_scores(frame(spark, [(held, "all held out")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (4, 0, 0, 0.0)
+
+
+def test_a_filter_that_is_not_broadcast_gives_the_same_scores(spark):
+    """`filter_bits` bounds what is broadcast, not the filter."""
+    docs = frame(spark, list(corpus().items()))
+    for group_bytes in (2000, 8 << 20):
+        whole, found = (by_id(L.lm_scores(docs, filter_bits=bits, group_bytes=group_bytes)) for bits in (1 << 30, 1 << 10))
+        assert found == whole
+    assert by_id(L.lm_scores(frame(spark, awkward_rows()), filter_bits=1)) == by_id(L.lm_scores(frame(spark, awkward_rows())))
+
+
+def test_false_positives_do_not_grow_with_the_input():
+    rng = np.random.default_rng(5)
+    import pyarrow as pa
+
+    for n in (1000, 100_000):
+        hashes = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        counts = rng.integers(1, 40, len(hashes))
+        parts = pa.table({"cell": pa.array([0], pa.int32()), "pairs": [True], "hashes": pa.array([hashes.tobytes()]), "counts": pa.array([counts.astype(np.uint32).tobytes()])})
+        filter_ = np.frombuffer(L._cell_model(10, L.BASE)(parts).column("filter")[0].as_py(), np.uint8)
+        stretch = np.array([0, 8 * len(filter_)])
+        assert (L.probe(filter_, hashes, 0, stretch) >= L._levels(counts, L.BASE)).all()
+        assert (L.probe(filter_, rng.integers(0, 2**63, 50_000, dtype=np.uint64), 0, stretch) > 0).mean() < 0.06
