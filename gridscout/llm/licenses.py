@@ -120,6 +120,10 @@ RULES = [
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"[.!?]+[\x09-\x0D\x20]+"
+# Before sentences are cut: no sentence ends at `v.` before a number, nor between "at" and its URL; one ends where a list begins.
+VERSION_MARK = r"(?<![a-z0-9])v\.[\x09-\x0D\x20]++(?=[0-9])"
+URL_BELOW = r"(?<![a-z0-9])at:?[\x09-\x0D\x20]++(?=https?://)"
+LIST_BEGIN = r":[\x09-\x0D\x20]++(?:\(?[0-9]{1,2}[.)]|\(?[a-z]\)|[*\u2022-])[\x09-\x0D\x20]++"
 BLANK_LINE = r"\n[\x09-\x0D\x20]*\n"
 
 
@@ -130,7 +134,7 @@ def normal(sentence: str) -> str:
 
 
 def normal_sentences() -> dict[str, str]:
-    """Identifier by normalised sentence; a sentence end within a table entry is not allowed."""
+    """Identifier by normalised sentence; a text of one entry must be cut into that entry alone."""
     return {normal(text): name for name, text in SENTENCES.items()}
 
 
@@ -153,7 +157,8 @@ def _identifiers(text: Column) -> Column:
         return F.transform(F.filter(cleaned, lambda s: s.isin(*known)), lambda s: F.element_at(names, s))
 
     lowered = F.translate(F.concat(text, F.lit(" ")), UPPER, LOWER)
-    ended = F.regexp_replace(lowered, SENTENCE_END, "\n\n")
+    whole = F.regexp_replace(F.regexp_replace(lowered, VERSION_MARK, "v "), URL_BELOW, "at ")
+    ended = F.regexp_replace(F.regexp_replace(whole, LIST_BEGIN, "\n\n"), SENTENCE_END, "\n\n")
     by_line, by_paragraph = F.split(ended, "\n"), F.split(ended, BLANK_LINE)
     return F.struct(of(by_line).alias("a"), of(by_paragraph).alias("b"))
 

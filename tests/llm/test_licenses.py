@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from tests.llm.cases import awkward_rows, awkward_texts, by_id, frame
 
@@ -106,3 +107,51 @@ def test_table():
 def test_no_python_in_the_plan(spark):
     plan = L.scan_licenses(frame(spark, [(1, "x")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+FREEBSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_every_entry_survives_the_cut(spark):
+    names = list(L.SENTENCES)
+    for write in (str, lambda s: "prose before.\n\n" + textwrap.fill(s, 60) + ".\nMore prose.\n"):
+        rows = [(i, write(L.SENTENCES[name])) for i, name in enumerate(names)]
+        assert {i: x[0] for i, x in found(L.scan_licenses(frame(spark, rows))).items()} == {i: [name] for i, name in enumerate(names)}
+
+
+def test_version_marks_lists_and_urls(spark):
+    bsd = ["bsd-grant", "bsd-source", "bsd-binary"]
+    bullets = FREEBSD.replace("1.", "*").replace("2.", "*")
+    texts = {
+        1: (MPL, ["mpl2-notice"], ["MPL-2.0"]),
+        2: (FREEBSD, bsd, ["BSD-2-Clause"]),
+        3: (bullets, bsd, ["BSD-2-Clause"]),
+        4: (FREEBSD.replace("1.", "(1)").replace("2.", "(2)"), bsd[:2], []),
+        5: (FREEBSD + "3. " + BSD3[len(BSD2) :].lstrip("\n* "), [*bsd, "bsd-names"], ["BSD-3-Clause"]),
+        6: (APACHE, ["apache-header", "apache-copy", "apache-limits"], ["Apache-2.0"]),
+        7: (APACHE.split("License.\n", 1)[1], ["apache-copy", "apache-limits"], ["Apache-2.0"]),
+        8: ("v. 2.0. At:\n1. one\n\nMIT License.", ["mit-title-2"], []),
+    }
+    assert found(L.scan_licenses(frame(spark, [(i, t) for i, (t, _, _) in texts.items()]))) == {i: (a, b) for i, (_, a, b) in texts.items()}
