@@ -4,7 +4,8 @@ Each language has a distribution of byte trigrams, learned from labelled documen
 word (with a blank at either side) give the word's likelihood in every language. A document's words are
 draws from a mixture of languages; expectation-maximisation finds the shares. Sets of one, two, ...
 languages are compared by log-likelihood less half the log of the number of words for each further
-share, and the best set's shares are the result.
+share, and the best set's shares are the result. Sets grow up to all languages; a document is left out of further
+sizes only once no mixture at all could make up for the next size's penalty.
 
 The model, languages x 65,536 numbers, is broadcast; more than `most_langs` languages raise an error.
 """
@@ -21,7 +22,6 @@ from gridscout.llm.common import held_out, unique_texts
 
 GRAM_BITS = 16
 MOST_LANGS = 256
-MOST_IN_SET = 3
 ROUNDS = 12
 PENALTY = 1.0
 ALPHA = 0.5
@@ -49,7 +49,6 @@ def identify(
     modulus: int = 4,
     rest: int = 2,
     penalty: float = PENALTY,
-    most_in_set: int = MOST_IN_SET,
     most_langs: int = MOST_LANGS,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -72,7 +71,7 @@ def identify(
     keep = [id_col, "_held", text_col, *carry]
     types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     out = rows.select(*keep, "_letters").mapInArrow(
-        _predict(shared, text_col, keep, penalty, most_in_set), f"{types}, _lang string, _score double, _langs array<string>, _shares array<double>"
+        _predict(shared, text_col, keep, penalty), f"{types}, _lang string, _score double, _langs array<string>, _shares array<double>"
     )
     return out.select(
         id_col, F.col("_held").alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_langs").alias("langs"), F.col("_shares").alias("shares"), text_col, *carry
@@ -130,7 +129,14 @@ def shares_of(likelihood: np.ndarray, begins: np.ndarray, rows: np.ndarray, size
     return shares, np.add.reduceat(np.log(np.maximum(total, 1e-30)), begins)
 
 
-def mixtures(likelihood: np.ndarray, base: np.ndarray, bounds: np.ndarray, penalty: float, most_in_set: int) -> np.ndarray:
+def highest(likelihood: np.ndarray, begins: np.ndarray, rows: np.ndarray, sizes: np.ndarray, shares: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """What the log-likelihood of no mixture exceeds, from any shares and their log-likelihood: it is concave in the
+    shares, so it lies below its tangent there."""
+    total = np.maximum((likelihood * shares[rows]).sum(1, keepdims=True), 1e-30)
+    return value + (np.add.reduceat(likelihood / total, begins, axis=0).max(1) - sizes) + 1e-3 * np.maximum(sizes, 1)
+
+
+def mixtures(likelihood: np.ndarray, base: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarray:
     """The shares of the best language set of each row; every row has a word.
 
     likelihood: words x languages, each word's largest being 1; base: the log of what it was divided by.
@@ -143,22 +149,32 @@ def mixtures(likelihood: np.ndarray, base: np.ndarray, bounds: np.ndarray, penal
     best = np.zeros((len(sizes), n_langs), np.float32)
     best[np.arange(len(sizes)), single] = 1
     value = logs[np.arange(len(sizes)), single]
-    if n_langs > 1 and most_in_set > 1:
-        full, _ = shares_of(likelihood, begins, rows, sizes, np.full((len(sizes), n_langs), 1 / n_langs, np.float32))
+    if n_langs > 1:
+        full, reached = shares_of(likelihood, begins, rows, sizes, np.full((len(sizes), n_langs), 1 / n_langs, np.float32))
+        most = highest(likelihood, begins, rows, sizes, full, reached)
         order = np.argsort(-full, 1, kind="stable")
-        for size in range(2, min(n_langs, most_in_set) + 1):
-            start = np.zeros_like(full)
-            chosen = order[:, :size]
-            np.put_along_axis(start, chosen, np.maximum(np.take_along_axis(full, chosen, 1), 1e-6), 1)
+        cost = penalty * 0.5 * np.log(np.maximum(sizes, 2))
+        for size in range(2, n_langs + 1):
+            open_ = np.flatnonzero(most - (size - 1) * cost > value)
+            if not len(open_):
+                break
+            if len(open_) < len(order):
+                words = np.isin(rows, open_)
+                own, lengths = likelihood[words], np.diff(bounds)[open_]
+            else:
+                own, lengths = likelihood, np.diff(bounds)
+            start = np.zeros((len(open_), n_langs), np.float32)
+            chosen = order[open_, :size]
+            np.put_along_axis(start, chosen, np.maximum(np.take_along_axis(full[open_], chosen, 1), 1e-6), 1)
             start /= start.sum(1, keepdims=True)
-            shares, found = shares_of(likelihood, begins, rows, sizes, start, ROUNDS // 2)
-            found = found - penalty * (size - 1) * 0.5 * np.log(np.maximum(sizes, 2))
-            better = found > value
-            best[better], value[better] = shares[better], found[better]
+            shares, found = shares_of(own, np.cumsum(lengths) - lengths, np.repeat(np.arange(len(open_)), lengths), sizes[open_], start, ROUNDS // 2)
+            found = found - (size - 1) * cost[open_]
+            better = found > value[open_]
+            best[open_[better]], value[open_[better]] = shares[better], found[better]
     return best
 
 
-def _predict(shared, text_col: str, keep: list[str], penalty: float, most_in_set: int):
+def _predict(shared, text_col: str, keep: list[str], penalty: float):
     def of_slice(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray):
         langs, model = shared.value
         out: list[tuple] = [(UNKNOWN, 0.0, [], [])] * len(letters)
@@ -171,7 +187,7 @@ def _predict(shared, text_col: str, keep: list[str], penalty: float, most_in_set
         rows = np.flatnonzero(letters)
         some = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in rows]) if len(rows) < len(letters) else slice(None)
         own = np.concatenate([[0], np.cumsum(np.diff(bounds)[rows])])
-        for row, shares in zip(rows, mixtures(likelihood[some], base[some], own, penalty, most_in_set), strict=True):
+        for row, shares in zip(rows, mixtures(likelihood[some], base[some], own, penalty), strict=True):
             order = [i for i in np.argsort(-shares, kind="stable") if shares[i] > 0]
             out[row] = (langs[order[0]], min(1.0, float(shares[order[0]])), [langs[i] for i in order], [float(shares[i]) for i in order])
         return out

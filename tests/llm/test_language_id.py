@@ -9,6 +9,8 @@ from gridscout.llm import language_id as L
 SF_DIR = "/root/testdata/sf0.01"
 EN = "the of and to in is that it was for on are with as his they be at one have this from".split()
 FR = "le la les des et une est que dans qui pour pas sur plus avec être nous même où été".split()
+ES = "el los las por una con para como pero más este entre cuando muy sin sobre también hasta hay donde".split()
+PL = "nie się jest że jak ale czy już tylko przez był może tak jego bardzo które gdzie więc ponieważ dla".split()
 DE = "der die und das nicht ist ein eine mit auf für sich auch werden über nach wird bei schön".split()
 
 
@@ -84,3 +86,33 @@ def test_held_out_accuracy(spark):
     out = L.identify(spark.read.parquet(f"{SF_DIR}/documents.parquet"), carry=("lang",))
     right, n = out.where("held_out").selectExpr("sum(int(lang = lang_pred))", "count(*)").first()
     assert n > 200 and right / n > 0.97
+
+
+def test_mixtures_of_more_than_three_languages(spark):
+    rng = random.Random(2)
+    vocabularies = [EN, FR, DE, ES, PL]
+    names = ["en", "fr", "de", "es", "pl"]
+    rows = [(i, sentence(rng, v), lang) for i, (v, lang) in enumerate(list(zip(vocabularies, names, strict=True)) * 40)]
+    rows += [(1000, sentence(rng, *vocabularies[:4], n=1200), None), (1001, sentence(rng, *vocabularies, n=1500), None), (1002, sentence(rng, EN, n=1200), None)]
+    out = by_id(L.identify(docs(spark, rows)))
+    assert set(out[1000].langs) == set(names[:4]) and all(abs(x - 1 / 4) < 0.08 for x in out[1000].shares) and out[1000].score < 0.33
+    assert set(out[1001].langs) == set(names) and all(abs(x - 1 / 5) < 0.08 for x in out[1001].shares)
+    assert out[1002].langs == ["en"]
+
+
+def test_no_set_is_left_out():
+    """The sizes that are skipped hold nothing better than the set chosen."""
+    rng = np.random.default_rng(1)
+    for n_langs in (2, 5, 8):
+        lengths = rng.integers(1, 300, 40)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        likelihood = rng.random((bounds[-1], n_langs)).astype(np.float32) ** 4
+        likelihood /= likelihood.max(1, keepdims=True)
+        base = np.zeros((len(likelihood), 1), np.float32)
+        every = L.highest
+        found = L.mixtures(likelihood, base, bounds, 1.0)
+        try:
+            L.highest = lambda *a: np.full(len(lengths), np.inf)
+            assert (L.mixtures(likelihood, base, bounds, 1.0) == found).all()
+        finally:
+            L.highest = every
