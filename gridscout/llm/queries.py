@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridscout.llm.common import documents, table, work_folder
 from gridscout.llm.decontamination import decontaminate
+from gridscout.llm.fill_in_middle import fill_in_middle, restored
 from gridscout.llm.fingerprints import fingerprints
 from gridscout.llm.language_id import identify
 from gridscout.llm.licenses import scan_licenses
@@ -15,6 +16,7 @@ from gridscout.llm.near_dedup import near_duplicates
 from gridscout.llm.packing import pack
 from gridscout.llm.quality import quality_scores
 from gridscout.llm.substring_dedup import substring_dedup
+from gridscout.llm.toxicity import toxicity
 from gridscout.llm.warc import read_warc, write_warc
 
 
@@ -71,6 +73,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(documents(spark, sf_dir))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(documents(spark, sf_dir))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("segments").cast("long").alias("n_segments"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,5 +97,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_warc,
         op10_lm_scoring,
+        op11_fill_in_middle,
+        op12_toxicity,
     )
 }
