@@ -18,6 +18,7 @@ from gridscout.llm.quality import quality_scores
 from gridscout.llm.substring_dedup import substring_dedup
 from gridscout.llm.toxicity import toxicity
 from gridscout.llm.warc import read_warc, write_warc
+from gridscout.llm.whitening import whiten
 
 
 def tokenizer() -> str:
@@ -84,6 +85,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("segments").cast("long").alias("n_segments"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,5 +104,6 @@ QUERIES = {
         op10_lm_scoring,
         op11_fill_in_middle,
         op12_toxicity,
+        op13_embedding_whitening,
     )
 }

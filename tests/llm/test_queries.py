@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, name):
     assert found == [] and n > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys() - {"op13_embedding_whitening"}))
 def test_one_row_per_document(spark, name):
     out = queries()[name](spark, SF_DIR)
     assert out.select("doc_id").distinct().count() == 200
