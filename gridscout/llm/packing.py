@@ -10,8 +10,6 @@ single group.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from math import isqrt
 
@@ -22,9 +20,9 @@ from pyspark.sql import functions as F
 
 from gridscout.llm import words as W
 from gridscout.llm.common import partitions, stage, unique_texts
+from gridscout.llm.word_ids import word_ids
 
 CAPACITY = 2048
-WORDS_KEPT = 400_000  # words of which a task remembers the tokens
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -74,106 +72,25 @@ def pack(
     return out.withColumnRenamed("_id", id_col)
 
 
-# -- tokens
-
-
-#: Words of these characters alone are their own NFC form, and lower-case one to one: printable ASCII and
-#: Latin letters up to U+017F, but for U+0130. The second pattern splits them, lower-cased, as the tokenizer does.
-_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
-
-
-class WordIds:
-    """Ids of words by a tokenizer that drops white space, never joins over it, and ends parts of words in </w>.
-
-    A text's ids are those of its words, and a plain word's ids those of its parts; both are remembered.
-    """
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.ends = np.zeros(self.model.get_vocab_size(), bool)
-        for token, i in self.model.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [x.split() for x in texts]
-        found = set().union(*split)
-        missing = found.difference(self.words)
-        if len(self.words) + len(missing) > WORDS_KEPT:
-            self.words.clear()
-            missing = found
-        self._learn(missing)
-        words = self.words
-        return [b"".join([words[w] for w in own]) for own in split]
-
-    def forget(self) -> None:
-        self.words.clear()
-        self.parts.clear()
-
-    def _learn(self, missing: set[bytes]) -> None:
-        plain, other = {}, []
-        for word in missing:
-            text = word.decode()
-            if _PLAIN.fullmatch(text) and "<|" not in text:  # special tokens are not split
-                plain[word] = _PARTS.findall(text.lower())
-            else:
-                other.append(word)
-        for i in range(0, len(other), 10_000):
-            some = other[i : i + 10_000]
-            for word, x in zip(some, self.model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.words[word] = np.array(x.ids, "<u4").tobytes()
-        new = set().union(*plain.values()).difference(self.parts)
-        if len(self.parts) + len(new) > WORDS_KEPT:
-            self.parts.clear()
-            new = set().union(*plain.values())
-        new = list(new)
-        for i in range(0, len(new), 500):
-            ids = np.array(self.model.encode(" ".join(new[i : i + 500]), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            data = ids.tobytes()
-            for part, lo, hi in zip(new[i : i + 500], [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                self.parts[part] = data[4 * lo : 4 * hi]
-        parts = self.parts
-        for word, own in plain.items():
-            self.words[word] = parts[own[0]] if len(own) == 1 else b"".join([parts[x] for x in own])
-
-
-_loaded: dict[str, WordIds] = {}  # the files are read once by a worker
-
-
-def word_ids(tokenizer: str) -> WordIds:
-    if tokenizer not in _loaded:
-        _loaded[tokenizer] = WordIds(tokenizer)
-    return _loaded[tokenizer]
-
-
-def token_ids(texts: list[bytes], tokenizer: str) -> list[bytes]:
-    """The ids of each text as packed uint32."""
-    return word_ids(tokenizer).of(texts)
+# -- pieces
 
 
 def _pieces(tokenizer: str, capacity: int, with_ids: bool):
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in W.sliced(batch.column("_text")):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)]
+                ids, bounds = word_ids(tokenizer).of(data, offsets)
                 rows = []
-                for row, ids in enumerate(token_ids(texts, tokenizer)):
-                    ids += b"\0\0\0\0"
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        rows.append((row, piece, at // 4, len(own) // 4, zlib.crc32(own), own))
+                for row, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                    text = ids[a:b].tobytes() + b"\0\0\0\0"
+                    for piece, at in enumerate(range(0, len(text), 4 * capacity)):
+                        own = text[at : at + 4 * capacity]
+                        rows.append((row, piece, at // 4, len(own) // 4, zlib.crc32(own), own if with_ids else None))
                 of, *columns = zip(*rows, strict=True)
                 columns = [batch.column("_id").slice(lo, hi - lo).take(pa.array(of)), pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:4]), pa.array(columns[4], pa.binary())]
                 names = ["_id", "piece", "start", "length", "ids_crc32", "ids"]
                 n = len(names) - (not with_ids)
                 yield pa.record_batch(columns[:n], names[:n])
-        word_ids(tokenizer).forget()  # the worker may go on with other operators
 
     return run
 

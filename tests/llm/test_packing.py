@@ -6,10 +6,17 @@ import pytest
 from tests.llm.cases import awkward_rows, awkward_texts, frame, prose
 from tokenizers import Tokenizer
 
-from gridscout.llm.packing import Plan, pack, token_ids
+from gridscout.llm import word_ids as I
+from gridscout.llm.packing import Plan, pack
 from gridscout.llm.queries import tokenizer
 
 
+def token_ids(texts: list[bytes], path: str) -> list[bytes]:
+    offsets = np.cumsum([0, *map(len, texts)])
+    ids, bounds = I.word_ids(path).of(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+
 def pieces_of(texts, capacity):
     model = Tokenizer.from_file(tokenizer())
     out = {}
@@ -91,5 +98,26 @@ def test_words_give_the_ids_of_the_text():
     assert token_ids([t.encode() for t in texts], tokenizer()) == expected
 
 
+def test_units_with_one_hash_are_told_apart(monkeypatch):
+    model = Tokenizer.from_file(tokenizer())
+    text = "alpha beta gamma delta epsilon 12 é"
+    expected = np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    found = I.WordIds(tokenizer())
+    data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+    monkeypatch.setattr(I.W, "hash_words", lambda text, starts, ends: (ends - starts).astype(np.uint64))
+    for _ in range(2):
+        ids, bounds = found.of(data, offsets)
+        assert ids.tobytes() == expected and bounds.tolist() == [0, len(ids)]
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(I, "MOST_UNITS", 50)
+    found, model = I.WordIds(tokenizer()), Tokenizer.from_file(tokenizer())
+    for k in range(20):
+        text = prose(k, 30) + f" unit{k} x{k}y"
+        ids, _ = found.of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == model.encode(text, add_special_tokens=False).ids and len(found.keys) <= 50
+
+
 def test_empty_table(spark):
     assert pack(frame(spark, []), tokenizer()).collect() == []
