@@ -7,6 +7,8 @@ table below; what remains is a short sequence of identifiers, matched against th
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +79,45 @@ SENTENCES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
         "this software without specific prior written permission"
     ),
+    "lgpl3-free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"
+    ),
+    "lgpl21-free": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"
+    ),
+    "lgpl-hope": (
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"
+    ),
+    "lgpl-details": "See the GNU Lesser General Public License for more details",
+    "agpl3-free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"
+    ),
+    "agpl-details": "See the GNU Affero General Public License for more details",
+    "zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions:"
+    ),
+    "bsl-grant": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, '
+        "and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject "
+        "to the following:"
+    ),
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0",
+    "epl2-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available "
+        "at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "epl1-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies "
+        "this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"
+    ),
+    "cddl-notice": 'The contents of this file are subject to the terms of the Common Development and Distribution License (the "License")',
+    "artistic2-notice": "Licensed under the Artistic License 2.0",
     "bsd-notice": "Licensed under the BSD 3-Clause License",
     "cc-by-nc-4": "Licensed under CC BY-NC 4.0",
     "cc-by-4": "Licensed under CC BY 4.0",
@@ -87,6 +128,11 @@ SENTENCES = {
     "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
+# Identifiers of public licences that stand behind `SPDX-License-Identifier:`.
+SPDX = """0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0
+CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only
+LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib""".split()
+SENTENCES |= {f"spdx-{name.lower()}": f"SPDX-License-Identifier: {name}" for name in SPDX}
 # The sentences, in this order, by which a licence is recognised. Other sentences may stand between.
 RULES = [
     ("MIT", ["mit-notice"]),
@@ -103,6 +149,16 @@ RULES = [
     ("GPL-2.0-only", ["gpl2-notice"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope", "gpl-details"]),
     ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-details"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free", "gpl-hope", "lgpl-details"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl-hope", "lgpl-details"]),
+    ("AGPL-3.0-or-later", ["agpl3-free", "gpl-hope", "agpl-details"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["bsl-grant"]),
+    ("BSL-1.0", ["bsl-notice"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("EPL-1.0", ["epl1-notice"]),
+    ("CDDL-1.0", ["cddl-notice"]),
+    ("Artistic-2.0", ["artistic2-notice"]),
     ("LGPL-3.0-only", ["lgpl3-notice"]),
     ("AGPL-3.0-only", ["agpl3-notice"]),
     ("MPL-2.0", ["mpl2-notice"]),
@@ -117,14 +173,34 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-4-long"]),
     ("CC0-1.0", ["cc0"]),
     ("Unlicense", ["unlicense"]),
+    *[(name, [f"spdx-{name.lower()}"]) for name in SPDX],
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SENTENCE_END = r"[.!?]+[\x09-\x0D\x20]+"
-# Before sentences are cut: no sentence ends at `v.` before a number, nor between "at" and its URL; one ends where a list begins.
-VERSION_MARK = r"(?<![a-z0-9])v\.[\x09-\x0D\x20]++(?=[0-9])"
-URL_BELOW = r"(?<![a-z0-9])at:?[\x09-\x0D\x20]++(?=https?://)"
-LIST_BEGIN = r":[\x09-\x0D\x20]++(?:\(?[0-9]{1,2}[.)]|\(?[a-z]\)|[*\u2022-])[\x09-\x0D\x20]++"
 BLANK_LINE = r"\n[\x09-\x0D\x20]*\n"
+#: Every sentence of the table holds one of these; a text without any is not read further.
+MARKS = ["licen", "permission", "redistribution", "warranty", "unencumbered", "copyright"]
+
+
+def cuts() -> list[tuple[str, str]]:
+    """(pattern, replacement) in turn, on the lower-cased text; a sentence ends at two line ends. \\1 and \\2 stand for groups.
+
+    A list begins a sentence, behind a colon. Comment marks at line starts go, so that a line of nothing else is blank. No
+    sentence ends at `v.` before a number, nor between "at" and a URL. A line that begins as a long sentence of the table
+    begins a sentence, whatever title stands above it. Sentences end at marks before white space.
+    """
+    bullet, space, blank = "\u2022", r"[\x09-\x0D\x20]+", r"[\x09\x20]*"
+    a_list = (rf":{space}(?:\(?[0-9]{{1,2}}[.)]|\(?[a-z]\)|[*{bullet}-]){space}", "\n\n")
+    long = sorted({tuple(x.split()[:4]) for x in normal_sentences() if len(x.split()) > 12})
+    openings = "|".join("[^a-z0-9]+".join(words) for words in long)
+    return [
+        a_list,
+        (rf"(^|\n){blank}(?:/\*+|\*+/|\*+|//+|#+|;+|--+|%+|<!--+){blank}", r"\1"),
+        a_list,
+        (rf"(^|[^a-z0-9])v\.{space}([0-9])", r"\1v \2"),
+        (rf"(^|[^a-z0-9])at:?{space}(https?://)", r"\1at \2"),
+        (rf"\n{blank}({openings})", r"\n\n\1"),
+        (rf"[.!?]+{space}", "\n\n"),
+    ]
 
 
 def normal(sentence: str) -> str:
@@ -157,10 +233,14 @@ def _identifiers(text: Column) -> Column:
         return F.transform(F.filter(cleaned, lambda s: s.isin(*known)), lambda s: F.element_at(names, s))
 
     lowered = F.translate(F.concat(text, F.lit(" ")), UPPER, LOWER)
-    whole = F.regexp_replace(F.regexp_replace(lowered, VERSION_MARK, "v "), URL_BELOW, "at ")
-    ended = F.regexp_replace(F.regexp_replace(whole, LIST_BEGIN, "\n\n"), SENTENCE_END, "\n\n")
+    ended = lowered
+    for pattern, replacement in cuts():
+        ended = F.regexp_replace(ended, pattern, replacement.replace("\\n", "\n").replace("\\1", "$1").replace("\\2", "$2"))
     by_line, by_paragraph = F.split(ended, "\n"), F.split(ended, BLANK_LINE)
-    return F.struct(of(by_line).alias("a"), of(by_paragraph).alias("b"))
+    found = F.struct(of(by_line).alias("a"), of(by_paragraph).alias("b"))
+    none = F.array().cast("array<string>")
+    marked = reduce(lambda x, y: x | y, [F.contains(lowered, F.lit(m)) for m in MARKS])
+    return F.when(marked, found).otherwise(F.struct(none.alias("a"), none.alias("b")))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:

@@ -452,7 +452,7 @@ def _look_up(groups: int):
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
             same = known[place] == hashes
             docs, times, found = docs[same], times[same], counts[place[same]]
-            buckets = (docs ^ (docs >> 17)) % groups
+            buckets = W.xxhash64(np.ascontiguousarray(docs)) % groups
             order = np.argsort(buckets, kind="stable")
             rows = [
                 (bucket, docs[order[lo:hi]].tobytes(), found[order[lo:hi]].tobytes(), times[order[lo:hi]].tobytes())

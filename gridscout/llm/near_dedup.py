@@ -131,11 +131,13 @@ def _close_pairs(members: DataFrame, marks: DataFrame, texts: DataFrame, shingle
     ids = members.select("id").distinct()
     fine = texts.join(ids, "id", "left_semi").mapInArrow(_fine(shingle), "id long, fine binary")
     fine = fine.join(marks.join(ids, "id", "left_semi").select("id", "bands"), "id")
-    large = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    n_rows = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0]  # each member meets every block of its bucket
+    large = sizes.where("blocks > 1").select("key", "blocks")
     rows = members.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "id", "n", "comp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).join(fine, "id")
-    cells = max(1, members.count() // CELL_ROWS)
+    cells = max(1, n_rows // CELL_ROWS)
     rows = rows.withColumn("cell", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(cells)))
     return rows.groupBy("cell").applyInArrow(_near_in_buckets(percent), "a long, b long")
 

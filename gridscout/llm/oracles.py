@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridscout.llm.licenses import LOWER, RULES, SENTENCES, UPPER, more_specific, normal_sentences
+from gridscout.llm.licenses import LOWER, RULES, UPPER, cuts, more_specific, normal_sentences
 
 SUBSTRING_DEDUP = r"""
 WITH texts AS (
@@ -84,11 +84,14 @@ def _license_scan() -> str:
         for _, names in RULES
     ]
     found = [f"CASE WHEN {holds[i]}{''.join(f' AND NOT {holds[j]}' for j in more)} THEN '{RULES[i][0]}' END" for i, more in more_specific().items()]
-    assert len(SENTENCES) == len(normal_sentences())
+    ended = f"translate(coalesce(text, '') || ' ', '{UPPER}', '{LOWER}')"
+    for pattern, replacement in cuts():
+        by = replacement.replace(r"\n", "\n").replace("\n", "' || chr(10) || '")
+        ended = f"regexp_replace({ended}, '{pattern}', '{by}', 'g')"
     return rf"""
 WITH known(sentence, name) AS (VALUES {known}),
 ended AS (
-  SELECT doc_id, regexp_replace(translate(coalesce(text, '') || ' ', '{UPPER}', '{LOWER}'), '[.!?]+[\x09-\x0D\x20]+', chr(10) || chr(10), 'g') AS t FROM documents
+  SELECT doc_id, {ended} AS t FROM documents
 ), sentences AS (
   SELECT doc_id, 'a' AS reading, unnest(string_split(t, chr(10))) AS s, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM ended
   UNION ALL

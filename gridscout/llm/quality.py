@@ -130,8 +130,9 @@ def fit_scorer(x: np.ndarray, target: np.ndarray, rounds: int = 300, rate: float
     """Logistic regression by Adam on soft targets: weights, the last one the bias."""
     w, m, s = (np.zeros(x.shape[1] + 1) for _ in range(3))
     for step in range(1, rounds + 1):
-        error = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -50, 50))) - target
-        gradient = np.append(x.T @ error / len(x) + decay * w[:-1], error.mean())
+        # products in the precision of x, which would be copied otherwise
+        error = 1 / (1 + np.exp(-np.clip((x @ w[:-1].astype(x.dtype)).astype(float) + w[-1], -50, 50))) - target
+        gradient = np.append((x.T @ error.astype(x.dtype)).astype(float) / len(x) + decay * w[:-1], error.mean())
         m, s = 0.9 * m + 0.1 * gradient, 0.99 * s + 0.01 * gradient**2
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
     return w

@@ -74,7 +74,7 @@ def substring_dedup(
         .groupBy("key")
         .applyInArrow(_later(groups), "key int, doc binary, pos binary, run binary")
     )
-    bucket = F.pmod(F.col("_id").bitwiseXOR(F.shiftright("_id", 17)), F.lit(groups)).cast("int")
+    bucket = F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int")
     types = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in carry)
     if whole:
         carry, types = (*carry, "_text"), types + ", _text string"
@@ -88,7 +88,8 @@ def substring_dedup(
 
 
 def _bucket(ids: np.ndarray, groups: int) -> np.ndarray:
-    return (ids ^ (ids >> 17)) % groups
+    """The group of each id, as the column `_bucket` has it."""
+    return W.xxhash64(np.ascontiguousarray(ids, np.int64)) % groups
 
 
 def _cells(hashes: np.ndarray, bits: int, row: int) -> np.ndarray:

@@ -89,6 +89,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def xxhash64(numbers: np.ndarray) -> np.ndarray:
+    """`F.xxhash64` of whole numbers of 64 bits."""
+    p1, p2, p3, p4, p5 = (U64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, n: x << U64(n) | x >> U64(64 - n)
+    with np.errstate(over="ignore"):
+        h = (U64(42) + p5 + U64(8)) ^ turn(numbers.view(U64) * p2, 31) * p1
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ h >> U64(33)) * p2
+        h = (h ^ h >> U64(29)) * p3
+        return (h ^ h >> U64(32)).view(np.int64)
+
+
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, way: int = 0) -> np.ndarray:
     """64-bit hashes of the words; the two ways are independent. Up to 8 bytes, words of one length
     have no collisions."""

@@ -48,7 +48,9 @@ GNU General Public License for more details.
 
 def brute(text):
     known = L.normal_sentences()
-    ended = re.sub(r"[.!?]+[\t-\r ]+", "\n\n", (text or "") + " ")
+    ended = (text or "").translate(str.maketrans(L.UPPER, L.LOWER)) + " "
+    for pattern, replacement in L.cuts():
+        ended = re.sub(pattern, replacement, ended)
     readings = []
     for parts in (ended.split("\n"), re.split(r"\n[\t-\r ]*\n", ended)):
         readings.append([known[n] for p in parts if (n := " ".join(re.findall("[a-z0-9]+", p.translate(str.maketrans(L.UPPER, L.LOWER))))) in known])
@@ -155,3 +157,76 @@ def test_version_marks_lists_and_urls(spark):
         8: ("v. 2.0. At:\n1. one\n\nMIT License.", ["mit-title-2"], []),
     }
     assert found(L.scan_licenses(frame(spark, [(i, t) for i, (t, _, _) in texts.items()]))) == {i: (a, b) for i, (_, a, b) in texts.items()}
+
+
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented."""
+GPL2 = GPL.replace("free software:", "free software;").replace("Foundation, either version 3", "Foundation; either version 2")
+COMMENTS = ["", "# ", " * ", "// ", "-- ", ";; ", "% ", "/// ", "## ", "    # "]
+
+
+def commented(text: str, mark: str, end: str = "\n") -> str:
+    return end.join((mark + line).rstrip() for line in text.split("\n"))
+
+
+def test_headers_in_comments(spark):
+    known = {"Apache-2.0": APACHE, "GPL-2.0-or-later": GPL2, "GPL-3.0-or-later": GPL, "MIT": MIT, "MPL-2.0": MPL, "BSD-2-Clause": FREEBSD, "BSD-3-Clause": BSD3, "Zlib": ZLIB}
+    texts, expected = {}, {}
+
+    def add(text, name):
+        expected[len(texts)] = [name]
+        texts[len(texts)] = text
+
+    for name, text in known.items():
+        for mark in COMMENTS:
+            for end in ("\n", "\r\n"):
+                add(commented(text, mark, end), name)
+            add(commented("a program that does things\n" + text, mark), name)
+            add("import os\n" + commented(text, mark) + "\n\nprint(1)\n", name)
+        add("/*\n" + commented(text, " * ") + "\n */\nint main;", name)
+        add("/**\n" + commented("Copyright 2020 someone\n\n" + text, " * ") + "\n */", name)
+        add("<!--\n" + text + "\n-->", name)
+        add("/* " + text + " */", name)
+    for name in L.SPDX:
+        for mark in COMMENTS:
+            add(f"int x;\n{mark}SPDX-License-Identifier: {name}\nint y;", name)
+        add(f"/* SPDX-License-Identifier: {name} */", name)
+    out = found(L.scan_licenses(frame(spark, list(texts.items()))))
+    wrong = {i: (texts[i], x) for i, x in out.items() if x[1] != expected[i]}
+    assert not wrong, (len(wrong), list(wrong.values())[:2])
+    assert out == {i: brute(t) for i, t in texts.items()}
+
+
+def test_every_entry_behind_every_comment_mark(spark):
+    rows, names = [], []
+    for name, text in L.SENTENCES.items():
+        for mark in COMMENTS:
+            rows.append((len(rows), commented(textwrap.fill(text, 60, break_on_hyphens=False) + ".\nMore prose.\n", mark)))
+            names.append(name)
+    assert {i: x[0] for i, x in found(L.scan_licenses(frame(spark, rows))).items()} == {i: [name] for i, name in enumerate(names)}
+
+
+def test_sql_finds_the_same(spark):
+    import duckdb
+
+    from gridscout.llm.oracles import ORACLES
+
+    texts = [commented(t, m) for t in (APACHE, GPL2, GPL, MIT, MPL, FREEBSD, BSD3, ZLIB) for m in COMMENTS] + [f"# SPDX-License-Identifier: {n}" for n in L.SPDX]
+    texts += [t for t in awkward_texts().values() if t is not None]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    columns = ["doc_id", "n_sentences", "sentence_ids", "licenses"]
+    theirs = sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES['op4_license_scan']})").fetchall())
+    out = found(L.scan_licenses(frame(spark, list(enumerate(texts)))))
+    assert theirs == [(i, len(out[i][0]), ",".join(out[i][0]), ",".join(out[i][1])) for i in sorted(out)]
+
+
+def test_every_sentence_holds_a_mark():
+    assert all(any(m in x.split() or m in x for m in L.MARKS) for x in L.normal_sentences())

@@ -1,0 +1,17 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from gridscout.llm import words as W
+
+
+def test_xxhash64_is_that_of_the_engine(spark):
+    ids = [0, 1, -1, 2**40, -(2**63), 2**63 - 1, *(k << 22 for k in range(1, 200))]
+    expected = [r.h for r in spark.createDataFrame([(i,) for i in ids], "i long").select(F.xxhash64("i").alias("h")).collect()]
+    assert W.xxhash64(np.array(ids)).tolist() == expected
+
+
+def test_groups_of_ids_with_a_common_step_are_even():
+    """Ids made of a time and a counter."""
+    for ids in (np.arange(200_000) << 22, np.arange(200_000), np.arange(200_000) * 1000):
+        counts = np.bincount(W.xxhash64(ids) % 500, minlength=500)
+        assert counts.max() < 1.5 * counts.mean() and counts.min() > 0.5 * counts.mean()
