@@ -1,29 +1,42 @@
 """Search index as Parquet tables.
 
-docs         doc_id, number columns, stored columns          in folders by hash of doc_id, sorted
-postings     term, field, doc_id, tf, length                 in folders by hash of term, sorted
-term_stats   term, field, df                                 in folders by hash of term, sorted
-numbers      field, number_class, value, doc_id              sorted by field and value
-field_stats  field, n_docs, mean_length                      one row per field
-
-Files hold narrow key ranges, so that a literal key or bound reads few of them. Every build writes a version
-of its own below `path`; the newest complete one is read.
+docs         doc_id, number columns, stored columns            in folders by hash of doc_id, sorted
+forward      doc_id, field, length, terms, _file               in folders by hash of doc_id, sorted
+postings     term, field, doc_id, tf, length                   in folders by hash of term, sorted
+term_stats   term, field, df, max_tf, min_ratio                in folders by hash of term, sorted
+numbers      field, number_class, value, doc_id                sorted by field and value
+removed      doc_id                                            of an update: what it removes or replaces
+manifest     path, length, modified                            the input files, where they are followed
+meta         the rest, with documents and total length of every field
+
+Files are sorted, so that a literal key or bound reads few row groups. Every build or update writes a version
+of its own below `path`; the newest complete one is read. An update holds only new documents and the ids that
+it removes, and names the versions it stands on. What is kept of terms and fields adds up over versions, so
+nothing is counted again: df, documents and lengths are sums, of which removed documents are taken off; max_tf
+and min_ratio bound the scores of a term's postings and stay valid when documents go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridscout.functions.tokens import TOKEN_SIMPLE, term_counts, tokens
-from gridscout.sources.tables import folders, path_exists, remove
+from gridscout.sources.tables import folders, local_table, path_exists, remove, stage
 
 BUCKETS = 16
 BUCKET_ROWS = 20_000_000
 NUMBER_CLASSES = 64  # number classes on either side of 0
+BROADCAST_REMOVED = 100_000  # removed ids that are sent to every executor
+PUSHED_FILES = 10_000  # changed files that are named in the scan of the input
+META = """token_pattern string, buckets int, numbers array<string>, segments array<string>, n_removed array<long>, spec string,
+  schemas map<string, string>, fields array<struct<field: string, n_docs: long, total: long>>"""
 
 
 @dataclass(frozen=True)
@@ -36,6 +49,7 @@ class Index:
     token_pattern: str
     buckets: int
     number_columns: tuple[str, ...]
+    segments: tuple[str, ...]
 
 
 def bucket_of(column: Column | str, buckets: int) -> Column:
@@ -93,9 +107,10 @@ def field_stats(terms: DataFrame) -> DataFrame:
 
 
 def term_stats(rows: DataFrame) -> DataFrame:
-    """Document frequency per (term, field). Counted per task first, so a term that is in every
-    document sends one row per task."""
-    return rows.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"))
+    """Per (term, field): documents, and bounds of tf and of length / tf. Counted per task first, so a term
+    that is in every document sends one row per task."""
+    ratio = F.min(F.col("length") / F.col("tf"))
+    return rows.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), ratio.alias("min_ratio"))
 
 
 def number_class(value: Column) -> Column:
@@ -116,12 +131,14 @@ def _number_rows(values: DataFrame, id_column: str, numbers: list[str]) -> DataF
     return rows.select("field", number_class(F.col("value")).alias("number_class"), "value", "doc_id").where("number_class IS NOT NULL")
 
 
-def _write_sorted(df: DataFrame, order: list[str], path: str, bucket: str | None = None) -> None:
-    """Files with narrow ranges of `order`, in a folder per bucket. The order tells all rows apart, so that
-    a very frequent first key is spread over several files and tasks."""
-    keys = ([bucket] if bucket else []) + order
-    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write
-    (writer.partitionBy(bucket) if bucket else writer).parquet(path)
+def _write_sorted(df: DataFrame, order: list[str], path: str, bucket: str | None = None) -> str:
+    """Files sorted by `order`. In folders by bucket: rows are dealt by it, and the engine splits what is large
+    and joins what is small, so that a bucket of very frequent terms is spread over tasks and files. The schema."""
+    if bucket:
+        df.hint("rebalance", bucket).sortWithinPartitions(bucket, *order).write.partitionBy(bucket).parquet(path)
+    else:
+        df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    return df.schema.json()
 
 
 def write_index(
@@ -134,42 +151,163 @@ def write_index(
     token_pattern: str = TOKEN_SIMPLE,
     buckets: int | None = None,
     more_terms: DataFrame | None = None,
+    manifest: DataFrame | None = None,
 ) -> None:
     """Build a new version of the index of `docs` at `path`.
 
-    Text is split once, into the per-document table `terms`, and all else is derived from that.
+    Text is split once, into the per-document table `forward`, and all else is derived from that.
     `more_terms`: `field_terms` of further fields, of other tables with the same ids. Without
     `buckets` there is one for each BUCKET_ROWS postings, and at least BUCKETS. The version counts when
     its last table, `meta`, is complete. The version before it stays, for searches that still run.
+    A column `_file` of `docs` names the input file of a document; `manifest` lists these files.
     """
     spark = docs.sparkSession
-    numbers = list(number_columns)
-    kept = numbers + [c for c in stored_columns if c not in numbers]
+    spec = {"id": id_column, "texts": text_fields, "numbers": list(number_columns), "stored": list(stored_columns)}
     old = _versions(spark, path)
-    version = f"{path}/v{max(old, default=0) + 1:09d}"
-    remove(spark, version)  # of a build that failed
+    name = _new_version(spark, path, old)
     found = field_terms(docs, id_column, text_fields, token_pattern)
-    (found if more_terms is None else found.unionByName(more_terms)).write.parquet(f"{version}/terms")
-    terms = spark.read.parquet(f"{version}/terms")
+    found = stage(found if more_terms is None else found.unionByName(more_terms))
     if buckets is None:
-        buckets = max(BUCKETS, -(-(terms.agg(F.sum(F.size("terms"))).first()[0] or 0) // BUCKET_ROWS))
-    by_term = postings(terms).withColumn("bucket", bucket_of("term", buckets))
-    _write_sorted(by_term, ["term", "field", "doc_id"], f"{version}/postings", "bucket")
-    df_counts = term_stats(spark.read.parquet(f"{version}/postings")).withColumn("bucket", bucket_of("term", buckets))
-    _write_sorted(df_counts, ["term", "field"], f"{version}/term_stats", "bucket")
-    field_stats(terms).repartition(1).write.parquet(f"{version}/field_stats")
+        buckets = max(BUCKETS, -(-(found.agg(F.sum(F.size("terms"))).first()[0] or 0) // BUCKET_ROWS))
+    schemas = _write_segment(docs, found, f"{path}/{name}", spec, buckets)
+    schemas["term_stats"] = _write_sorted(term_stats(postings(found)).withColumn("bucket", bucket_of("term", buckets)), ["term", "field"], f"{path}/{name}/term_stats", "bucket")
+    fields = {r.field: (r.n, r.total) for r in found.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total")).collect()}
+    _drop_staged(found)
+    if manifest is not None:
+        manifest.write.parquet(f"{path}/{name}/manifest")
+    _write_meta(spark, path, name, Row(token_pattern=token_pattern, buckets=buckets, segments=[], n_removed=[], schemas=schemas), spec, 0, fields)
+    _drop_versions(spark, path, old[-1:])
+
+
+def _drop_staged(df: DataFrame) -> None:
+    for file in df.inputFiles()[:1]:
+        remove(df.sparkSession, file.rsplit("/", 1)[0])
+
+
+def _new_version(spark: SparkSession, path: str, old: list[int]) -> str:
+    name = f"v{max(old, default=0) + 1:09d}"
+    remove(spark, f"{path}/{name}")  # of a build that failed
+    return name
+
+
+def _write_segment(docs: DataFrame, terms: DataFrame, version: str, spec: dict, buckets: int) -> dict[str, str]:
+    """docs, forward, postings and numbers of one version; their schemas."""
+    schemas = {}
+    id_column, numbers = spec["id"], spec["numbers"]
+    kept = numbers + [c for c in spec["stored"] if c not in numbers]
+    schemas["postings"] = _write_sorted(postings(terms).withColumn("bucket", bucket_of("term", buckets)), ["term", "field", "doc_id"], f"{version}/postings", "bucket")
+    if "_file" in docs.columns:
+        files = docs.select(F.col(id_column).alias("doc_id"), "_file")
+        terms = files.join(terms, "doc_id", "left")  # also documents without a term, so that they can be removed
+    else:
+        terms = terms.withColumn("_file", F.lit(None).cast("string"))
+    forward = terms.select("doc_id", "field", "length", "terms", "_file", bucket_of("doc_id", buckets).alias("bucket"))
+    schemas["forward"] = _write_sorted(forward, ["doc_id", "field"], f"{version}/forward", "bucket")
     if numbers:
-        _write_sorted(_number_rows(docs, id_column, numbers), ["field", "value", "doc_id"], f"{version}/numbers")
+        schemas["numbers"] = _write_sorted(_number_rows(docs, id_column, numbers), ["field", "value", "doc_id"], f"{version}/numbers")
     stored = docs.select(F.col(id_column).alias("doc_id"), *[c for c in kept if c != "doc_id"])
-    _write_sorted(stored.withColumn("bucket", bucket_of("doc_id", buckets)), ["doc_id"], f"{version}/docs", "bucket")
-    remove(spark, f"{version}/terms")
-    spark.range(1).select(
-        F.lit(token_pattern).alias("token_pattern"),
-        F.lit(buckets).alias("buckets"),
-        F.array(*[F.lit(c) for c in numbers]).cast("array<string>").alias("numbers"),
-    ).repartition(1).write.parquet(f"{version}/meta")
-    for n in sorted(old)[:-1]:
-        remove(spark, f"{path}/v{n:09d}")
+    schemas["docs"] = _write_sorted(stored.withColumn("bucket", bucket_of("doc_id", buckets)), ["doc_id"], f"{version}/docs", "bucket")
+    return schemas
+
+
+def _write_meta(spark: SparkSession, path: str, name: str, before: Row, spec: dict, n_removed: int, fields: dict[str, tuple[int, int]]) -> None:
+    row = Row(
+        token_pattern=before.token_pattern,
+        buckets=before.buckets,
+        numbers=spec["numbers"],
+        segments=[*before.segments, name],
+        n_removed=[*before.n_removed, n_removed],
+        spec=json.dumps(spec, sort_keys=True),
+        schemas=before.schemas,
+        fields=[Row(field=f, n_docs=n, total=total) for f, (n, total) in sorted(fields.items()) if n > 0],
+    )
+    spark.createDataFrame([row], META).repartition(1).write.parquet(f"{path}/{name}/meta")
+
+
+def _meta(spark: SparkSession, path: str, version: int) -> Row:
+    return spark.read.schema(META).parquet(f"{path}/v{version:09d}/meta").first()
+
+
+def _drop_versions(spark: SparkSession, path: str, running: list[int]) -> None:
+    """Remove all versions but the newest, those of `running`, and the ones these stand on."""
+    all_of = _versions(spark, path)
+    kept = {x for v in {*all_of[-1:], *running} for x in _meta(spark, path, v).segments}
+    for v in all_of:
+        if f"v{v:09d}" not in kept:
+            remove(spark, f"{path}/v{v:09d}")
+
+
+def update_index(spark: SparkSession, path: str, added: DataFrame, removed: DataFrame | None = None, manifest: DataFrame | None = None) -> None:
+    """A version with the documents `added`, and without those whose ids `removed` (doc_id) lists.
+
+    `added` has the columns the index was built from. A document whose id is there already replaces that one; ids that
+    are not there are passed over. Only the new documents are split and sorted; the terms of the removed ones are read
+    from `forward`, which is scanned for them. Further fields that a build took from other tables can't be updated.
+    """
+    old = _versions(spark, path)
+    meta = _meta(spark, path, old[-1])
+    spec = json.loads(meta.spec)
+    name = _new_version(spark, path, old)
+    version = f"{path}/{name}"
+    added_ids = added.select(F.col(spec["id"]).alias("doc_id"))
+    going = added_ids if removed is None else added_ids.unionByName(removed.select("doc_id"))
+    going.distinct().write.parquet(f"{version}/removed")
+    gone = spark.read.parquet(f"{version}/removed")
+    n_gone = gone.count()
+    found = stage(field_terms(added, spec["id"], spec["texts"], meta.token_pattern))
+    _write_segment(added, found, version, spec, meta.buckets)
+    forward = _view(spark, path, meta, "forward").where("field IS NOT NULL")
+    lost = stage(forward.join(F.broadcast(gone) if n_gone <= BROADCAST_REMOVED else gone, "doc_id", "left_semi"))
+    counts = term_stats(postings(found)).unionByName(term_stats(postings(lost.select(*found.columns))).select("term", "field", (-F.col("df")).alias("df"), "max_tf", "min_ratio"))
+    merged = counts.groupBy("term", "field").agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_ratio").alias("min_ratio"))
+    _write_sorted(merged.withColumn("bucket", bucket_of("term", meta.buckets)), ["term", "field"], f"{version}/term_stats", "bucket")
+    fields = {r.field: (r.n_docs, r.total) for r in meta.fields}
+    for part, sign in ((found, 1), (lost, -1)):
+        for r in part.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total")).collect():
+            n, total = fields.get(r.field, (0, 0))
+            fields[r.field] = (n + sign * r.n, total + sign * r.total)
+        _drop_staged(part)
+    if manifest is not None:
+        manifest.write.parquet(f"{version}/manifest")
+    _write_meta(spark, path, name, meta, spec, n_gone, fields)
+    _drop_versions(spark, path, old[-1:])
+
+
+def input_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, modified) of all files below `path`; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def refresh_index(spark: SparkSession, path: str, input_path: str, read: Callable[[str], DataFrame], **build) -> tuple[int, int]:
+    """Bring the index at `path` up to date with the files of `input_path`: (new or changed files, gone or changed files).
+
+    `read` gives the documents of a path, with their file's path, `_metadata.file_path`, as `_file`. The files of the
+    last build or update are kept in its manifest. Documents of files that are new, or have another size or time, are
+    added; those of files that are gone or changed are removed. `build`: arguments of `write_index`, which builds the
+    index where there is none. A document id must not move between files that are not refreshed together.
+    """
+    now = stage(input_files(spark, input_path))
+    old = _versions(spark, path)
+    if not old:
+        write_index(read(input_path), path, manifest=now, **build)
+        return now.count(), 0
+    meta = _meta(spark, path, old[-1])
+    before = spark.read.parquet(f"{path}/{meta.segments[-1]}/manifest")
+    same = ["path", "length", "modified"]
+    new, gone = stage(now.join(before, same, "left_anti").select("path")), stage(before.join(now, same, "left_anti").select("path"))
+    n_new, n_gone = new.count(), gone.count()
+    if n_new or n_gone:
+        docs = read(input_path)
+        file = F.col("_file")
+        if n_new <= PUSHED_FILES:  # the scan opens these files only
+            added = docs.where(file.isin([r.path for r in new.collect()]) if n_new else F.lit(False))
+        else:
+            added = docs.join(new.withColumnRenamed("path", "_file"), "_file", "left_semi")
+        forward = _view(spark, path, meta, "forward")
+        removed = forward.join(gone.select(F.col("path").alias("_file")), "_file", "left_semi").select("doc_id").distinct()
+        update_index(spark, path, added, removed, manifest=now)
+    return n_new, n_gone
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -182,14 +320,38 @@ def index_exists(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path))
 
 
+def _view(spark: SparkSession, path: str, meta: Row, table: str) -> DataFrame:
+    """A table over all versions that `meta` stands on, each without what later ones removed."""
+    schema = StructType.fromJson(json.loads(meta.schemas[table]))
+    read = lambda segment: spark.read.schema(schema).parquet(f"{path}/{segment}/{table}")
+    parts = []
+    for i, segment in enumerate(meta.segments):
+        part = read(segment)
+        later = meta.segments[i + 1 :]
+        if later and table != "term_stats":
+            kind = schema["doc_id"].dataType.simpleString()
+            gone = spark.read.schema(f"doc_id {kind}").parquet(*[f"{path}/{x}/removed" for x in later])
+            part = part.join(F.broadcast(gone) if sum(meta.n_removed[i + 1 :]) <= BROADCAST_REMOVED else gone, "doc_id", "left_anti")
+        parts.append(part)
+    whole = reduce(DataFrame.unionByName, parts)
+    if table == "term_stats" and len(parts) > 1:
+        sums = whole.groupBy("bucket", "term", "field").agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_ratio").alias("min_ratio"))
+        whole = sums.where("df > 0")
+    return whole
+
+
 def read_index(spark: SparkSession, path: str) -> Index:
-    version = f"{path}/v{_versions(spark, path)[-1]:09d}"
-    meta = spark.read.parquet(f"{version}/meta").first()
-    tables = {t: spark.read.parquet(f"{version}/{t}") for t in ["docs", "postings", "term_stats", "field_stats"]}
+    meta = _meta(spark, path, _versions(spark, path)[-1])
+    tables = {t: _view(spark, path, meta, t) for t in ("docs", "postings", "term_stats", "numbers") if t in meta.schemas}
+    fields = [Row(field=r.field, n_docs=r.n_docs, mean_length=r.total / r.n_docs) for r in meta.fields]
     return Index(
-        **tables,
-        numbers=spark.read.parquet(f"{version}/numbers") if meta.numbers else None,
+        **{"numbers": None} | tables,
+        field_stats=local_table(spark, fields, _FIELD_STATS),
         token_pattern=meta.token_pattern,
         buckets=meta.buckets,
         number_columns=tuple(meta.numbers),
+        segments=tuple(meta.segments),
     )
+
+
+_FIELD_STATS = StructType().add("field", "string").add("n_docs", "long").add("mean_length", "double")

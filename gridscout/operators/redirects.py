@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from gridscout.operators.joins import HOT_ROWS, join_unique
 from gridscout.sources.tables import stage
 
+RECURSION_LEVELS = 100
+
 
 def redirect_edges(pages: DataFrame) -> DataFrame:
     """(id, source, target) of the redirect pages."""
@@ -28,13 +31,12 @@ def unique_edges(edges: DataFrame) -> DataFrame:
 
 
 def follow_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(id, source, target, is_cycle): edges, one per source, with the end of their chain.
+    """(id, source, target, is_cycle): edges, a staged table with one per source, with the end of their chain.
 
     Each round lets every open edge take over the target its target has by then, so a chain of n
     edges closes in about log2(n) rounds. An edge is closed once its target is no source. A round
     that closes none leaves only edges in or leading into a cycle. Closed edges are staged once.
     """
-    edges = stage(edges)
     n_edges = edges.count()
     again = (
         edges.select("target")
@@ -80,7 +82,34 @@ def follow_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return ended.select("id", "source", "target", (~F.col("closed")).alias("is_cycle"))
 
 
-def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def follow_edges_recursive(edges: DataFrame, hot_rows: int = HOT_ROWS, levels: int = RECURSION_LEVELS) -> DataFrame:
+    """`follow_edges` as one recursive query, which joins all edges with the ends reached so far, a level at a time.
+
+    It takes as many levels as the longest chain has edges, and carries a row per edge and level, so it is for short
+    chains. A chain that has no end after `levels` counts as a cycle.
+    """
+    spark = edges.sparkSession
+    limits = {"spark.sql.cteRecursionLevelLimit": str(levels + 2), "spark.sql.cteRecursionRowLimit": "-1"}
+    before = {name: spark.conf.get(name) for name in limits}
+    chains = """WITH RECURSIVE chains(id, source, target, level) AS (
+        SELECT id, source, target, 1 FROM {edges}
+        UNION ALL
+        SELECT c.id, c.source, e.target, c.level + 1 FROM chains c JOIN {edges} e ON c.target = e.source WHERE c.level < {levels}
+      )
+      SELECT id, source, max_by(target, level) AS target, max(level) AS level FROM chains GROUP BY id, source"""
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        ends = stage(spark.sql(chains, edges=edges, levels=levels))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    sources = edges.select(F.col("source").alias("target"), F.lit(True).alias("_open"))
+    n_edges = ends.count()
+    return join_unique(ends, sources, ["target"], ["source"], "left", hot_rows, n_edges).select("id", "source", "target", F.col("_open").isNotNull().alias("is_cycle"))
+
+
+def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS, follow: Callable[[DataFrame, int], DataFrame] = follow_edges) -> DataFrame:
     """(id, title, article_title, article_id, is_cycle): what every title stands for.
 
     `id` is the id of the page with that title. Articles stand for themselves. A redirect has the
@@ -88,7 +117,7 @@ def title_map(pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     chain is a cycle.
     """
     articles = real_articles(pages).select("id", "title")
-    ends = follow_edges(unique_edges(redirect_edges(pages)), hot_rows)
+    ends = follow(stage(unique_edges(redirect_edges(pages))), hot_rows)
     n_ends = ends.count()
     wanted = ends.where(~F.col("is_cycle")).select(F.col("target").alias("title")).distinct()
     goals = (

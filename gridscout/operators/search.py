@@ -18,12 +18,15 @@ from gridscout.functions.tokens import tokens
 from gridscout.operators.index import NUMBER_CLASSES, Index, bucket_of, number_class
 from gridscout.operators.joins import join_unique
 from gridscout.operators.requests import parse_requests
-from gridscout.sources.tables import stage
+from gridscout.sources.tables import local_table, stage
 
-BROADCAST_ROWS = 100_000  # clause rows, requests or hits that may be sent to every executor
+BROADCAST_ROWS = 100_000  # rows that may be sent to every executor
 BROADCAST_BYTES = 32 << 20  # and their bytes
-PUSHED_KEYS = 1_000  # terms or document ids that are pushed to the scans as literals
+PUSHED_KEYS = 1_000  # document ids that are pushed to the scans as literals
+MOST_FEW = 1_000  # requests, and
+FEW_BYTES = 32 << 10  # bytes of all their texts, that become literals of the plans
 SLICE_DF = 1_000_000  # postings of one term that one task may join when there are many clauses
+BLOCK = 1_000  # requests of one term that are fanned out from one row
 PARTS = 64  # parts of a request's hits that are cut to k first
 MOST_WEIGHT = 1e6  # keeps sums of scores within a long
 
@@ -90,84 +93,162 @@ def clause_terms(parsed: DataFrame, weights: Mapping[str, float], buckets: int)
     )
 
 
-@dataclass(frozen=True)
-class Facts:
-    """Sizes by which the joins are chosen."""
-
-    n_requests: int
-    n_ranges: int
-    range_bytes: int
-    any_range_only: bool
-    n_rows: int
-    n_bytes: int
-    buckets: list[int]  # at most index.buckets numbers
-    terms: list[str] | None  # where these are few
-
-    def small(self, rows: int, size: int) -> bool:
-        return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-
-
 def _bytes(*columns: str) -> Column:
     """Bytes of the columns of all rows, as text."""
     return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*columns)))), F.lit(0))
 
 
-def _facts(parsed: DataFrame, clauses: DataFrame) -> Facts:
-    ranged = F.size("ranges") > 0
-    of_requests = parsed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.size("ranges")).alias("n_ranges"),
-        _bytes("query_id", "ranges").alias("bytes"),
-        F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("any_range_only"),
-    ).first()
-    of_clauses = clauses.agg(
-        F.count(F.lit(1)).alias("n"),
-        _bytes("query_id", "term", "field").alias("bytes"),
-        F.collect_set("bucket").alias("buckets"),
-    ).first()
-    few = of_clauses.n <= PUSHED_KEYS and of_clauses.bytes <= BROADCAST_BYTES
-    return Facts(
-        of_requests.n,
-        of_requests.n_ranges or 0,
-        of_requests.bytes,
-        bool(of_requests.any_range_only),
-        of_clauses.n,
-        of_clauses.bytes,
-        sorted(of_clauses.buckets),
-        sorted(r.term for r in clauses.select("term").distinct().collect()) if few else None,
-    )
-
+@dataclass(frozen=True)
+class Batch:
+    """Requests taken apart. `few`: so few that their rows and terms are literals of the plans."""
 
-def _term_scores(index: Index, clauses: DataFrame, facts: Facts) -> DataFrame:
-    """(query_id, n_clauses, doc_id, clause, units): one row per matching posting."""
-    looked_up = ["query_id", "n_clauses", "clause", "bucket", "term", "field"]
-    where = F.col("bucket").isin(facts.buckets) if facts.buckets else F.lit(False)
-    if facts.terms:
-        where = where & F.col("term").isin(facts.terms)
-    stats, rows = index.term_stats.where(where), index.postings.where(where)
-    small = facts.small(facts.n_rows, facts.n_bytes)
+    parsed: DataFrame
+    n_requests: int
+    few: bool
+    ranged: bool  # any request has ranges
+    range_only: bool  # any has nothing else
+    ranges: list  # of a single request
+
+    @staticmethod
+    def of(index: Index, requests: DataFrame, word_bounds: bool, large: bool | None) -> Batch:
+        parsed = _parsed(index, requests, word_bounds)
+        if large is None:
+            head = requests.select("q").limit(MOST_FEW + 1).agg(F.count(F.lit(1)).alias("n"), _bytes("q").alias("bytes")).first()
+            large = head.n > min(MOST_FEW, BROADCAST_ROWS) or head.bytes > min(FEW_BYTES, BROADCAST_BYTES)
+        if not large:
+            rows = parsed.collect()
+            local = local_table(requests.sparkSession, rows, parsed.schema)
+            ranged = [r for r in rows if r.ranges]
+            return Batch(local, len(rows), True, bool(ranged), any(not r.n_clauses for r in ranged), rows[0].ranges if len(rows) == 1 else [])
+        ranged = F.size("ranges") > 0
+        found = parsed.agg(F.count(F.lit(1)).alias("n"), F.bool_or(ranged).alias("r"), F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("only")).first()
+        return Batch(parsed, found.n, False, bool(found.r), bool(found.only), [])
+
+
+def _looked_up(index: Index, batch: Batch, weights: Mapping[str, float]) -> tuple[DataFrame, list[str] | None]:
+    """The clause rows whose term is in the index, with df, weight, and `bound`, the most units a posting of
+    the term can add; and all terms, where these are few."""
+    clauses = clause_terms(batch.parsed, weights, index.buckets)
     on = ["bucket", "term", "field"]
-    if small:
-        found = stats.join(F.broadcast(clauses), on)
+    terms = None
+    if batch.few:
+        rows = clauses.collect()
+        clauses = F.broadcast(local_table(index.docs.sparkSession, rows, clauses.schema))
+        terms = sorted({r.term for r in rows})
+        found = index.term_stats.where(_at(terms, sorted({r.bucket for r in rows}))).join(clauses, on)
     else:
-        found = join_unique(clauses, stats, on, ["query_id", "clause"], "inner")
-    weighted = found.join(F.broadcast(index.field_stats), "field").select(
-        *looked_up,
-        "mean_length",
-        F.ceil(F.col("df") / SLICE_DF).cast("int").alias("slices"),
-        (F.col("boost") * S.idf(F.col("n_docs"), F.col("df"))).alias("weight"),
+        found = join_unique(stage(clauses), index.term_stats, on, ["query_id", "clause"], "inner")
+    most = 1 / (1 + S.K1 * ((1 - S.B) / F.col("max_tf") + S.B * F.col("min_ratio") / F.col("mean_length")))
+    weight = F.col("boost") * S.idf(F.col("n_docs"), F.col("df"))
+    known = found.join(F.broadcast(index.field_stats), "field").select(
+        "query_id", "n_clauses", "clause", *on, "mean_length", "df", weight.alias("weight"), (F.ceil(weight * most * S.SCALE) + 1).cast("long").alias("bound")
     )
-    if small:  # at most one row per row of `clauses`
-        hits = rows.join(F.broadcast(weighted.drop("slices")), on)
+    return known, terms
+
+
+def _at(terms: list[str], buckets: list[int]) -> Column:
+    """The folders and terms that are read; none without terms."""
+    return F.col("bucket").isin(buckets) & F.col("term").isin(terms) if terms else F.lit(False)
+
+
+def _in_order(known: DataFrame, parsed: DataFrame) -> DataFrame:
+    """`known` with `first` and `probe`, without the requests of which a clause has no known term.
+
+    first: the rows of the clause with the fewest postings. Only documents of that clause can match, so the
+    other clauses are looked up for these alone. probe: the rarest terms of a request that is free text only,
+    up to a quarter of its postings.
+    """
+    of_query, keys = Window.partitionBy("query_id"), ["query_id", "clause"]
+    by_df = of_query.orderBy("df", "term", "field").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = known.withColumn("_clause_df", F.sum("df").over(Window.partitionBy(*keys)))
+    sized = sized.withColumns({"_clauses": F.size(F.collect_set("clause").over(of_query)), "_rarest": F.min(F.struct("_clause_df", "clause")).over(of_query)})
+    sized = sized.withColumns({"_up_to": F.sum("df").over(by_df), "_all": F.sum("df").over(of_query)})
+    free = parsed.where((F.col("n_clauses") == 1) & (F.size("must") == 0) & (F.size("ranges") == 0)).select("query_id", F.lit(True).alias("_free"))
+    sized = sized.where(F.col("_clauses") == F.col("n_clauses")).join(free, "query_id", "left")
+    first = F.col("clause") == F.col("_rarest.clause")
+    probe = F.coalesce(F.col("_free"), F.lit(False)) & (F.col("_up_to") * 4 <= F.col("_all"))
+    return sized.select(*known.columns, first.alias("first"), probe.alias("probe"))
+
+
+def _below(ordered: DataFrame, least: DataFrame) -> DataFrame:
+    """`ordered` where `least` (query_id, least) says what a document of the request must score: the terms whose
+    bounds together stay below that are no longer `first`, as no document is among the best by them alone.
+    Adds `least`, and `rest`, the sum of their bounds."""
+    of_query = Window.partitionBy("query_id")
+    up_to = F.sum("bound").over(of_query.orderBy("bound", "term", "field").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = ordered.join(least, "query_id", "left").withColumn("_low", F.coalesce(up_to < F.col("least"), F.lit(False)))
+    return out.withColumns({"rest": F.sum(F.when(F.col("_low"), F.col("bound")).otherwise(0)).over(of_query), "first": F.col("first") & ~F.col("_low")}).drop("_low")
+
+
+def _posting_scores(index: Index, wanted: DataFrame, terms: list[str] | None, buckets: list[int] | None) -> DataFrame:
+    """(query_id, n_clauses, doc_id, clause, units): one row per matching posting of every row of `wanted`.
+
+    Many requests: those of one term are put into blocks, so that each posting is read, shuffled and
+    scored once for a block of requests and fanned out behind the join. The postings of terms with more
+    than SLICE_DF of them are dealt to that many tasks.
+    """
+    on = ["bucket", "term", "field"]
+    saturation = S.saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    columns = ["query_id", "n_clauses", "doc_id", "clause", S.to_units(F.col("weight") * F.col("_sat")).alias("units")]
+    request = ["query_id", "n_clauses", "clause", "weight"]
+    if terms is not None:
+        rows = index.postings.where(_at(terms, buckets))
+        hits = rows.join(F.broadcast(wanted.select(*on, *request, "mean_length")), on)
+        return hits.withColumn("_sat", saturation).select(*columns)
+    block = F.pmod(F.xxhash64("query_id", "clause"), F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*on)) / BLOCK)).alias("_block")
+    blocks = wanted.select(*on, "mean_length", "df", block, F.struct(*request).alias("_request")).groupBy(*on, "_block")
+    blocks = blocks.agg(F.first("mean_length").alias("mean_length"), F.first("df").alias("df"), F.collect_list("_request").alias("_requests"))
+    # only frequent terms are cut; there are at most postings / SLICE_DF of them
+    slices = F.ceil(F.col("df") / SLICE_DF).cast("int")
+    frequent = index.term_stats.where(F.col("df") > SLICE_DF).select(*on, slices.alias("_of"))
+    part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_of")).cast("int"), F.lit(0))
+    parted = index.postings.join(F.broadcast(frequent), on, "left").withColumn("slice", part).drop("_of")
+    blocks = blocks.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("df")
+    hits = parted.join(blocks, [*on, "slice"]).withColumn("_sat", saturation)
+    return hits.select("doc_id", "_sat", F.inline("_requests")).select(*columns)
+
+
+def _term_matches(index: Index, batch: Batch, weights: Mapping[str, float], k: int | None) -> DataFrame:
+    """(query_id, doc_id, units) of the documents that match every clause of the request; with `k`, at least of
+    the k best of every request that is free text only."""
+    known, terms = _looked_up(index, batch, weights)
+    schema = known.withColumns({"first": F.lit(True), "probe": F.lit(True)}).schema
+    spark = index.docs.sparkSession
+
+    def kept(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Literals or a staged table, and one row: postings of the first rows, of the rest, and to probe."""
+        if batch.few:
+            rows = df.collect()
+            count = lambda name, value=True: sum(r.df for r in rows if r[name] == value)
+            return local_table(spark, rows, df.schema), (count("first"), count("first", False), count("probe"))
+        df = stage(df)
+        total = lambda of: F.coalesce(F.sum(F.when(of, F.col("df"))), F.lit(0))
+        return df, tuple(df.agg(total(F.col("first")), total(~F.col("first")), total(F.col("probe"))).first())
+
+    ordered, (n_first, n_rest, n_probe) = kept(_in_order(known, batch.parsed))
+    buckets = None if terms is None else sorted({r.bucket for r in ordered.select("bucket").distinct().collect()})
+    scores = lambda wanted: _posting_scores(index, wanted, terms, buckets)
+    pairs = ["query_id", "doc_id"]
+    if k is not None and n_probe >= k:
+        sums = scores(ordered.where("probe")).groupBy(*pairs).agg(F.sum("units").alias("score"))
+        least = top_k(sums, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+        least = local_table(spark, least.collect(), least.schema) if batch.few else stage(least)
+        ordered, (n_first, n_rest, _) = kept(_below(ordered, least))
+    if not n_rest:
+        return _clause_matches(scores(ordered))
+    by_first = scores(ordered.where("first")).groupBy("query_id", "n_clauses", "doc_id", "clause").agg(F.sum("units").alias("units"))
+    if "least" in ordered.columns:
+        reach = ordered.where("least IS NOT NULL").groupBy("query_id").agg(F.first("least").alias("least"), F.first("rest").alias("rest"))
+        reached = by_first.join(F.broadcast(reach) if batch.few else reach, "query_id", "left").where("least IS NULL OR units + rest >= least")
+        by_first = reached.select(*by_first.columns)
+    if n_first <= BROADCAST_ROWS:
+        candidates = F.broadcast(by_first.select(*pairs))
+    elif n_rest < 4 * n_first:  # little to save
+        return _clause_matches(scores(ordered) if "least" not in ordered.columns else by_first.unionByName(scores(ordered.where("NOT first"))))
     else:
-        # only frequent terms are cut; there are at most postings / SLICE_DF of them
-        frequent = stats.where(F.col("df") > SLICE_DF).select(*on, F.ceil(F.col("df") / SLICE_DF).cast("int").alias("_of"))
-        part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_of")).cast("int"), F.lit(0))
-        parted = rows.join(F.broadcast(frequent), on, "left").withColumn("slice", part).drop("_of")
-        slices = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
-        hits = parted.join(weighted.withColumn("slice", slices).drop("slices"), [*on, "slice"])
-    score = F.col("weight") * S.saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
-    return hits.select("query_id", "n_clauses", "doc_id", "clause", S.to_units(score).alias("units"))
+        candidates = by_first.select(*pairs)
+    rest = scores(ordered.where("NOT first")).join(candidates, pairs, "left_semi")
+    return _clause_matches(by_first.unionByName(rest))
 
 
 def _clause_matches(scores: DataFrame) -> DataFrame:
@@ -182,67 +263,56 @@ def _clause_matches(scores: DataFrame) -> DataFrame:
     return summed.where(F.col("matched") == F.col("n_clauses")).select("query_id", "doc_id", "units")
 
 
-def _numbers(index: Index) -> Column:
-    """map<string,double> of the number columns of a document."""
-    pairs = ", ".join(f"{_quoted(c)}, cast(`{c}` as double)" for c in index.number_columns)
-    return F.expr(f"cast(map({pairs}) as map<string,double>)")
-
-
-def in_ranges(numbers: Column, ranges: Column, positive_percentages: bool) -> Column:
-    """True where every range holds. Null bounds and unknown fields hold nothing."""
+def _wanted_ranges(parsed: DataFrame) -> DataFrame:
+    """(query_id, n_ranges, wanted): a row per request with ranges, which are intersected by field; wanted: array<field,
+    low, high, span, open>, the narrowest first by the number classes it spans. A request with a bound that is
+    no number, or with an empty intersection, matches nothing and is left out."""
+    bad = F.exists("ranges", lambda r: r["low"].isNull() | r["high"].isNull())
+    each = parsed.where((F.size("ranges") > 0) & ~bad).select("query_id", F.size("ranges").alias("n_ranges"), F.explode("ranges").alias("r"))
+    by_field = each.groupBy("query_id", "n_ranges", F.col("r.field").alias("field")).agg(
+        F.max("r.low").alias("low"), F.min("r.high").alias("high"), F.bool_or(F.col("r.low") == float("-inf")).alias("open")
+    )
+    span = number_class(F.col("high")) - number_class(F.col("low"))
+    lists = by_field.groupBy("query_id", "n_ranges").agg(F.array_sort(F.collect_list(F.struct(span.alias("span"), "field", "low", "high", "open"))).alias("wanted"))
+    return lists.where(~F.exists("wanted", lambda r: r["low"] > r["high"]))
 
-    def holds(r: Column) -> Column:
-        value = F.try_element_at(numbers, r["field"])
-        inside = (value >= r["low"]) & (value <= r["high"])
-        if positive_percentages:
-            inside = inside & (
-                ~r["field"].contains("percentage") | (r["low"] > float("-inf")) | (value > 0)
-            )
-        return F.coalesce(inside, F.lit(False))
 
-    return F.forall(ranges, holds)
+def _inside(positive_percentages: bool) -> Column:
+    inside = F.col("value").between(F.col("low"), F.col("high"))
+    if positive_percentages:
+        inside = inside & (~F.col("field").contains("percentage") | ~F.col("open") | (F.col("value") > 0))
+    return inside
 
 
-def _narrowest(parsed: DataFrame) -> DataFrame:
-    """(query_id, ranges, field, low, high) of the requests made of ranges only: their ranges of one
-    field are intersected, and the field is the one over the fewest number classes. A request with a
-    bound that is no number, or with an empty intersection, matches nothing and is left out."""
-    only = parsed.where((F.col("n_clauses") == 0) & (F.size("ranges") > 0))
-    bad = F.exists("ranges", lambda r: r["low"].isNull() | r["high"].isNull())
-    each = only.where(~bad).select("query_id", "ranges", F.explode("ranges").alias("r"))
-    by_field = each.groupBy("query_id", F.col("r.field").alias("field")).agg(
-        F.max("r.low").alias("low"), F.min("r.high").alias("high"), F.first("ranges").alias("ranges")
-    )
-    span = number_class(F.col("high")) - number_class(F.col("low"))
-    best = F.min_by(F.struct("ranges", "field", "low", "high"), F.struct(span, F.col("field"))).alias("x")
-    return by_field.groupBy("query_id").agg(best).select("query_id", "x.*").where("low <= high")
+def _within_ranges(index: Index, hits: DataFrame, fields: list[str] | None, positive_percentages: bool) -> DataFrame:
+    """The `hits` (query_id, doc_id, units, wanted) with a number in every wanted range: each is looked up by field and
+    document among the numbers of the wanted fields, and the ones met are counted."""
+    numbers = index.numbers.select("doc_id", "field", "value")
+    if fields is not None:
+        numbers = numbers.where(F.col("field").isin(fields) if fields else F.lit(False))
+    each = hits.select("query_id", "doc_id", "units", F.size("wanted").alias("_n"), F.inline("wanted"))
+    met = each.join(numbers, ["doc_id", "field"]).where(_inside(positive_percentages))
+    counted = met.groupBy("query_id", "doc_id").agg(F.first("units").alias("units"), F.first("_n").alias("_n"), F.count(F.lit(1)).alias("_met"))
+    return counted.where("_met = _n").select("query_id", "doc_id", "units")
 
 
-def _range_only_matches(index: Index, parsed: DataFrame, facts: Facts, positive_percentages: bool) -> DataFrame:
-    """(query_id, doc_id, n_ranges) for requests made of ranges only.
+def _range_only_matches(index: Index, wanted: DataFrame, batch: Batch, fields: list[str] | None, positive_percentages: bool) -> DataFrame:
+    """(query_id, doc_id, units) for requests made of ranges only, `units` being the ranges' number.
 
-    The request's narrowest field is looked up by number class, an equi-join, and by its bounds; the
-    other ranges are tested on what that finds.
+    The request's narrowest range is looked up by field and number class, an equi-join; what that finds
+    is tested for the other ranges.
     """
-    narrowest = _narrowest(parsed)
-    rows = index.numbers
-    if facts.n_requests == 1:  # literal bounds reach the scan
-        bound = narrowest.select("field", "low", "high").first()
-        if bound is None:
-            rows = rows.where(F.lit(False))
-        else:
-            rows = rows.where((F.col("field") == bound.field) & F.col("value").between(bound.low, bound.high))
-    low, high = number_class(F.col("low")), number_class(F.col("high"))
-    wanted = narrowest.withColumn("number_class", F.explode(F.sequence(low, high)))
-    copies = 2 * NUMBER_CLASSES + 1
-    if facts.small(facts.n_requests * copies, facts.range_bytes * copies):
-        wanted = F.broadcast(wanted)
-    pairs = rows.join(wanted, ["field", "number_class"]).where(F.col("value").between(F.col("low"), F.col("high")))
-    numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
-    found = pairs.select("query_id", "doc_id", "ranges").join(numbers, "doc_id")
-    return found.where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages)).select(
-        "query_id", "doc_id", F.size("ranges").alias("n_ranges")
-    )
+    narrow = wanted.select("query_id", (F.col("n_ranges") * F.lit(S.SCALE)).cast("long").alias("units"), F.get("wanted", F.lit(0)).alias("r"), F.slice("wanted", 2, 1 << 20).alias("wanted"))
+    narrow = narrow.select("query_id", "units", "wanted", "r.field", "r.low", "r.high", "r.open")
+    classes = narrow.withColumn("number_class", F.explode(F.sequence(number_class(F.col("low")), number_class(F.col("high")))))
+    rows = index.numbers if fields is None else index.numbers.where(F.col("field").isin(fields) if fields else F.lit(False))
+    if batch.few and batch.n_requests * (2 * NUMBER_CLASSES + 1) <= BROADCAST_ROWS:
+        classes = F.broadcast(classes)
+    found = rows.join(classes, ["field", "number_class"]).where(_inside(positive_percentages)).select("query_id", "doc_id", "units", "wanted")
+    if not batch.few:
+        found = stage(found)
+    more = _within_ranges(index, found.where(F.size("wanted") > 0), fields, positive_percentages)
+    return found.where(F.size("wanted") == 0).select("query_id", "doc_id", "units").unionByName(more)
 
 
 def _within_literal_ranges(index: Index, hits: DataFrame, ranges: list, positive_percentages: bool) -> DataFrame:
@@ -259,48 +329,58 @@ def _within_literal_ranges(index: Index, hits: DataFrame, ranges: list, positive
     return hits
 
 
+def _of_one_field(index: Index, parsed: DataFrame, field: str) -> DataFrame:
+    """(query_id, doc_id, units) of all documents that have a number in the field, for a single request."""
+    query_id = parsed.select("query_id").first().query_id
+    kind = parsed.schema["query_id"].dataType
+    return index.numbers.where(F.col("field") == field).select(F.lit(query_id).cast(kind).alias("query_id"), "doc_id", F.lit(0).cast("long").alias("units"))
+
+
 def _matches(
     index: Index,
     requests: DataFrame,
     weights: Mapping[str, float],
     word_bounds: bool = False,
     positive_percentages: bool = False,
+    large: bool | None = None,
+    k: int | None = None,
 ) -> tuple[DataFrame, int]:
-    """`matches` and the number of requests."""
+    """`matches` and the number of requests. With `k`, some documents may be missing that are not among the k best."""
     if any(not 0 <= w <= MOST_WEIGHT for w in weights.values()):
         raise ValueError(f"weights must be from 0 to {MOST_WEIGHT:g}")
-    parsed = _parsed(index, requests, word_bounds)
-    clauses = clause_terms(parsed, weights, index.buckets)
-    facts = _facts(parsed, clauses)
-    if not facts.small(facts.n_rows, facts.n_bytes):
-        clauses = stage(clauses)  # read by several joins
-    found = _clause_matches(_term_scores(index, clauses, facts))
+    batch = Batch.of(index, requests, word_bounds, large)
+    found = _term_matches(index, batch, weights, k)
     score = S.from_units(F.col("units"))
-    if not facts.n_ranges:
-        return found.select("query_id", "doc_id", score.alias("score")), facts.n_requests
-    ranged = parsed.where(F.col("n_clauses") > 0).select("query_id", "ranges")
-    if facts.n_requests == 1:
-        ranges = parsed.select("ranges").first().ranges
-        kept = _within_literal_ranges(index, found, ranges, positive_percentages).select(
-            "query_id", "doc_id", (score + len(ranges)).alias("score")
-        )
+    if not batch.ranged:
+        return found.select("query_id", "doc_id", score.alias("score")), batch.n_requests
+    parsed, positive = batch.parsed, positive_percentages
+    if index.numbers is None:
+        kept = found.join(parsed.where(F.size("ranges") == 0).select("query_id"), "query_id", "left_semi")
+        return kept.select("query_id", "doc_id", score.alias("score")), batch.n_requests
+    if batch.few and batch.n_requests == 1:  # literal bounds reach the scan
+        more = F.lit(len(batch.ranges) * S.SCALE)
+        if batch.range_only:
+            found = _of_one_field(index, parsed, batch.ranges[0]["field"])
+        kept = _within_literal_ranges(index, found, batch.ranges, positive).select("query_id", "doc_id", S.from_units(F.col("units") + more).alias("score"))
+        return kept, batch.n_requests
+    wanted = _wanted_ranges(parsed.select("query_id", "ranges", "n_clauses"))
+    fields = None
+    if batch.few:
+        rows = wanted.collect()
+        fields = sorted({r.field for row in rows for r in row.wanted})
+        wanted = F.broadcast(local_table(index.docs.sparkSession, rows, wanted.schema))
     else:
-        if facts.small(facts.n_requests, facts.range_bytes):
-            with_ranges = found.join(F.broadcast(ranged), "query_id")
-        else:
-            with_ranges = join_unique(stage(found), ranged, ["query_id"], ["doc_id"], "inner")
-        numbers = index.docs.select("doc_id", _numbers(index).alias("numbers"))
-        kept = (
-            with_ranges.join(numbers, "doc_id")
-            .where(in_ranges(F.col("numbers"), F.col("ranges"), positive_percentages))
-            .select("query_id", "doc_id", (score + F.size("ranges")).alias("score"))
-        )
-    if facts.any_range_only and index.numbers is not None:
-        only = _range_only_matches(index, parsed, facts, positive_percentages)
-        kept = kept.unionByName(
-            only.select("query_id", "doc_id", F.col("n_ranges").cast("double").alias("score"))
-        )
-    return kept, facts.n_requests
+        wanted, found = stage(wanted), stage(found)
+    only = parsed.where("n_clauses = 0").select("query_id")
+    mixed = wanted.join(only, "query_id", "left_anti")
+    with_ranges = found.join(F.broadcast(mixed), "query_id") if batch.few else join_unique(found, mixed, ["query_id"], ["doc_id"], "inner")
+    with_ranges = with_ranges.withColumn("units", F.col("units") + F.col("n_ranges") * F.lit(S.SCALE))
+    kept = _within_ranges(index, with_ranges, fields, positive)
+    free = parsed.where(F.size("ranges") == 0).select("query_id")
+    kept = kept.unionByName(found.join(F.broadcast(free) if batch.few else free, "query_id", "left_semi").select("query_id", "doc_id", "units"))
+    if batch.range_only:
+        kept = kept.unionByName(_range_only_matches(index, wanted.join(only, "query_id", "left_semi"), batch, fields, positive))
+    return kept.select("query_id", "doc_id", score.alias("score")), batch.n_requests
 
 
 def matches(
@@ -312,7 +392,8 @@ def matches(
     costly to compute should be written first.
 
     Options: `word_bounds` reads bounds as whole words; `positive_percentages` lets an upper bound
-    on a percentage leave out values that are not above 0.
+    on a percentage leave out values that are not above 0; `large` says whether the requests are a
+    large table, which is found out where it is not given.
     """
     return _matches(index, requests, weights, **options)[0]
 
@@ -339,7 +420,7 @@ def search(
     index: Index, requests: DataFrame, weights: Mapping[str, float], k: int = 10, **options
 ) -> DataFrame:
     """The k best documents of each request: query_id, rank, score, doc_id, stored columns."""
-    hits, n_requests = _matches(index, requests, weights, **options)
+    hits, n_requests = _matches(index, requests, weights, k=k, **options)
     return with_stored(index, top_k(hits, k), n_requests * k)
 
 
@@ -347,20 +428,22 @@ def search_one(
     index: Index, text: str, weights: Mapping[str, float], k: int = 10, **options
 ) -> DataFrame:
     """`search` for one request text; the cut to k needs no sort of all hits."""
-    hits = matches(index, request_table(index.docs.sparkSession, text), weights, **options)
+    large = len(text) > FEW_BYTES
+    hits, _ = _matches(index, request_table(index.docs.sparkSession, text), weights, large=large, k=k, **options)
     best = hits.orderBy(F.desc("score"), "doc_id").limit(k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     if k > PUSHED_KEYS:
         return with_stored(index, ranked, k)
-    rows = ranked.collect()  # at most k, whose ids reach the scan of the stored columns
-    ranked = index.docs.sparkSession.createDataFrame(rows, ranked.schema)
-    return with_stored(index, ranked, k, [r.doc_id for r in rows])
+    ranked = ranked.withColumn("bucket", bucket_of("doc_id", index.buckets))
+    rows = ranked.collect()  # at most k, whose ids and folders reach the scan of the stored columns
+    ranked = local_table(index.docs.sparkSession, rows, ranked.schema)
+    return with_stored(index, ranked, k, rows)
 
 
-def with_stored(index: Index, best: DataFrame, n_hits: int, ids: list | None = None) -> DataFrame:
-    """Hits with the stored columns of their documents; `n_hits` bounds the rows of `best`, `ids` are its
-    documents where they are known.
+def with_stored(index: Index, best: DataFrame, n_hits: int, known: list | None = None) -> DataFrame:
+    """Hits with the stored columns of their documents; `n_hits` bounds the rows of `best`, `known` are these
+    rows, with their bucket, where they are few.
 
     Both sides have the bucket of the doc_id, so a short list of hits prunes the folders of `docs`
     that are read.
@@ -369,7 +452,9 @@ def with_stored(index: Index, best: DataFrame, n_hits: int, ids: list | None = N
     if n_hits <= BROADCAST_ROWS:
         hits = F.broadcast(hits)
     stored = [c for c in index.docs.columns if c not in ("doc_id", "bucket")]
-    docs = index.docs if ids is None else index.docs.where(F.col("doc_id").isin(ids))
+    docs = index.docs
+    if known is not None:
+        docs = docs.where(F.col("bucket").isin(sorted({r.bucket for r in known})) & F.col("doc_id").isin([r.doc_id for r in known]) if known else F.lit(False))
     return docs.join(hits, ["bucket", "doc_id"]).select("query_id", "rank", "score", "doc_id", *stored)
 
 

@@ -127,6 +127,22 @@ PROFILE_REQUESTS_SQL = """SELECT n_nationkey AS query_id, CASE n_nationkey % 7
   ELSE '' END AS q
 FROM nation """
 
+# (query_id, q): the first line of every hundredth document, as a request.
+HUNDREDTH_REQUESTS_SQL = """SELECT doc_id AS query_id, translate(split_part(coalesce(text, ''), chr(10), 1), '@^$=', '    ') AS q
+FROM documents WHERE doc_id % 100 = 0"""
+
+# (query_id, q): a request per language and source with ranges over three fields, with and without a word.
+RANGE_REQUESTS_SQL = """SELECT concat(lang, '-', source) AS query_id, concat(CASE WHEN length(source) % 2 = 0 THEN 'the ' ELSE '' END,
+  '^n_chars=', min(n_chars), ' $n_chars=', 2 * min(n_chars) + 1500, ' ^quality=1 $toxic=0') AS q
+FROM documents GROUP BY lang, source"""
+
+# The documents before and after an update that adds, replaces and removes some, and what it consists of.
+_UPDATED_TEXT = "CASE WHEN doc_id % 20 = 2 THEN concat(source, ' estion ', text) ELSE text END AS text"
+BEFORE_UPDATE_SQL = "SELECT doc_id, text, lang, source, n_chars FROM documents WHERE doc_id % 20 <> 1"
+ADDED_SQL = f"SELECT doc_id, {_UPDATED_TEXT}, lang, source, n_chars FROM documents WHERE doc_id % 20 IN (1, 2)"
+REMOVED_SQL = "SELECT doc_id FROM documents WHERE doc_id % 20 = 3"
+AFTER_UPDATE_SQL = f"SELECT doc_id, {_UPDATED_TEXT}, lang, source, n_chars FROM documents WHERE doc_id % 20 <> 3"
+
 # (query_id, q): a request per document, to be taken apart.
 TEXT_REQUESTS_SQL = """SELECT doc_id AS query_id, concat(' ', source, ' word @lang=', lang, ' ^n_chars=', n_chars, '.5 and $n_chars=',
   n_chars * 2, ' @source=', source, '_', lang, CASE WHEN doc_id % 3 = 0 THEN ' ^x=-4 $y=abc' ELSE '' END) AS q
@@ -163,3 +179,11 @@ def profile_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, TEXT_REQUESTS_SQL)
+
+
+def hundredth_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, HUNDREDTH_REQUESTS_SQL)
+
+
+def range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, RANGE_REQUESTS_SQL)

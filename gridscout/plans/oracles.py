@@ -319,6 +319,7 @@ ORACLES = {
       FROM ({fx.REDIRECT_SQL}) p""",
     "redirect_resolve": f"""WITH RECURSIVE {with_titles(fx.REDIRECT_SQL)}
       SELECT t.title, article_title, article_id, is_cycle, text FROM titles t LEFT JOIN articles a ON a.id = t.article_id""",
+    "redirect_recursive": f"WITH RECURSIVE {with_titles(fx.REDIRECT_SQL)} SELECT title, article_title, article_id, is_cycle FROM titles",
     "redirect_resolve_compat": f"""WITH a AS (SELECT title, text FROM ({fx.REDIRECT_SQL}) p WHERE NOT is_redirect), {EDGES}, {AFTER}
       SELECT title, title AS article_title, text FROM a UNION ALL
       SELECT s.source, s.target, a.text FROM s LEFT JOIN a ON a.title = s.target""",
@@ -343,6 +344,9 @@ ORACLES = {
     "index_documents": f"WITH RECURSIVE {WITH_INFO} {DOCUMENTS_SELECT}",
     "index_build": f"""{WITH_DOC_INDEX} SELECT 'document' AS kind, CAST(doc_id AS VARCHAR) AS key, lang AS field, n_chars AS n FROM documents
       UNION ALL SELECT 'df', term, field, df FROM dfs UNION ALL SELECT 'length', CAST(doc_id AS VARCHAR), field, dl FROM dl""",
+    "index_updated": f"""WITH docs AS ({fx.AFTER_UPDATE_SQL}), {with_index(melted("docs", "doc_id", Q.DOC_FIELDS, "text"))}
+      SELECT term, field, df AS n, CAST(NULL AS DOUBLE) AS mean_length FROM dfs
+      UNION ALL SELECT NULL, field, n, round(avgdl, 6) FROM fs UNION ALL SELECT NULL, '', count(*), NULL FROM docs""",
     "requests_parse": PARSED,
     "search_text": document_search(one(Q.TEXT_REQUEST), 10, "rank, doc_id, round(score, 5) AS score, lang, source, n_chars"),
     "search_weighted": f"""WITH flat AS (SELECT page_id, url, {TITLE} AS title, {STRIP} AS body FROM pages),
@@ -351,6 +355,12 @@ ORACLES = {
     "search_must": document_search(one(Q.MUST_REQUEST), 10, "rank, doc_id, round(score, 5) AS score, lang, source"),
     "search_range": document_search(one(Q.RANGE_REQUEST), 10, "rank, doc_id, round(score, 5) AS score, n_chars, quality"),
     "search_batch": document_search(fx.DOC_REQUESTS_SQL, 3, "query_id, rank, doc_id, round(score, 5) AS score, n_chars"),
+    "search_every_hundredth": document_search(fx.HUNDREDTH_REQUESTS_SQL, 5, "query_id, rank, doc_id, round(score, 5) AS score, lang"),
+    "search_ranges_batch": f"""WITH labelled AS ({fx.DOCS_SQL}), {with_matches(DOC_TEXTS, DOC_NUMBERS, fx.RANGE_REQUESTS_SQL, Q.DOC_WEIGHTS)}
+      SELECT query_id, doc_id, round(score, 5) AS score FROM hits""",
+    "search_updated": f"""WITH docs AS ({fx.AFTER_UPDATE_SQL}), {with_matches(melted("docs", "doc_id", Q.DOC_FIELDS, "text"),
+      melted("docs", "doc_id", {"n_chars": "n_chars"}, "value"), fx.DOC_REQUESTS_SQL, Q.DOC_WEIGHTS)}, {ranked(3)}
+      SELECT query_id, rank, doc_id, round(score, 5) AS score, n_chars FROM best JOIN docs USING (doc_id)""",
     "search_profiles": f"""WITH RECURSIVE {PROFILE_MATCHES}, {ranked(10)} SELECT query_id, rank, doc_id, round(score, 5) AS score,
       name, series, current_team, wins, podium_percentage FROM best JOIN pdocs ON pdocs.filename = best.doc_id""",
     "search_all_matches": f"""WITH labelled AS ({fx.DOCS_SQL}), {with_matches(DOC_TEXTS, DOC_NUMBERS, fx.DOC_REQUESTS_SQL, Q.DOC_WEIGHTS)}

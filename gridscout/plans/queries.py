@@ -223,6 +223,13 @@ def redirect_resolve(spark, sf_dir):
     return resolved.select("title", goal.alias("article_title"), "article_id", "is_cycle", "text")
 
 
+def redirect_recursive(spark, sf_dir):
+    """The same titles by a recursive query."""
+    pages = fx.redirect_pages(spark, sf_dir)
+    titles = R.title_map(pages, follow=R.follow_edges_recursive)
+    return titles.select("title", F.when(~F.col("is_cycle"), F.col("article_title")).alias("article_title"), "article_id", "is_cycle")
+
+
 def redirect_resolve_compat(spark, sf_dir):
     return R.one_pass_titles(fx.redirect_pages(spark, sf_dir))
 
@@ -364,7 +371,7 @@ def index_postings(spark, sf_dir):
 
 
 def index_term_stats(spark, sf_dir):
-    return I.term_stats(I.postings(_document_terms(spark, sf_dir)))
+    return I.term_stats(I.postings(_document_terms(spark, sf_dir))).select("term", "field", "df")
 
 
 def index_doc_stats(spark, sf_dir):
@@ -398,6 +405,30 @@ def index_build(spark, sf_dir):
     return docs.union(terms).union(lengths)
 
 
+def _updated_index(spark, sf_dir) -> I.Index:
+    """An index of most documents, and an update that adds, replaces and removes some."""
+    path = _shared(spark, sf_dir, "updated-index")
+    if not I.index_exists(spark, path):
+        I.write_index(fx.run(spark, sf_dir, fx.BEFORE_UPDATE_SQL), path, "doc_id", DOC_FIELDS, ["n_chars"], ["lang", "source"])
+    if len(I.read_index(spark, path).segments) == 1:
+        I.update_index(spark, path, fx.run(spark, sf_dir, fx.ADDED_SQL), fx.run(spark, sf_dir, fx.REMOVED_SQL))
+    return I.read_index(spark, path)
+
+
+def index_updated(spark, sf_dir):
+    """Document frequencies, statistics of the fields, and number of documents after the update."""
+    index = _updated_index(spark, sf_dir)
+    fields = index.field_stats.select(F.lit(None).cast("string").alias("term"), "field", F.col("n_docs").alias("n"), F.round("mean_length", 6).alias("mean_length"))
+    terms = index.term_stats.select("term", "field", F.col("df").alias("n"), F.lit(None).cast("double").alias("mean_length"))
+    n_docs = index.docs.agg(F.lit(None).cast("string").alias("term"), F.lit("").alias("field"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("mean_length"))
+    return terms.unionByName(fields).unionByName(n_docs)
+
+
+def search_updated(spark, sf_dir):
+    hits = S.search(_updated_index(spark, sf_dir), fx.document_requests(spark, sf_dir), DOC_WEIGHTS, k=3)
+    return _rounded(hits).select("query_id", "rank", "doc_id", "score", "n_chars")
+
+
 # ---- search
 
 
@@ -453,6 +484,17 @@ def search_batch(spark, sf_dir):
     return _rounded(hits).select("query_id", "rank", "doc_id", "score", "n_chars")
 
 
+def search_every_hundredth(spark, sf_dir):
+    """Every hundredth document's first line against all documents, as a large table of requests."""
+    hits = S.search(_document_index(spark, sf_dir), fx.hundredth_requests(spark, sf_dir), DOC_WEIGHTS, k=5, large=True)
+    return _rounded(hits).select("query_id", "rank", "doc_id", "score", "lang")
+
+
+def search_ranges_batch(spark, sf_dir):
+    hits = S.matches(_document_index(spark, sf_dir), fx.range_requests(spark, sf_dir), DOC_WEIGHTS)
+    return _rounded(hits).select("query_id", "doc_id", "score")
+
+
 def search_profiles(spark, sf_dir):
     hits = S.search(_profile_index(spark, sf_dir), fx.profile_requests(spark, sf_dir), WEIGHTS)
     return _rounded(hits).select(
@@ -528,6 +570,7 @@ QUERIES = {
     "articles_dedup": articles_dedup,
     "redirect_split": redirect_split,
     "redirect_resolve": redirect_resolve,
+    "redirect_recursive": redirect_recursive,
     "redirect_resolve_compat": redirect_resolve_compat,
     "redirect_fixpoint": redirect_fixpoint,
     "articles_semi": articles_semi,
@@ -544,12 +587,16 @@ QUERIES = {
     "index_count": index_count,
     "index_documents": index_documents,
     "index_build": index_build,
+    "index_updated": index_updated,
     "requests_parse": requests_parse,
     "search_text": search_text,
     "search_weighted": search_weighted,
     "search_must": search_must,
     "search_range": search_range,
     "search_batch": search_batch,
+    "search_every_hundredth": search_every_hundredth,
+    "search_ranges_batch": search_ranges_batch,
+    "search_updated": search_updated,
     "search_profiles": search_profiles,
     "search_all_matches": search_all_matches,
     "search_wordbreak": search_wordbreak,

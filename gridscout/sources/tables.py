@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
 TSV = {
@@ -60,6 +62,12 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[Row], schema: StructType) -> DataFrame:
+    """A few rows as a table that is part of the plan; no job is needed to read or broadcast it."""
+    table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders at `path`; none if it does not exist."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -186,8 +186,11 @@ def test_small_k_of_one_hot_query_is_cut_before_the_last_shuffle(index, requests
 
 
 def test_search_reads_only_the_folders_of_its_terms(index):
-    plan = S.search_one(index, "w1 ^wins=1", WEIGHTS)._jdf.queryExecution().toString()
-    assert "bucket#" in plan and "dynamicpruning" in plan.lower()
+    found = S.search_one(index, "w1 ^wins=1", WEIGHTS)
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "bucket#" in plan
+    batch = S.search(index, S.request_table(index.docs.sparkSession, "w1"), WEIGHTS)
+    assert "dynamicpruning" in batch._jdf.queryExecution().toString().lower()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -259,3 +262,71 @@ def test_broadcasts_are_bounded_by_bytes(index, requests, monkeypatch):
 def test_weights_are_checked(index, requests):
     with pytest.raises(ValueError):
         S.matches(index, requests, {"title": 1e9})
+
+
+def rows_of(df, table_plan: str):
+    return df._jdf.queryExecution().executedPlan().toString().count(table_plan)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_top_k_by_bounds_gives_the_same_best(spark, index, monkeypatch, large):
+    """Free text of frequent and rare words: the frequent ones are looked up for documents of the rare ones only."""
+    texts = {"a": "w0 w1 w8", "b": "w0 w1 w2 w3 w10 w11", "c": "w9 w0", "d": "w0", "e": "w11 w11 w0 w1", "f": "zzz w0 w7", "g": "w10 w0 @body=w1", "h": "w11 w0 ^wins=1"}
+    requests = spark.createDataFrame(list(texts.items()), "query_id string, q string")
+    full = as_dict(S.matches(index, requests, WEIGHTS, large=large))
+    same(full, brute(corpus(), texts))
+    for k in (1, 3, 10):
+        found = as_dict(S._matches(index, requests, WEIGHTS, large=large, k=k)[0])
+        for q in texts:
+            best = sorted(full[q].items(), key=lambda x: (-x[1], x[0]))[:k]
+            assert [(d, found[q][d]) for d, _ in best] == best, (q, k)
+            assert found[q].items() <= full[q].items()
+    assert sum(map(len, as_dict(S._matches(index, requests, WEIGHTS, large=large, k=1)[0]).values())) < sum(map(len, full.values()))
+
+
+def test_bounds_hold_for_every_posting(index):
+    mean = index.field_stats.select("field", "mean_length")
+    rows = index.postings.join(index.term_stats, ["term", "field"]).join(mean, "field")
+    most = 1 / (1 + 1.2 * (0.25 / F.col("max_tf") + 0.75 * F.col("min_ratio") / F.col("mean_length")))
+    own = F.col("tf") / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("length") / F.col("mean_length")))
+    assert rows.where(own > most + 1e-12).count() == 0
+    assert index.term_stats.where("max_tf > 1").count() > 0
+
+
+def test_the_rarest_clause_cuts_the_others(index):
+    plan = S.matches(index, S.request_table(index.docs.sparkSession, "w0 w1 @body=w9"), WEIGHTS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan  # the postings of w0 and w1 are filtered by the documents of w9
+
+
+def test_a_clause_without_a_known_term_reads_nothing(index):
+    hits = S.matches(index, S.request_table(index.docs.sparkSession, "w0 w1 @body=zzz"), WEIGHTS)
+    assert "FileScan" not in hits._jdf.queryExecution().executedPlan().toString() and hits.collect() == []
+
+
+def test_a_single_search_takes_few_jobs(spark, index):
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("count-jobs"))
+    spark.sparkContext.setJobGroup("count-jobs", "")
+    try:
+        S.search_one(index, "w0 w1 w9 @title=w3 ^wins=1", WEIGHTS).collect()
+        assert jobs() <= 12, jobs()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_batch_of_ranges_joins_no_documents(spark, index):
+    texts = {"x": "^wins=2 $wins=20 $some_percentage=10", "y": "w1 ^wins=5 ^some_percentage=2", "z": "w2", "v": "^nofield=1 w0", "u": "^wins=1"}
+    requests = spark.createDataFrame(list(texts.items()), "query_id string, q string")
+    for large in (False, True):
+        for positive in (False, True):
+            hits = S.matches(index, requests, WEIGHTS, large=large, positive_percentages=positive)
+            same(as_dict(hits), brute(corpus(), texts, positive_percentages=positive))
+    plan = S.matches(index, requests, WEIGHTS)._jdf.queryExecution().executedPlan().toString()
+    assert "/docs]" not in plan and "In(field, [nofield,some_percentage,wins])" in plan
+
+
+def test_many_requests_of_one_term_are_fanned_out_in_blocks(spark, index, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 4)
+    monkeypatch.setattr(S, "SLICE_DF", 20)
+    texts = {f"q{i}": f"w0 w{i % 12} @body=w1" for i in range(60)}
+    requests = spark.createDataFrame(list(texts.items()), "query_id string, q string")
+    same(as_dict(S.matches(index, requests, WEIGHTS, large=True)), brute(corpus(), texts))

@@ -155,3 +155,16 @@ def test_enrichment_with_bag_semantics(spark):
         ("'''F3''' twice.", "Blue"),
         ("'''F3''' twice.", "Red"),
     ]
+
+
+def test_recursive_query_resolves_the_same_titles(spark):
+    rows = [(i, f"t{i}", True, f"t{i + 1}", None) for i in range(20)] + [(20, "t20", False, None, "end")]
+    rows += [(30, "a", True, "b", None), (31, "b", True, "c", None), (32, "c", True, "b", None), (33, "self", True, "self", None), (34, "x", True, "nowhere", None)]
+    pages = spark.createDataFrame(rows, "id long, title string, is_redirect boolean, target string, text string")
+
+    def plain(titles):
+        return {(r.id, r.title, None if r.is_cycle else r.article_title, r.article_id, r.is_cycle) for r in titles.collect()}
+
+    found = plain(R.title_map(pages, follow=R.follow_edges_recursive))
+    assert found == plain(R.title_map(pages)) and len(found) == len(rows)
+    assert plain(R.title_map(pages.where("false"), follow=R.follow_edges_recursive)) == set()
