@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridscout.functions import scoring as S
 from gridscout.functions.tokens import tokens
@@ -26,6 +27,7 @@ PUSHED_KEYS = 1_000  # document ids that are pushed to the scans as literals
 MOST_FEW = 1_000  # requests, and
 FEW_BYTES = 32 << 10  # bytes of all their texts, that become literals of the plans
 SLICE_DF = 1_000_000  # postings of one term that one task may join when there are many clauses
+PROBED = 200_000  # postings from which on it pays to find out which of them can't be among the best
 BLOCK = 1_000  # requests of one term that are fanned out from one row
 PARTS = 64  # parts of a request's hits that are cut to k first
 MOST_WEIGHT = 1e6  # keeps sums of scores within a long
@@ -36,7 +38,7 @@ def _quoted(text: str) -> str:
 
 
 def request_table(spark: SparkSession, text: str) -> DataFrame:
-    return spark.range(1).select(F.col("id").alias("query_id"), F.lit(text).alias("q"))
+    return local_table(spark, [Row(query_id=0, q=text)], StructType().add("query_id", "long").add("q", "string"))
 
 
 def _parsed(index: Index, requests: DataFrame, word_bounds: bool) -> DataFrame:
@@ -107,7 +109,11 @@ class Batch:
     few: bool
     ranged: bool  # any request has ranges
     range_only: bool  # any has nothing else
-    ranges: list  # of a single request
+    rows: list  # `parsed`, where they are few
+
+    @property
+    def ranges(self) -> list:
+        return self.rows[0].ranges if len(self.rows) == 1 else []
 
     @staticmethod
     def of(index: Index, requests: DataFrame, word_bounds: bool, large: bool | None) -> Batch:
@@ -119,24 +125,40 @@ class Batch:
             rows = parsed.collect()
             local = local_table(requests.sparkSession, rows, parsed.schema)
             ranged = [r for r in rows if r.ranges]
-            return Batch(local, len(rows), True, bool(ranged), any(not r.n_clauses for r in ranged), rows[0].ranges if len(rows) == 1 else [])
+            return Batch(local, len(rows), True, bool(ranged), any(not r.n_clauses for r in ranged), rows)
         ranged = F.size("ranges") > 0
         found = parsed.agg(F.count(F.lit(1)).alias("n"), F.bool_or(ranged).alias("r"), F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("only")).first()
         return Batch(parsed, found.n, False, bool(found.r), bool(found.only), [])
 
 
+def _few_clauses(index: Index, rows: list[Row], weights: Mapping[str, float], schema: StructType) -> list[Row]:
+    """`clause_terms` of a few requests taken apart."""
+    boosts: dict[tuple, float] = {}
+    for r in rows:
+        clauses = [(0, term, field, float(w)) for term in r.terms for field, w in weights.items()]
+        clauses += [(i, term, m.field, 1.0) for i, m in enumerate(r.must, 1) for term in m.terms]
+        for clause, term, field, boost in clauses:
+            key = (r.query_id, r.n_clauses, clause, term, field)
+            boosts[key] = boosts.get(key, 0.0) + boost
+    plain = StructType([f for f in schema if f.name != "bucket"])
+    found = [Row(*plain.names)(*key, boost) for key, boost in boosts.items()]
+    return local_table(index.docs.sparkSession, found, plain).withColumn("bucket", bucket_of("term", index.buckets)).collect()
+
+
 def _looked_up(index: Index, batch: Batch, weights: Mapping[str, float]) -> tuple[DataFrame, list[str] | None]:
     """The clause rows whose term is in the index, with df, weight, and `bound`, the most units a posting of
     the term can add; and all terms, where these are few."""
-    clauses = clause_terms(batch.parsed, weights, index.buckets)
     on = ["bucket", "term", "field"]
     terms = None
     if batch.few:
-        rows = clauses.collect()
-        clauses = F.broadcast(local_table(index.docs.sparkSession, rows, clauses.schema))
+        schema = StructType([batch.parsed.schema["query_id"], batch.parsed.schema["n_clauses"]]).add("clause", "integer")
+        schema = schema.add("term", "string").add("field", "string").add("boost", "double").add("bucket", "integer")
+        rows = _few_clauses(index, batch.rows, weights, schema)
+        clauses = F.broadcast(local_table(index.docs.sparkSession, rows, schema))
         terms = sorted({r.term for r in rows})
         found = index.term_stats.where(_at(terms, sorted({r.bucket for r in rows}))).join(clauses, on)
     else:
+        clauses = clause_terms(batch.parsed, weights, index.buckets)
         found = join_unique(stage(clauses), index.term_stats, on, ["query_id", "clause"], "inner")
     most = 1 / (1 + S.K1 * ((1 - S.B) / F.col("max_tf") + S.B * F.col("min_ratio") / F.col("mean_length")))
     weight = F.col("boost") * S.idf(F.col("n_docs"), F.col("df"))
@@ -180,6 +202,42 @@ def _below(ordered: DataFrame, least: DataFrame) -> DataFrame:
     return out.withColumns({"rest": F.sum(F.when(F.col("_low"), F.col("bound")).otherwise(0)).over(of_query), "first": F.col("first") & ~F.col("_low")}).drop("_low")
 
 
+def _few_in_order(known: list[Row], free: set) -> list[dict]:
+    """`_in_order` of a few rows; `free`: the requests that are free text only."""
+    out = []
+    for query_id, own in _grouped(known, lambda r: r.query_id):
+        sizes: dict[int, int] = {}
+        for r in own:
+            sizes[r.clause] = sizes.get(r.clause, 0) + r.df
+        if len(sizes) < own[0].n_clauses:
+            continue
+        rarest, up_to, every = min((n, c) for c, n in sizes.items())[1], 0, sum(sizes.values())
+        for r in sorted(own, key=lambda r: (r.df, r.term, r.field)):
+            up_to += r.df
+            out.append(r.asDict() | {"first": r.clause == rarest, "probe": query_id in free and up_to * 4 <= every})
+    return out
+
+
+def _few_below(ordered: list[dict], least: dict) -> list[dict]:
+    """`_below` of a few rows."""
+    out = []
+    for query_id, own in _grouped(ordered, lambda r: r["query_id"]):
+        needed, rest, rows = least.get(query_id), 0, []
+        for r in sorted(own, key=lambda r: (r["bound"], r["term"], r["field"])):
+            low = needed is not None and rest + r["bound"] < needed
+            rest += r["bound"] * low
+            rows.append(r | {"first": r["first"] and not low, "least": needed})
+        out += [r | {"rest": rest} for r in rows]
+    return out
+
+
+def _grouped(rows: list, key) -> list[tuple]:
+    found: dict = {}
+    for r in rows:
+        found.setdefault(key(r), []).append(r)
+    return list(found.items())
+
+
 def _posting_scores(index: Index, wanted: DataFrame, terms: list[str] | None, buckets: list[int] | None) -> DataFrame:
     """(query_id, n_clauses, doc_id, clause, units): one row per matching posting of every row of `wanted`.
 
@@ -212,41 +270,47 @@ def _term_matches(index: Index, batch: Batch, weights: Mapping[str, float], k: i
     """(query_id, doc_id, units) of the documents that match every clause of the request; with `k`, at least of
     the k best of every request that is free text only."""
     known, terms = _looked_up(index, batch, weights)
-    schema = known.withColumns({"first": F.lit(True), "probe": F.lit(True)}).schema
-    spark = index.docs.sparkSession
+    spark, buckets = index.docs.sparkSession, None
+    schema = StructType([*known.schema.fields]).add("first", "boolean").add("probe", "boolean")
+    rows: list[dict] = []
+    if batch.few:
+        free = {r.query_id for r in batch.rows if r.n_clauses == 1 and not r.must and not r.ranges}
+        rows = _few_in_order(known.collect(), free)
+        ordered, buckets = local_table(spark, rows, schema), sorted({r["bucket"] for r in rows})
+    else:
+        ordered = stage(_in_order(known, batch.parsed))
 
-    def kept(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Literals or a staged table, and one row: postings of the first rows, of the rest, and to probe."""
+    def postings(which: str, value: bool = True) -> int:
         if batch.few:
-            rows = df.collect()
-            count = lambda name, value=True: sum(r.df for r in rows if r[name] == value)
-            return local_table(spark, rows, df.schema), (count("first"), count("first", False), count("probe"))
-        df = stage(df)
-        total = lambda of: F.coalesce(F.sum(F.when(of, F.col("df"))), F.lit(0))
-        return df, tuple(df.agg(total(F.col("first")), total(~F.col("first")), total(F.col("probe"))).first())
-
-    ordered, (n_first, n_rest, n_probe) = kept(_in_order(known, batch.parsed))
-    buckets = None if terms is None else sorted({r.bucket for r in ordered.select("bucket").distinct().collect()})
-    scores = lambda wanted: _posting_scores(index, wanted, terms, buckets)
-    pairs = ["query_id", "doc_id"]
-    if k is not None and n_probe >= k:
+            return sum(r["df"] for r in rows if r[which] == value)
+        return ordered.where(F.col(which) == value).agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+
+    def scores(wanted: DataFrame) -> DataFrame:
+        return _posting_scores(index, wanted, terms, buckets)
+
+    pairs, bounded = ["query_id", "doc_id"], False
+    if k is not None and postings("probe") >= k and postings("probe", False) >= PROBED:
         sums = scores(ordered.where("probe")).groupBy(*pairs).agg(F.sum("units").alias("score"))
         least = top_k(sums, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-        least = local_table(spark, least.collect(), least.schema) if batch.few else stage(least)
-        ordered, (n_first, n_rest, _) = kept(_below(ordered, least))
+        bounded = True
+        if batch.few:
+            rows = _few_below(rows, {r.query_id: r.least for r in least.collect()})
+            ordered = local_table(spark, rows, StructType([*schema.fields]).add("least", "long").add("rest", "long"))
+        else:
+            ordered = stage(_below(ordered, stage(least)))
+    n_first, n_rest = postings("first"), postings("first", False)
     if not n_rest:
         return _clause_matches(scores(ordered))
     by_first = scores(ordered.where("first")).groupBy("query_id", "n_clauses", "doc_id", "clause").agg(F.sum("units").alias("units"))
-    if "least" in ordered.columns:
+    if bounded:
         reach = ordered.where("least IS NOT NULL").groupBy("query_id").agg(F.first("least").alias("least"), F.first("rest").alias("rest"))
         reached = by_first.join(F.broadcast(reach) if batch.few else reach, "query_id", "left").where("least IS NULL OR units + rest >= least")
         by_first = reached.select(*by_first.columns)
+    candidates = by_first.select(*pairs)
     if n_first <= BROADCAST_ROWS:
-        candidates = F.broadcast(by_first.select(*pairs))
-    elif n_rest < 4 * n_first:  # little to save
-        return _clause_matches(scores(ordered) if "least" not in ordered.columns else by_first.unionByName(scores(ordered.where("NOT first"))))
-    else:
-        candidates = by_first.select(*pairs)
+        candidates = F.broadcast(candidates)
+    elif n_rest < 4 * n_first and not bounded:  # little to save
+        return _clause_matches(scores(ordered))
     rest = scores(ordered.where("NOT first")).join(candidates, pairs, "left_semi")
     return _clause_matches(by_first.unionByName(rest))
 
@@ -331,7 +395,7 @@ def _within_literal_ranges(index: Index, hits: DataFrame, ranges: list, positive
 
 def _of_one_field(index: Index, parsed: DataFrame, field: str) -> DataFrame:
     """(query_id, doc_id, units) of all documents that have a number in the field, for a single request."""
-    query_id = parsed.select("query_id").first().query_id
+    query_id = parsed.first().query_id
     kind = parsed.schema["query_id"].dataType
     return index.numbers.where(F.col("field") == field).select(F.lit(query_id).cast(kind).alias("query_id"), "doc_id", F.lit(0).cast("long").alias("units"))
 

@@ -62,9 +62,9 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_table(spark: SparkSession, rows: list[Row], schema: StructType) -> DataFrame:
+def local_table(spark: SparkSession, rows: list[Row] | list[dict], schema: StructType) -> DataFrame:
     """A few rows as a table that is part of the plan; no job is needed to read or broadcast it."""
-    table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema))
+    table = pa.Table.from_pylist([r if isinstance(r, dict) else r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema))
     return spark.createDataFrame(table, schema)
 
 
