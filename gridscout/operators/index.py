@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridscout.functions.tokens import TOKEN_SIMPLE, term_counts, tokens
+from gridscout.sources.pages import page_files
 from gridscout.sources.tables import folders, local_table, path_exists, remove, stage
 
 BUCKETS = 16
@@ -273,12 +274,6 @@ def update_index(spark: SparkSession, path: str, added: DataFrame, removed: Data
     _drop_versions(spark, path, old[-1:])
 
 
-def input_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, modified) of all files below `path`; their contents are not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return found.select("path", "length", F.col("modificationTime").alias("modified"))
-
-
 def refresh_index(spark: SparkSession, path: str, input_path: str, read: Callable[[str], DataFrame], **build) -> tuple[int, int]:
     """Bring the index at `path` up to date with the files of `input_path`: (new or changed files, gone or changed files).
 
@@ -287,7 +282,7 @@ def refresh_index(spark: SparkSession, path: str, input_path: str, read: Callabl
     added; those of files that are gone or changed are removed. `build`: arguments of `write_index`, which builds the
     index where there is none. A document id must not move between files that are not refreshed together.
     """
-    now = stage(input_files(spark, input_path))
+    now = stage(page_files(spark, input_path))
     old = _versions(spark, path)
     if not old:
         write_index(read(input_path), path, manifest=now, **build)

@@ -85,18 +85,19 @@ def follow_edges(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def follow_edges_recursive(edges: DataFrame, hot_rows: int = HOT_ROWS, levels: int = RECURSION_LEVELS) -> DataFrame:
     """`follow_edges` as one recursive query, which joins all edges with the ends reached so far, a level at a time.
 
-    It takes as many levels as the longest chain has edges, and carries a row per edge and level, so it is for short
-    chains. A chain that has no end after `levels` counts as a cycle.
+    It takes as many levels as the longest chain has edges, and carries a row with the chain so far per edge and level,
+    so it is for short chains. A chain that has no end after `levels`, or comes to a title again, counts as a cycle.
     """
     spark = edges.sparkSession
     limits = {"spark.sql.cteRecursionLevelLimit": str(levels + 2), "spark.sql.cteRecursionRowLimit": "-1"}
     before = {name: spark.conf.get(name) for name in limits}
-    chains = """WITH RECURSIVE chains(id, source, target, level) AS (
-        SELECT id, source, target, 1 FROM {edges}
+    chains = """WITH RECURSIVE chains(id, source, target, level, seen) AS (
+        SELECT id, source, target, 1, array(source) FROM {edges}
         UNION ALL
-        SELECT c.id, c.source, e.target, c.level + 1 FROM chains c JOIN {edges} e ON c.target = e.source WHERE c.level < {levels}
+        SELECT c.id, c.source, e.target, c.level + 1, array_append(c.seen, c.target) FROM chains c JOIN {edges} e ON c.target = e.source
+        WHERE c.level < {levels} AND NOT array_contains(c.seen, c.target)
       )
-      SELECT id, source, max_by(target, level) AS target, max(level) AS level FROM chains GROUP BY id, source"""
+      SELECT id, source, max_by(target, level) AS target FROM chains GROUP BY id, source"""
     try:
         for name, value in limits.items():
             spark.conf.set(name, value)

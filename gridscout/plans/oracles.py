@@ -309,6 +309,7 @@ ORACLES = {
     "articles_project": f"SELECT id, title, title AS article_title, is_redirect, target, text FROM ({XML_PAGES}) p",
     "malformed_count": f"SELECT count(*) AS n_malformed FROM documents WHERE {fx.XML_BROKEN}",
     "pages_files": "SELECT concat('com_drivers_', page_id) AS name, html AS content FROM pages WHERE page_id % 4 <> 0",
+    "pages_packed": "SELECT concat('com_drivers_', page_id) AS name, html AS content FROM pages WHERE page_id % 4 <> 0",
     "wiki_lead_line": f"""WITH d AS (SELECT doc_id, concat('Intro', chr(10), {fx.BOLD}, source, {fx.BOLD}, ' ', text) AS text FROM documents)
       SELECT doc_id, {LEAD} AS lead, {group1('text', "('''[^" + chr(92) + "n]*)")} AS lead_or_end FROM d""",
     "wiki_infobox": f"SELECT id, {INFOBOX_COLUMNS} FROM ({fx.WIKI_SQL}) w",

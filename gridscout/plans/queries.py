@@ -29,7 +29,7 @@ from gridscout.schemas import (
     WEIGHTS,
 )
 from gridscout.sources import wiki
-from gridscout.sources.pages import read_pages
+from gridscout.sources.pages import pack_pages, read_packed, read_pages
 from gridscout.sources.tables import (
     materialize,
     path_exists,
@@ -179,6 +179,17 @@ def pages_files(spark, sf_dir):
     )
 
 
+def pages_packed(spark, sf_dir):
+    """The same files packed into an archive, which is read."""
+    pages_files(spark, sf_dir)  # writes them
+    folder, archive = _shared(spark, sf_dir, "page-files"), _shared(spark, sf_dir, "page-archive")
+    pack_pages(spark, folder, archive)
+    read = read_packed(spark, archive, X.PATH_MARK)
+    return read.select(
+        F.regexp_extract("filename", r"name=([^/]*)/", 1).alias("name"), F.rtrim(F.col("content"), F.lit("\u0000")).alias("content")
+    )
+
+
 def wiki_lead_line(spark, sf_dir):
     marked = F.concat(F.lit("Intro\n'''"), F.col("source"), F.lit("''' "), F.col("text"))
     return fx.table(spark, sf_dir, "documents").select(
@@ -563,6 +574,7 @@ QUERIES = {
     "articles_project": articles_project,
     "malformed_count": malformed_count,
     "pages_files": pages_files,
+    "pages_packed": pages_packed,
     "wiki_lead_line": wiki_lead_line,
     "wiki_infobox": wiki_infobox,
     "wiki_clean": wiki_clean,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridscout.sources import tables as T
-from gridscout.sources.pages import read_pages
+from gridscout.sources.pages import pack_pages, read_packed, read_pages
 from gridscout.sources.wiki import malformed_count, pages_from_xml_column, read_wiki_xml, wiki_pages
 
 
@@ -112,3 +112,25 @@ def test_tsv_keeps_line_ends_blanks_quotes_and_backslashes(spark, tmp_path):
     T.write_tsv(df, str(tmp_path / "t"))
     back = T.read_tsv(spark, str(tmp_path / "t"), df.schema)
     assert [r.t for r in back.orderBy("i").collect()] == texts
+
+
+def test_packed_pages_follow_their_files(spark, tmp_path):
+    folder, archive = tmp_path / "pages", str(tmp_path / "archive")
+    (folder / "deep").mkdir(parents=True)
+    texts = {f"com_drivers_{i}": f"page {i}\r\n\u00e9\n" for i in range(12)} | {"deep/other": " ", "deep/com_drivers_x": "x"}
+    for name, text in texts.items():
+        (folder / name).write_bytes(text.encode())
+
+    def packed(mark=None):
+        return {r.filename.split("/pages/")[1]: r.content for r in read_packed(spark, archive, mark).collect()}
+
+    where = f"file://{folder}"
+    assert pack_pages(spark, where, archive) == 14 and packed() == texts
+    assert packed("com_drivers").keys() == {x for x in texts if "com_drivers" in x}
+    assert {r.filename: r.content for r in read_packed(spark, archive).collect()}.keys() == {r.filename for r in read_pages(spark, where).collect()}
+    assert pack_pages(spark, where, archive) == 0
+    texts |= {"com_drivers_3": "changed, and longer", "new": "n"}
+    for name in ("com_drivers_3", "new"):
+        (folder / name).write_bytes(texts[name].encode())
+    assert pack_pages(spark, where, archive) == 2 and packed() == texts
+    assert read_packed(spark, archive).rdd.getNumPartitions() < 14  # by bytes, not by page
