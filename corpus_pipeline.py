@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscout.llm.common import documents, stage, table, unique_texts
+from gridscout.llm.common import documents, drop_stage, stage, table, unique_texts, work_folder
 from gridscout.llm.decontamination import decontaminate
 from gridscout.llm.language_id import UNKNOWN, identify
 from gridscout.llm.near_dedup import near_duplicates
 from gridscout.llm.packing import pack
 from gridscout.llm.queries import tokenizer
 from gridscout.llm.substring_dedup import substring_dedup
+from gridscout.sources.tables import staging
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,7 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The packed documents, written below the shared folder; all that was staged on the way is removed."""
+    out = work_folder(spark, "pipeline")
+    with staging(spark):
+        docs = documents(spark, sf_dir)
+        for i, (_, step) in enumerate(STAGES[:-1]):
+            before, docs = docs, stage(step(spark, docs, sf_dir))
+            if i:
+                drop_stage(before)
+        STAGES[-1][1](spark, docs, sf_dir).write.parquet(out)
+    return spark.read.parquet(out)
