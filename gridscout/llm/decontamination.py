@@ -1,9 +1,10 @@
 """Benchmark decontamination: windows of benchmark words, hashed and broadcast, looked up in all documents.
 
 The windows of all items form a sorted array of hashes, next to a bitmap that rejects almost every
-document window by one look-up. Windows whose hash is found are compared word by word. The windows are
-counted before they are collected; of a benchmark with more than `most_windows`, parts of about that many are
-broadcast one after the other, each for a scan of its own, and the hits of the scans are merged.
+document window by one look-up. Windows whose hash is found are compared byte by byte. Items are cut into
+stretches that overlap by a window less a word, and the bytes of these are summed before any is collected; of
+a benchmark with more than `most_bytes`, parts of about that size are broadcast one after the other, each for a
+scan of its own, and the hits of the scans are merged.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from gridscout.llm import words as W
 from gridscout.llm.common import unique_texts
 
 WINDOW = 13
-MOST_WINDOWS = 4_000_000
+MOST_BYTES = 64 << 20  # of the windows that are broadcast at once
+STRETCH = 10_000  # windows of an item that stay together
+WORD_BYTES = 40  # of places and hashes, for each word
 FILTER_BITS = 22
 HIT = ("first", "last", "start", "end")  # words [first, last) of a document, bytes [start, end)
 HITS = "array<struct<first:long,last:long,start:long,end:long>>"
@@ -34,7 +37,8 @@ def decontaminate(
     item_text_col: str = "text",
     window: int = WINDOW,
     share: int = 20,
-    most_windows: int = MOST_WINDOWS,
+    most_bytes: int = MOST_BYTES,
+    stretch: int = STRETCH,
     carry: tuple[str, ...] = (),
     cleaned: bool = False,
 ) -> DataFrame:
@@ -50,8 +54,8 @@ def decontaminate(
     A null or empty text has no words and is clean; an item without words, or without an id, has no
     windows. Equal windows of several items count for each of them. Several rows of one document id
     count as one, see `unique_texts`; several rows of an item id all count. Rows without a document id
-    are left out. A single item of more than `most_windows` raises. Empty tables: no documents give an empty table, no items leave everything clean.
-    Other columns of both tables play no part, whatever they are called.
+    are left out. An item may be of any length. Empty tables: no documents give an empty table, no items leave
+    everything clean. Other columns of both tables play no part, whatever they are called.
     """
     keep = tuple(dict.fromkeys((id_col, *carry, *([text_col] if cleaned else []))))
     rows = unique_texts(docs, id_col, text_col, *carry)
@@ -59,12 +63,11 @@ def decontaminate(
     pattern = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     items = items.select("item", F.regexp_extract_all(lowered, F.lit(pattern), F.lit(0)).alias("words")).where("size(words) > 0")
-    # what an item costs: its windows, or its bytes if its words are very long
-    cost = F.greatest(F.size("words") - window + 1, F.octet_length(F.array_join("words", " ")) / 64, F.lit(1))
-    total, largest = items.select(F.sum(cost), F.max(cost)).first()
-    parts = max(1, -(-int(total or 0) // most_windows))
-    if (largest or 0) > most_windows:
-        raise ValueError(f"an item has {largest:.0f} windows; {most_windows} may be broadcast")
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(stretch))
+    cut = items.select("item", "words", F.explode(starts).alias("at")).select("item", F.slice("words", F.col("at") + 1, stretch + window - 1).alias("words"))
+    items = cut.select("item", F.array_join("words", " ").alias("words"), F.size("words").alias("n")).distinct()
+    total = items.select(F.sum(F.octet_length("words") + WORD_BYTES * F.col("n"))).first()[0]
+    parts = max(1, -(-int(total or 0) // most_bytes))
     known = [{f.name: f.dataType.simpleString() for f in rows.schema}[c] for c in keep]
     types = ", ".join(f"`{c}` {t}" for c, t in zip(keep, known, strict=True)) + f", n_words long, items array<string>, hits {HITS}"
     out_types = ", ".join(f"`{c}` {t}" for c, t in zip(keep, known, strict=True) if c != text_col or c in carry)
@@ -90,29 +93,53 @@ def decontaminate(
 
 
 class Windows:
-    """The windows of all items, by their number of words."""
-
-    def __init__(self, items: list[tuple[str, list[str]]], window: int) -> None:
-        self.items: dict[bytes, set[str]] = defaultdict(set)
-        sizes = set()
-        for item, found in items:
-            size = min(window, len(found))
-            sizes.add(size)
-            for i in range(len(found) - size + 1):
-                self.items[" ".join(found[i : i + size]).encode()].add(item)
-        by_size = defaultdict(list)
-        for text in self.items:
-            by_size[text.count(b" ") + 1].append(text)
+    """The windows of all stretches (item, words joined by blanks), by their number of words, in flat arrays.
+
+    Equal windows are one, with the items that have it; they are told by two hashes.
+    """
+
+    def __init__(self, stretches: list[tuple[str, str]], window: int) -> None:
+        self.names = sorted({item for item, _ in stretches})
+        number = {name: i for i, name in enumerate(self.names)}
+        of_row = np.array([number[item] for item, _ in stretches], np.int32)
+        texts = [text.encode() for _, text in stretches]
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        starts, ends, bounds = W.find_words(self.data, np.cumsum([0, *map(len, texts)]), W.ALPHANUMERIC)
+        hashes = [W.hash_words(self.data, starts, ends, way) for way in (0, 1)]
+        n_words, row = np.diff(bounds), W.row_of(bounds)
         self.sizes = {}
-        for size in sorted(sizes):
-            texts = by_size[size]
-            data = np.frombuffer(b"".join(texts), np.uint8)
-            offsets = np.cumsum([0, *map(len, texts)])
-            starts, ends, bounds = W.find_words(data, offsets, W.ALPHANUMERIC)
-            hashes = W.hash_runs(W.hash_words(data, starts, ends), size)[bounds[:-1]]
+        for size in np.unique(np.minimum(n_words, window)).tolist():
+            if size == window:
+                at = np.flatnonzero(W.whole_runs(bounds, size))
+            else:  # items of fewer words
+                at = bounds[:-1][n_words == size]
+            first, second = (W.hash_runs(h, size, way)[at] for way, h in enumerate(hashes))
+            items = of_row[row[at]]
+            order = np.lexsort((items, second, first))
+            first, second, items, at = first[order], second[order], items[order], at[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+            kept = new.copy()
+            kept[1:] |= items[1:] != items[:-1]
+            places = np.append(np.flatnonzero(new[kept]), int(kept.sum()))  # where the items of each window begin
             bitmap = np.zeros(1 << FILTER_BITS, bool)
-            bitmap[hashes >> np.uint64(64 - FILTER_BITS)] = True
-            self.sizes[size] = (np.sort(hashes), bitmap)
+            bitmap[first >> np.uint64(64 - FILTER_BITS)] = True
+            begin, end = starts[at[new]], ends[at[new] + size - 1]
+            self.sizes[size] = (first[new], bitmap, begin, end, items[kept], places)
+
+    def found(self, size: int, at: int, words: bytes) -> np.ndarray | None:
+        """Numbers of the items with this window; `at`: the first place of its hash."""
+        hashes, _, begin, end, items, places = self.sizes[size]
+        hash_ = hashes[at]
+        while at < len(hashes) and hashes[at] == hash_:
+            if self.data[begin[at] : end[at]].tobytes() == words:
+                return items[places[at] : places[at + 1]]
+            at += 1
+        return None
+
+    @property
+    def nbytes(self) -> int:
+        return self.data.nbytes + sum(x.nbytes for arrays in self.sizes.values() for x in arrays)
 
 
 def _scan(known, text_col: str, keep: tuple[str, ...]):
@@ -124,19 +151,21 @@ def _scan(known, text_col: str, keep: tuple[str, ...]):
         starts, ends, bounds = W.find_words(data, offsets, W.ALPHANUMERIC)
         hashes = W.hash_words(data, starts, ends)
         hit = np.zeros(len(starts), bool)
-        items: dict[int, set[str]] = defaultdict(set)
-        for size, (sorted_hashes, bitmap) in known.value.sizes.items():
+        items: dict[int, set[int]] = defaultdict(set)
+        for size, (sorted_hashes, bitmap, *_) in known.value.sizes.items():
             runs = W.hash_runs(hashes, size)
             at = np.flatnonzero(bitmap[runs >> np.uint64(64 - FILTER_BITS)])
             at = at[W.whole_runs(bounds, size)[at]]
-            place = np.searchsorted(sorted_hashes, runs[at])
-            at = at[sorted_hashes[np.minimum(place, len(sorted_hashes) - 1)] == runs[at]]
+            place = np.minimum(np.searchsorted(sorted_hashes, runs[at]), len(sorted_hashes) - 1)
+            same = sorted_hashes[place] == runs[at]
+            at, place = at[same], place[same]
             rows = np.searchsorted(bounds, at, "right") - 1
-            for i, row in zip(at.tolist(), rows.tolist(), strict=True):
+            for i, row, j in zip(at.tolist(), rows.tolist(), place.tolist(), strict=True):
                 words = b" ".join(data[a:b].tobytes() for a, b in zip(starts[i : i + size], ends[i : i + size], strict=True))
-                if found := known.value.items.get(words):
+                found = known.value.found(size, j, words)
+                if found is not None:
                     hit[i : i + size] = True
-                    items[row] |= found
+                    items[row].update(found.tolist())
         return starts, ends, bounds, hit, items
 
     def run(batches):
@@ -151,7 +180,7 @@ def _scan(known, text_col: str, keep: tuple[str, ...]):
                     hits[row] = [dict(zip(HIT, x, strict=True)) for x in zip(first.tolist(), (last + 1).tolist(), begin.tolist(), end.tolist(), strict=True)]
                 columns = {c: batch.column(c).slice(lo, hi - lo) for c in keep}
                 columns["n_words"] = pa.array(np.diff(bounds), pa.int64())
-                columns["items"] = pa.array([list(items.get(i, ())) for i in range(hi - lo)], pa.list_(pa.string()))
+                columns["items"] = pa.array([[known.value.names[x] for x in items.get(i, ())] for i in range(hi - lo)], pa.list_(pa.string()))
                 columns["hits"] = pa.array(hits, pa.list_(pa.struct([(x, pa.int64()) for x in HIT])))
                 yield pa.RecordBatch.from_pydict(columns)
 

@@ -1,10 +1,13 @@
 import random
 import re
 
-import pytest
+import numpy as np
 from tests.llm.cases import awkward_rows, awkward_texts, by_id, frame, prose
 
-from gridscout.llm.decontamination import decontaminate, merged
+from gridscout.llm import words as W
+from gridscout.llm.decontamination import Windows, decontaminate, merged
+
+REAL = W.hash_runs
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -75,12 +78,59 @@ def test_empty_tables(spark):
 
 def test_a_large_benchmark_is_scanned_in_parts(spark):
     docs = frame(spark, awkward_rows())
-    out = decontaminate(docs, benchmark(spark, ITEMS), most_windows=78, carry=("text",), cleaned=True)
+    out = decontaminate(docs, benchmark(spark, ITEMS), most_bytes=3_000, carry=("text",), cleaned=True)
     assert found(out) == brute(awkward_texts(), ITEMS)
     whole = by_id(decontaminate(docs, benchmark(spark, ITEMS), carry=("text",), cleaned=True))
     assert {i: (r.spans, r.cleaned, r.text) for i, r in by_id(out).items()} == {i: (r.spans, r.cleaned, r.text) for i, r in whole.items()}
-    with pytest.raises(ValueError):
-        decontaminate(docs, benchmark(spark, ITEMS), most_windows=10)
+
+
+def test_items_of_any_length_are_cut_into_stretches(spark):
+    long = prose(77, 4000, 900)
+    items = [*ITEMS, (20, long), (20, long), (21, "again and " * 300), (22, prose(3, 30_000, 3000))]
+    texts = awkward_texts() | {30: " ".join(long.split()[995:1030]), 31: long, 32: "so again and again and again and again and again and again and again and again", 33: " ".join(long.split()[3990:])}
+    expected = {i: r for i, r in brute_by_set(texts, items).items()}
+    for stretch in (1, 7, 1000):
+        out = decontaminate(frame(spark, list(texts.items())), benchmark(spark, items), most_bytes=10_000_000, stretch=stretch)
+        assert found(out) == expected
+    assert found(decontaminate(frame(spark, list(texts.items())), benchmark(spark, items), most_bytes=600_000, stretch=500)) == expected
+
+
+def brute_by_set(texts, items):
+    """`brute` with the windows in a dictionary, for long items."""
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        n = min(13, len(w))
+        if n and item is not None:
+            for i in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    out = {}
+    for i, text in texts.items():
+        w, hit, names = words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if own := windows.get(tuple(w[k : k + n])):
+                    hit |= set(range(k, k + n))
+                    names |= own
+        out[i] = (len(w), len(hit), sorted(names), bool(hit) and 20 * len(hit) >= len(w))
+    return out
+
+
+def test_windows_are_compact():
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200_000))
+    found = Windows([("item", text), ("other", "a b c")], 13)
+    assert found.nbytes < 60 * 200_000 + 2 * (1 << 22) and set(found.sizes) == {3, 13}
+    short = Windows([("a", "x y"), ("b", "x y"), ("b", "x y"), ("c", "y x")], 13)
+    at = [int(np.searchsorted(short.sizes[2][0], h)) for h in short.sizes[2][0]]
+    assert sorted([short.names[i] for i in own] for j in at for t in (b"x y", b"y x") if (own := short.found(2, j, t)) is not None) == [["a", "b"], ["c"]]
+
+
+def test_hashes_that_collide_are_compared(monkeypatch):
+    monkeypatch.setattr(W, "hash_runs", lambda hashes, n, way=0: np.zeros(max(len(hashes) - n + 1, 0), np.uint64) if way == 0 else REAL(hashes, n, way))
+    known = Windows([("a", "x y"), ("b", "z y"), ("c", "x y")], 13)
+    assert [known.names[i] for i in known.found(2, 0, b"z y")] == ["b"] and [known.names[i] for i in known.found(2, 0, b"x y")] == ["a", "c"]
+    assert known.found(2, 0, b"q q") is None
 
 
 def test_stretches_are_merged():
