@@ -238,12 +238,19 @@ def _drop_versions(spark: SparkSession, path: str, running: list[int]) -> None:
             remove(spark, f"{path}/v{v:09d}")
 
 
-def update_index(spark: SparkSession, path: str, added: DataFrame, removed: DataFrame | None = None, manifest: DataFrame | None = None) -> None:
+def update_index(
+    spark: SparkSession,
+    path: str,
+    added: DataFrame,
+    removed: DataFrame | None = None,
+    manifest: DataFrame | None = None,
+    more_terms: DataFrame | None = None,
+) -> None:
     """A version with the documents `added`, and without those whose ids `removed` (doc_id) lists.
 
     `added` has the columns the index was built from. A document whose id is there already replaces that one; ids that
     are not there are passed over. Only the new documents are split and sorted; the terms of the removed ones are read
-    from `forward`, which is scanned for them. Further fields that a build took from other tables can't be updated.
+    from `forward`, which is scanned for them. `more_terms`: as for `write_index`, of the added documents.
     """
     old = _versions(spark, path)
     meta = _meta(spark, path, old[-1])
@@ -255,7 +262,8 @@ def update_index(spark: SparkSession, path: str, added: DataFrame, removed: Data
     going.distinct().write.parquet(f"{version}/removed")
     gone = spark.read.parquet(f"{version}/removed")
     n_gone = gone.count()
-    found = stage(field_terms(added, spec["id"], spec["texts"], meta.token_pattern))
+    found = field_terms(added, spec["id"], spec["texts"], meta.token_pattern)
+    found = stage(found if more_terms is None else found.unionByName(more_terms))
     _write_segment(added, found, version, spec, meta.buckets)
     forward = _view(spark, path, meta, "forward").where("field IS NOT NULL")
     lost = stage(forward.join(F.broadcast(gone) if n_gone <= BROADCAST_REMOVED else gone, "doc_id", "left_semi"))

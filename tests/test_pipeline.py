@@ -60,6 +60,17 @@ def test_files_to_hits(spark, tmp_path):
     assert names("@wins=3") == [] and names("") == []
     assert names("don't") == ["Cy Day"] and names("don") == []
 
+    more = tmp_path / "more"
+    more.mkdir()
+    (more / "com_drivers_9.html").write_text(PAGE.format(name="Di Roe", wins=5, body="gravel don't"))
+    pipeline.add_pages(spark, str(more), out)
+    assert sorted(names("gravel")) == ["Ann Lee", "Bob Fox", "Di Roe"] and sorted(names("don't")) == ["Cy Day", "Di Roe"]
+    assert names("formula ^wins=4 $wins=6") == ["Di Roe"] and sorted(names("^wins=1")) == ["Ann Lee", "Cy Day", "Di Roe"]
+    (more / "com_drivers_9.html").write_text(PAGE.format(name="Di Roe", wins=6, body="ice"))
+    pipeline.add_pages(spark, str(more), out)
+    assert sorted(names("gravel")) == ["Ann Lee", "Bob Fox"] and sorted(names("ice")) == ["Cy Day", "Di Roe"]
+    assert set(folders(spark, work_dir(spark))) == staged
+
 
 def test_extraction_runs_on_a_stream(spark, tmp_path):
     pages = [(f"file:/com_drivers_{i}.html", PAGE.format(name=f"N{i}", wins=i, body="")) for i in range(4)]
