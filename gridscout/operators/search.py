@@ -253,8 +253,10 @@ def _posting_scores(index: Index, wanted: DataFrame, terms: list[str] | None, bu
         rows = index.postings.where(_at(terms, buckets))
         hits = rows.join(F.broadcast(wanted.select(*on, *request, "mean_length")), on)
         return hits.withColumn("_sat", saturation).select(*columns)
-    block = F.pmod(F.xxhash64("query_id", "clause"), F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*on)) / BLOCK)).alias("_block")
-    blocks = wanted.select(*on, "mean_length", "df", block, F.struct(*request).alias("_request")).groupBy(*on, "_block")
+    known = wanted.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    counted = join_unique(wanted, known, on, ["query_id", "clause"], "inner")  # a word may be in most requests
+    block = F.pmod(F.xxhash64("query_id", "clause"), F.ceil(F.col("_n") / BLOCK)).alias("_block")
+    blocks = counted.select(*on, "mean_length", "df", block, F.struct(*request).alias("_request")).groupBy(*on, "_block")
     blocks = blocks.agg(F.first("mean_length").alias("mean_length"), F.first("df").alias("df"), F.collect_list("_request").alias("_requests"))
     # only frequent terms are cut; there are at most postings / SLICE_DF of them
     slices = F.ceil(F.col("df") / SLICE_DF).cast("int")
