@@ -8,7 +8,7 @@ terms, times the field weight for terms of the free text, plus 1 for every range
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from gridscout.functions import scoring as S
 from gridscout.functions.tokens import tokens
+from gridscout.operators.cells import best_of_cells
 from gridscout.operators.index import NUMBER_CLASSES, Index, bucket_of, number_class
 from gridscout.operators.joins import join_unique
 from gridscout.operators.requests import parse_requests
@@ -109,6 +110,7 @@ class Batch:
     few: bool
     ranged: bool  # any request has ranges
     range_only: bool  # any has nothing else
+    mixed: bool  # any that can match is not free text only
     rows: list  # `parsed`, where they are few
 
     @property
@@ -125,10 +127,10 @@ class Batch:
             rows = parsed.collect()
             local = local_table(requests.sparkSession, rows, parsed.schema)
             ranged = [r for r in rows if r.ranges]
-            return Batch(local, len(rows), True, bool(ranged), any(not r.n_clauses for r in ranged), rows)
-        ranged = F.size("ranges") > 0
-        found = parsed.agg(F.count(F.lit(1)).alias("n"), F.bool_or(ranged).alias("r"), F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("only")).first()
-        return Batch(parsed, found.n, False, bool(found.r), bool(found.only), [])
+            return Batch(local, len(rows), True, bool(ranged), any(not r.n_clauses for r in ranged), any(r.must or r.ranges for r in rows), rows)
+        ranged, must = F.size("ranges") > 0, F.size("must") > 0
+        found = parsed.agg(F.count(F.lit(1)).alias("n"), F.bool_or(ranged).alias("r"), F.bool_or(ranged & (F.col("n_clauses") == 0)).alias("only"), F.bool_or(ranged | must).alias("mixed")).first()
+        return Batch(parsed, found.n, False, bool(found.r), bool(found.only), bool(found.mixed), [])
 
 
 def _few_clauses(index: Index, rows: list[Row], weights: Mapping[str, float], schema: StructType) -> list[Row]:
@@ -192,16 +194,6 @@ def _in_order(known: DataFrame, parsed: DataFrame) -> DataFrame:
     return sized.select(*known.columns, first.alias("first"), probe.alias("probe"))
 
 
-def _below(ordered: DataFrame, least: DataFrame) -> DataFrame:
-    """`ordered` where `least` (query_id, least) says what a document of the request must score: the terms whose
-    bounds together stay below that are no longer `first`, as no document is among the best by them alone.
-    Adds `least`, and `rest`, the sum of their bounds."""
-    of_query = Window.partitionBy("query_id")
-    up_to = F.sum("bound").over(of_query.orderBy("bound", "term", "field").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = ordered.join(least, "query_id", "left").withColumn("_low", F.coalesce(up_to < F.col("least"), F.lit(False)))
-    return out.withColumns({"rest": F.sum(F.when(F.col("_low"), F.col("bound")).otherwise(0)).over(of_query), "first": F.col("first") & ~F.col("_low")}).drop("_low")
-
-
 def _few_in_order(known: list[Row], free: set) -> list[dict]:
     """`_in_order` of a few rows; `free`: the requests that are free text only."""
     out = []
@@ -219,7 +211,9 @@ def _few_in_order(known: list[Row], free: set) -> list[dict]:
 
 
 def _few_below(ordered: list[dict], least: dict) -> list[dict]:
-    """`_below` of a few rows."""
+    """`ordered` where `least`, by query_id, says what a document of the request must score: the terms whose
+    bounds together stay below that are no longer `first`, as no document is among the best by them alone.
+    Adds `least`, and `rest`, the sum of their bounds."""
     out = []
     for query_id, own in _grouped(ordered, lambda r: r["query_id"]):
         needed, rest, rows = least.get(query_id), 0, []
@@ -291,22 +285,19 @@ def _term_matches(index: Index, batch: Batch, weights: Mapping[str, float], k: i
         return _posting_scores(index, wanted, terms, buckets)
 
     pairs, bounded = ["query_id", "doc_id"], False
-    if k is not None and postings("probe") >= k and postings("probe", False) >= PROBED:
+    if k is not None and batch.few and postings("probe") >= k and postings("probe", False) >= PROBED:
         sums = scores(ordered.where("probe")).groupBy(*pairs).agg(F.sum("units").alias("score"))
         least = top_k(sums, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
         bounded = True
-        if batch.few:
-            rows = _few_below(rows, {r.query_id: r.least for r in least.collect()})
-            ordered = local_table(spark, rows, StructType([*schema.fields]).add("least", "long").add("rest", "long"))
-        else:
-            ordered = stage(_below(ordered, stage(least)))
+        rows = _few_below(rows, {r.query_id: r.least for r in least.collect()})
+        ordered = local_table(spark, rows, StructType([*schema.fields]).add("least", "long").add("rest", "long"))
     n_first, n_rest = postings("first"), postings("first", False)
     if not n_rest:
         return _clause_matches(scores(ordered))
     by_first = scores(ordered.where("first")).groupBy("query_id", "n_clauses", "doc_id", "clause").agg(F.sum("units").alias("units"))
     if bounded:
         reach = ordered.where("least IS NOT NULL").groupBy("query_id").agg(F.first("least").alias("least"), F.first("rest").alias("rest"))
-        reached = by_first.join(F.broadcast(reach) if batch.few else reach, "query_id", "left").where("least IS NULL OR units + rest >= least")
+        reached = by_first.join(F.broadcast(reach), "query_id", "left").where("least IS NULL OR units + rest >= least")
         by_first = reached.select(*by_first.columns)
     candidates = by_first.select(*pairs)
     if n_first <= BROADCAST_ROWS:
@@ -415,20 +406,32 @@ def _matches(
     if any(not 0 <= w <= MOST_WEIGHT for w in weights.values()):
         raise ValueError(f"weights must be from 0 to {MOST_WEIGHT:g}")
     batch = Batch.of(index, requests, word_bounds, large)
+    if k is None or batch.few:
+        return _batch_matches(index, batch, weights, positive_percentages, k), batch.n_requests
+    parsed, free = batch.parsed, (F.size("must") == 0) & (F.size("ranges") == 0)
+    known, _ = _looked_up(index, replace(batch, parsed=parsed.where(free)), weights)
+    best = best_of_cells(index, stage(known), k, BROADCAST_ROWS).select("query_id", "doc_id", S.from_units(F.col("units")).alias("score"))
+    if batch.mixed:
+        best = best.unionByName(_batch_matches(index, replace(batch, parsed=parsed.where(~free)), weights, positive_percentages, None))
+    return best, batch.n_requests
+
+
+def _batch_matches(index: Index, batch: Batch, weights: Mapping[str, float], positive_percentages: bool, k: int | None) -> DataFrame:
+    """(query_id, doc_id, score) of what matches the requests of `batch`."""
     found = _term_matches(index, batch, weights, k)
     score = S.from_units(F.col("units"))
     if not batch.ranged:
-        return found.select("query_id", "doc_id", score.alias("score")), batch.n_requests
+        return found.select("query_id", "doc_id", score.alias("score"))
     parsed, positive = batch.parsed, positive_percentages
     if index.numbers is None:
         kept = found.join(parsed.where(F.size("ranges") == 0).select("query_id"), "query_id", "left_semi")
-        return kept.select("query_id", "doc_id", score.alias("score")), batch.n_requests
+        return kept.select("query_id", "doc_id", score.alias("score"))
     if batch.few and batch.n_requests == 1:  # literal bounds reach the scan
         more = F.lit(len(batch.ranges) * S.SCALE)
         if batch.range_only:
             found = _of_one_field(index, parsed, batch.ranges[0]["field"])
         kept = _within_literal_ranges(index, found, batch.ranges, positive).select("query_id", "doc_id", S.from_units(F.col("units") + more).alias("score"))
-        return kept, batch.n_requests
+        return kept
     wanted = _wanted_ranges(parsed.select("query_id", "ranges", "n_clauses"))
     fields = None
     if batch.few:
@@ -446,7 +449,7 @@ def _matches(
     kept = kept.unionByName(found.join(F.broadcast(free) if batch.few else free, "query_id", "left_semi").select("query_id", "doc_id", "units"))
     if batch.range_only:
         kept = kept.unionByName(_range_only_matches(index, wanted.join(only, "query_id", "left_semi"), batch, fields, positive))
-    return kept.select("query_id", "doc_id", score.alias("score")), batch.n_requests
+    return kept.select("query_id", "doc_id", score.alias("score"))
 
 
 def matches(
