@@ -28,7 +28,7 @@ PUSHED_KEYS = 1_000  # document ids that are pushed to the scans as literals
 MOST_FEW = 1_000  # requests, and
 FEW_BYTES = 32 << 10  # bytes of all their texts, that become literals of the plans
 SLICE_DF = 1_000_000  # postings of one term that one task may join when there are many clauses
-PROBED = 200_000  # postings from which on it pays to find out which of them can't be among the best
+PROBED = 200_000  # postings from which on it pays to find out which of them can't be among the best, and to keep what is read twice
 BLOCK = 1_000  # requests of one term that are fanned out from one row
 PARTS = 64  # parts of a request's hits that are cut to k first
 MOST_WEIGHT = 1e6  # keeps sums of scores within a long
@@ -292,8 +292,14 @@ def _term_matches(index: Index, batch: Batch, weights: Mapping[str, float], k: i
         rows = _few_below(rows, {r.query_id: r.least for r in least.collect()})
         ordered = local_table(spark, rows, StructType([*schema.fields]).add("least", "long").add("rest", "long"))
     n_first, n_rest = postings("first"), postings("first", False)
+
+    def matched(scored: DataFrame) -> DataFrame:
+        found = _clause_matches(scored)
+        twice = batch.few and batch.ranged and batch.n_requests > 1  # read for requests with ranges and for those without
+        return stage(found) if twice and n_first + n_rest >= PROBED else found
+
     if not n_rest:
-        return _clause_matches(scores(ordered))
+        return matched(scores(ordered))
     by_first = scores(ordered.where("first")).groupBy("query_id", "n_clauses", "doc_id", "clause").agg(F.sum("units").alias("units"))
     if bounded:
         reach = ordered.where("least IS NOT NULL").groupBy("query_id").agg(F.first("least").alias("least"), F.first("rest").alias("rest"))
@@ -303,9 +309,9 @@ def _term_matches(index: Index, batch: Batch, weights: Mapping[str, float], k: i
     if n_first <= BROADCAST_ROWS:
         candidates = F.broadcast(candidates)
     elif n_rest < 4 * n_first and not bounded:  # little to save
-        return _clause_matches(scores(ordered))
+        return matched(scores(ordered))
     rest = scores(ordered.where("NOT first")).join(candidates, pairs, "left_semi")
-    return _clause_matches(by_first.unionByName(rest))
+    return matched(by_first.unionByName(rest))
 
 
 def _clause_matches(scores: DataFrame) -> DataFrame:
