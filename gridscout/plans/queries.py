@@ -40,6 +40,8 @@ from gridscout.sources.tables import (
 )
 from gridscout.sources.wiki import pages_from_xml_column, read_wiki_xml, wiki_pages
 
+TASK_FILES = 200  # page files that one task writes
+
 # Weights and requests of the searches over pages and documents.
 PAGE_FIELDS = {"title": "title", "body": "body"}
 PAGE_WEIGHTS = {"title": 3.0, "body": 1.0}
@@ -172,7 +174,8 @@ def pages_files(spark, sf_dir):
         F.col("html"), F.concat(F.when(F.col("page_id") % 4 == 0, "teams").otherwise("com_drivers"), F.lit("_"), F.col("page_id")).alias("name")
     )
     if not path_exists(spark, f"{folder}/_SUCCESS"):
-        html.repartition("name").write.partitionBy("name").mode("overwrite").option("lineSep", "\u0000").text(folder)
+        tasks = -(-html.count() // TASK_FILES) or 1  # a file costs the same however small it is, so tasks are not joined by their bytes
+        html.repartition(tasks, "name").write.partitionBy("name").mode("overwrite").option("lineSep", "\u0000").text(folder)
     read = read_pages(spark, folder, X.PATH_MARK)
     return read.select(
         F.regexp_extract("filename", r"name=([^/]*)/", 1).alias("name"), F.rtrim(F.col("content"), F.lit("\u0000")).alias("content")

@@ -9,6 +9,7 @@ from gridscout.operators import cells as C
 from gridscout.operators import index as I
 from gridscout.operators import search as S
 from gridscout.plans import fixtures as fx
+from gridscout.plans import queries as Q
 
 FIELDS, WEIGHTS = {"title": "title", "body": "body"}, {"title": 3.0, "body": 1.0}
 WORDS = [f"w{i}" for i in range(30)]
@@ -63,3 +64,13 @@ def test_customers_are_dealt_to_tasks_by_number(spark, tmp_path, monkeypatch):
     pages = fx.pages(spark, str(tmp_path))
     assert pages.count() == 100
     assert pages.rdd.getNumPartitions() == 10
+
+
+def test_page_files_are_dealt_to_tasks_by_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "TASK_FILES", 5)
+    rows = [(i, f"<p>{i}</p>") for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    read = Q.pages_files(spark, str(tmp_path))
+    assert sorted(read.collect()) == sorted((f"com_drivers_{i}", html) for i, html in rows if i % 4)
+    files = Path(Q._shared(spark, str(tmp_path), "page-files")).glob("name=*/part-*")
+    assert len({f.name.split("-")[1] for f in files}) > 4  # tasks that wrote
