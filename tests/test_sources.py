@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gridscout.plans import queries as Q
+from gridscout.sources import pages as P
 from gridscout.sources import tables as T
-from gridscout.sources.pages import pack_pages, read_packed, read_pages
+from gridscout.sources.pages import pack_pages, read_packed, read_pages, write_pages
 from gridscout.sources.wiki import malformed_count, pages_from_xml_column, read_wiki_xml, wiki_pages
 
 
@@ -134,3 +136,73 @@ def test_packed_pages_follow_their_files(spark, tmp_path):
         (folder / name).write_bytes(texts[name].encode())
     assert pack_pages(spark, where, archive) == 2 and packed() == texts
     assert read_packed(spark, archive).rdd.getNumPartitions() < 14  # by bytes, not by page
+
+
+def test_page_files_are_those_of_the_text_writer(spark, tmp_path, monkeypatch):
+    rows = [(f"com_drivers_{i}", f"<p>{i}\n\u00e9</p>") for i in range(50)]
+    rows += [("none", None), (None, "no name"), ("twice", "same"), ("twice", "same"), ("a:b/c%d =[x]{y}^'\"#?*\\z\u00e9", "odd"), ("nul", "in\0side")]
+    pages = spark.createDataFrame(rows, "name string, html string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # the same name in several batches
+    try:
+        for folder in ("by_python", "again", "again"):
+            write_pages(pages, f"file://{tmp_path}/{folder}", 3)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    with monkeypatch.context() as m:
+        m.setattr(P, "local_path", lambda *_: None)
+        write_pages(pages, f"file://{tmp_path}/by_spark", 3)
+
+    def written(folder):
+        return {(f.parent.name, f.name.split("-")[1]): f.read_bytes() for f in (tmp_path / folder).glob("*/part-*")}
+
+    assert written("by_python") == written("by_spark") == written("again")
+    assert len(written("by_python")) == 55
+    assert not [*(tmp_path / "again").glob("*/.*")]
+    assert (tmp_path / "by_python" / "_SUCCESS").exists()
+    write_pages(pages.where("false"), f"{tmp_path}/empty", 1)
+    assert read_pages(spark, f"{tmp_path}/empty").count() == 0 == pack_pages(spark, f"{tmp_path}/empty", f"{tmp_path}/no-archive")
+    assert not (tmp_path / "no-archive").exists()
+
+
+def test_small_files_are_packed_together_and_read_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "PACKED_FILES", 30)
+    folder, archive = tmp_path / "pages", str(tmp_path / "archive")
+    folder.mkdir()
+    texts = {f"p{i}": f"page {i}" for i in range(60)}
+    for name, text in texts.items():
+        (folder / name).write_text(text)
+    packed = lambda: {r.filename.rsplit("/", 1)[1]: r.content for r in read_packed(spark, archive).collect()}
+    plan = lambda: read_packed(spark, archive)._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a scan task for each file
+    try:
+        assert pack_pages(spark, str(folder), archive) == 60 and packed() == texts
+        assert len([*(tmp_path / "archive").glob("part-*")]) == 2
+        assert "Exchange" not in plan() and "Join" not in plan()
+        for name in ("p1", "new"):
+            texts[name] = "another text"
+            (folder / name).write_text(texts[name])
+        assert pack_pages(spark, str(folder), archive) == 2 and packed() == texts
+        assert "BroadcastHashJoin" in plan() and "SortMergeJoin" not in plan()
+        monkeypatch.setattr(P, "BROADCAST_FILES", 0)
+        monkeypatch.setattr(P, "PUSHED_FILES", 0)
+        for name in ("p1", "p2"):
+            texts[name] = "a third, longer text"
+            (folder / name).write_text(texts[name])
+        assert pack_pages(spark, str(folder), archive) == 2 and packed() == texts
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_page_files_are_listed_once_to_be_packed(spark, tmp_path, monkeypatch):
+    rows = [(i, f"<p>{i}</p>" if i % 9 else None) for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    listed = []
+    reader = type(spark.read)
+    for kind in ("load", "text"):
+        read = getattr(reader, kind)
+        monkeypatch.setattr(reader, kind, lambda self, path, *a, read=read, **b: (listed.append(path), read(self, path, *a, **b))[1])
+    packed = Q.pages_packed(spark, str(tmp_path))
+    assert len([x for x in listed if "page-files" in x]) == 1
+    assert sorted(packed.collect()) == sorted((f"com_drivers_{i}", html or "") for i, html in rows if i % 4)
